@@ -72,7 +72,8 @@ def geometry_stats(zones: DataFrame) -> DataFrame:
     )
     written = F.col("usable") > 0
     first = polyline_deltas("shape")
-    inside = _degrees(first[0]).between(*K.LAT_RANGE) & _degrees(first[1]).between(*K.LON_RANGE)
+    lat, lon = (_degrees(F.get(first, F.lit(i))) for i in (0, 1))
+    inside = lat.between(*K.LAT_RANGE) & lon.between(*K.LON_RANGE)
     return per_edge.agg(
         F.sum("zones").alias("zones_seen"), F.sum("no_edge").alias("no_edge_id"), F.sum("no_shape").alias("no_shape"),
         F.sum(F.when(written, F.col("usable") - 1).otherwise(0)).alias("duplicates"),

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +16,17 @@ BROADCAST_ROWS = 500_000
 HOT_ROWS = 1_000_000
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per Spark application."""
+    sc = spark.sparkContext
+    if getattr(sc, "_roadpulse_shipped", False):
+        return
+    package = Path(__file__).parent
+    name = f"{tempfile.mkdtemp(prefix='roadpulse-package-')}/roadpulse"
+    sc.addPyFile(shutil.make_archive(name, "zip", package.parent, package.name))
+    sc._roadpulse_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach, taken from ``spark.checkpoint.dir``.
 
@@ -73,3 +86,15 @@ def split_hot(df: DataFrame, key: str, limit: int = HOT_ROWS) -> tuple[DataFrame
     rows = hot.agg(F.sum("key_rows")).first()[0]
     ids = broadcast_if_small(hot.select(key))
     return df.join(ids, key, "left_anti"), df.join(ids, key, "left_semi"), rows
+
+
+def local_session(cpus: str = "8", memory: str = "12g") -> SparkSession:
+    """Session for tests, checks and benchmarks on one machine."""
+    spark = (
+        SparkSession.builder.master(f"local[{cpus}]").appName("roadpulse")
+        .config("spark.sql.shuffle.partitions", cpus).config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.driver.memory", memory).config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    return spark
