@@ -48,6 +48,20 @@ EDGE_FOLD = Fold(
 )
 
 
+def _resumed_step(state: tuple | None, t: int, raw_speed: float, free_flow: float, seed: str | None) -> tuple[tuple, tuple]:
+    """As ``smooth_step``; a row with ``seed`` is a stored state (its speed in ``raw_speed``), not an observation."""
+    return smooth_step(state, t, raw_speed, free_flow) if seed is None else ((raw_speed, seed, t), (None,) * 6)
+
+
+RESUMED_FOLD = Fold(
+    inputs=("raw_speed", "free_flow", "seed"),
+    outputs=EDGE_FOLD.outputs,
+    step=_resumed_step,
+    entry_states=lambda t, raw, free_flow, seed: _edge_entries(t, raw, free_flow) if seed is None else {},
+    entry_label=_edge_label,
+)
+
+
 def edge_series(
     observations: DataFrame, camera_edges: DataFrame, free_flow: DataFrame, thresholds: DataFrame
 ) -> DataFrame:
@@ -70,22 +84,40 @@ def batch_last_writer(series: DataFrame) -> DataFrame:
     return series.groupBy("edge_id", "batch_id").agg(last.alias("last")).select("edge_id", "batch_id", "last.*")
 
 
-def speed_and_status(series: DataFrame, mode: str = "sequential", hot_rows: int = HOT_ROWS) -> DataFrame:
+def speed_and_status(
+    series: DataFrame, mode: str = "sequential", hot_rows: int = HOT_ROWS, previous: DataFrame | None = None
+) -> DataFrame:
     """Smoothed speed and status after every observation.
 
-    ``sequential`` folds each row; ``batch`` folds the last row of each batch only.
+    ``sequential`` folds each row; ``batch`` folds the last row of each batch only. ``previous`` holds
+    the stored state (edge_id, speed, t, status) of earlier data, from which the fold goes on.
     """
     rows = batch_last_writer(series) if mode == "batch" else series
-    needed = ["edge_id", "t", "event_id", "raw_speed", "free_flow"] + (["batch_id"] if mode == "batch" else [])
-    return ordered_scan(rows.select(*needed), "edge_id", "t", "event_id", EDGE_FOLD, hot_rows)
+    needed = ["edge_id", "t", "event_id", "raw_speed", "free_flow"]
+    rows = rows.select(*needed, *(["batch_id"] if mode == "batch" else []))
+    if previous is None:
+        return ordered_scan(rows, "edge_id", "t", "event_id", EDGE_FOLD, hot_rows)
+    seeds = previous.select(
+        "edge_id", "t", F.lit(-1).cast("bigint").alias("event_id"), F.col("speed").alias("raw_speed"), F.col("status").alias("seed")
+    )
+    both = rows.withColumn("seed", F.lit(None).cast("string")).unionByName(seeds, allowMissingColumns=True)
+    folded = ordered_scan(both, "edge_id", "t", "event_id", RESUMED_FOLD, hot_rows)
+    return folded.filter(F.col("seed").isNull()).drop("seed")
 
 
 def latest_state(speeds: DataFrame) -> DataFrame:
     """Newest row per edge: the published table."""
-    last = F.max_by(F.struct("speed", "t", "status"), F.struct("t", "event_id"))
+    order = F.struct("t", "event_id")
+    last = F.max_by(F.struct("speed", "t", "event_id", "status"), order)
     return speeds.groupBy("edge_id").agg(last.alias("s")).select("edge_id", "s.*")
 
 
+def expire_state(state: DataFrame, lateness: int = 0) -> DataFrame:
+    """State without edges too old to matter to any row at most ``lateness`` seconds behind the newest."""
+    newest = state.agg(F.max("t")).first()[0]
+    return state if newest is None else state.filter(F.col("t") > newest - lateness - K.EDGE_STATE_TTL)
+
+
 def prev_state_asof(speeds: DataFrame) -> DataFrame:
     """State each observation found: absent after expiry or before the first write."""
     return speeds.select("edge_id", "event_id", "t", "prev_speed", "prev_status", "prev_t")

@@ -56,7 +56,7 @@ def vehicle_words(detections: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """
     keep = ["frame_id", *CAMERA]
     boxes = clip_boxes_px(detections).select(*keep, "x1", "y1", "x2", "y2")
-    ordinary, hot, _ = split_hot(boxes, "frame_id", hot_rows)
+    ordinary, hot, _ = split_hot(boxes, "frame_id", hot_rows, counted=detections)
     cover = _cover(ordinary.repartition("frame_id"), keep)
     return cover if hot is None else cover.unionByName(_cover(hot, keep))
 

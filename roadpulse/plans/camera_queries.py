@@ -243,7 +243,8 @@ def _outputs(spark: SparkSession) -> tuple[str, str]:
 def _edge_stream(spark, sf_dir) -> DataFrame:
     series = _series(spark, sf_dir).select("edge_id", "t", "event_id", "raw_speed", "free_flow")
     out, progress = _outputs(spark)
-    jobs.stream_edge_speeds(_as_stream(spark, series, schemas.EDGE_SERIES), out, progress).awaitTermination()
+    stream = _as_stream(spark, series, schemas.EDGE_SERIES)
+    jobs.stream_edge_speeds(stream, out, scratch_path(spark, "state"), progress).awaitTermination()
     return spark.read.parquet(out)
 
 

@@ -10,7 +10,7 @@ from roadpulse import fixtures as fx
 from roadpulse.functions import scalars as S
 from roadpulse.operators import boxes, calibration, edge_state, geometry, metrics, report
 from roadpulse.plans.registry import query, speeds_sql, sql
-from roadpulse.session import scratch_path
+from roadpulse.session import materialize, scratch_path
 from roadpulse.sources import cameras as cam_src
 from roadpulse.sources import dimensions as dim
 from roadpulse.sources import frames as frame_src
@@ -440,11 +440,22 @@ def status_changes(spark, sf_dir):
 @query(speeds_sql(_LATEST))
 def sink_edge_speeds(spark, sf_dir):
     path = scratch_path(spark, "edge-speeds")
-    speeds = _speeds(spark, sf_dir)
+    speeds = materialize(_speeds(spark, sf_dir))
     half = _newest(spark, sf_dir) - 12_000
     sinks.upsert_latest(edge_state.latest_state(speeds.filter(F.col("t") <= half)), path, 0, "edge_id", "t")
     sinks.upsert_latest(edge_state.latest_state(speeds.filter(F.col("t") > half)), path, 1, "edge_id", "t")
-    return sinks.read_version(spark, path, sinks.latest_version(spark, path))
+    return sinks.read_version(spark, path, sinks.latest_version(spark, path)).drop("event_id")
+
+
+@query(speeds_sql("select edge_id, event_id, t, prev_speed, ema, speed, status from speeds"))
+def speed_ema_resumed(spark, sf_dir):
+    """The same series in two runs, the second going on from the stored state of the first."""
+    series = _series(spark, sf_dir)
+    half = _newest(spark, sf_dir) - 12_000
+    first = materialize(edge_state.speed_and_status(series.filter(F.col("t") <= half)))
+    state = materialize(edge_state.expire_state(edge_state.latest_state(first)))
+    second = edge_state.speed_and_status(series.filter(F.col("t") > half), previous=state)
+    return first.unionByName(second).select("edge_id", "event_id", "t", "prev_speed", "ema", "speed", "status")
 
 
 @query(speeds_sql(f"select edge_id, printf('%.1f', speed) || ':' || t || ':' || status wire from ({_LATEST})"))
@@ -454,7 +465,7 @@ def edge_speed_wire(spark, sf_dir):
 
 @query(speeds_sql(f"select edge_id, speed, t, status from ({_LATEST}) where {_AS_OF} - t <= 900"))
 def fresh_edges(spark, sf_dir):
-    return edge_state.fresh_edges(edge_state.latest_state(_speeds(spark, sf_dir)), _newest(spark, sf_dir))
+    return edge_state.fresh_edges(edge_state.latest_state(_speeds(spark, sf_dir)), _newest(spark, sf_dir)).drop("event_id")
 
 
 _ACTIVE = "select edge_id from (select edge_id, max(t) t from series where t <= {at} group by edge_id) where {at} - t <= 900"
@@ -463,7 +474,7 @@ _ACTIVE = "select edge_id from (select edge_id, max(t) t from series where t <=
 @query(sql(f"{_ACTIVE.format(at=f'({_AS_OF} - 600)')} except {_ACTIVE.format(at=_AS_OF)}", "series edge_obs"))
 def cleared_edges(spark, sf_dir):
     now = _newest(spark, sf_dir)
-    speeds = _speeds(spark, sf_dir)
+    speeds = materialize(_speeds(spark, sf_dir))
     active = lambda at: edge_state.fresh_edges(edge_state.state_at(speeds, at), at)
     return edge_state.cleared_edges(active(now - 600), active(now))
 

@@ -78,9 +78,15 @@ def hot_keys(df: DataFrame, key: str, limit: int = HOT_ROWS) -> DataFrame | None
     return None if hot.isEmpty() else materialize(hot)
 
 
-def split_hot(df: DataFrame, key: str, limit: int = HOT_ROWS) -> tuple[DataFrame, DataFrame | None, int]:
-    """(rows of ordinary keys, rows of hot keys or None, number of hot rows)."""
-    hot = hot_keys(df, key, limit)
+def split_hot(
+    df: DataFrame, key: str, limit: int = HOT_ROWS, counted: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame | None, int]:
+    """(rows of ordinary keys, rows of hot keys or None, number of hot rows).
+
+    ``counted`` may name a cheaper table with at least the rows of ``df`` per key, such as an input
+    of which ``df`` is a filtered view.
+    """
+    hot = hot_keys(df if counted is None else counted, key, limit)
     if hot is None:
         return df, None, 0
     rows = hot.agg(F.sum("key_rows")).first()[0]

@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from roadpulse.operators.edge_state import expire_state, latest_state, speed_and_status
 from roadpulse.plans.traffic import RoadMask, frame_metrics
-from roadpulse.sources.sinks import upsert_latest
+from roadpulse.session import HOT_ROWS
+from roadpulse.sources.sinks import latest_version, publish_version, read_version, upsert_latest
 from roadpulse.streaming import state
 
-WATERMARK = "60 seconds"
+WATERMARK_SECONDS = 60
 
 
 def file_stream(spark: SparkSession, path: str, schema: str, files_per_batch: int) -> DataFrame:
@@ -45,9 +47,34 @@ def _append(df: DataFrame, out: str, checkpoint: str, every: int | None) -> Stre
     return cycle_trigger(writer.option("path", out).option("checkpointLocation", checkpoint), every).start()
 
 
-def stream_edge_speeds(series: DataFrame, out: str, checkpoint: str, every: int | None = None) -> StreamingQuery:
-    """Smoothed speed and status per edge from a stream of edge observations."""
-    return _append(state.edge_speeds(with_event_time(series)), out, checkpoint, every)
+def stream_edge_speeds(
+    series: DataFrame, out: str, state_path: str, checkpoint: str, every: int | None = None, hot_rows: int = HOT_ROWS
+) -> StreamingQuery:
+    """Smoothed speed and status per edge from a stream of edge observations.
+
+    Every micro-batch goes on from the published state table with the batch operator, so a hot edge is
+    split over tasks here too. Results lie in ``out``/batch=N and the state in ``state_path``/version=N;
+    both are rewritten when a batch is replayed. Rows later than the watermark are dropped, and states
+    that no admissible row could still reach are expired.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        stored = latest_version(spark, state_path, before=batch_id)
+        previous = None if stored is None else read_version(spark, state_path, stored)
+        rows = batch
+        if previous is not None:
+            newest = previous.agg(F.max("t")).first()[0]
+            rows = batch if newest is None else batch.filter(F.col("t") >= newest - WATERMARK_SECONDS)
+        target = f"{out}/batch={batch_id}"
+        speed_and_status(rows, hot_rows=hot_rows, previous=previous).write.mode("overwrite").parquet(target)
+        state = latest_state(spark.read.parquet(target))
+        if previous is not None:
+            state = latest_state(state.unionByName(previous))
+        publish_version(expire_state(state, WATERMARK_SECONDS), state_path, batch_id)
+
+    writer = series.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return cycle_trigger(writer, every).start()
 
 
 def stream_accident_alerts(series: DataFrame, out: str, checkpoint: str, every: int | None = None) -> StreamingQuery:
@@ -65,7 +92,7 @@ def stream_calibration(frame_loads: DataFrame, out: str, checkpoint: str, every:
 
 
 def with_event_time(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("ts", F.timestamp_seconds("t")).withWatermark("ts", WATERMARK)
+    return rows.withColumn("ts", F.timestamp_seconds("t")).withWatermark("ts", f"{WATERMARK_SECONDS} seconds")
 
 
 def dedup_observations(rows: DataFrame) -> DataFrame:

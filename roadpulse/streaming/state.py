@@ -1,4 +1,4 @@
-"""Keyed streaming folds on the state store: the same step functions as the batch operators.
+"""Keyed streaming fold on the state store: the same step functions as the batch operators.
 
 Rows later than the watermark are dropped by Spark. State expires on event time, once the watermark
 has passed the moment at which the step itself would start anew, so expiry frees storage and never
@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -16,7 +17,6 @@ from pyspark.sql.types import StructType
 
 from roadpulse import constants as K
 from roadpulse.operators.accident import cooldown_step, streak_step
-from roadpulse.operators.edge_state import EDGE_FOLD, smooth_step
 
 
 def _folder(step: Callable, time: str, tie: str, inputs: list[str], kept: list[str], outputs: list[str], ttl: int):
@@ -30,7 +30,9 @@ def _folder(step: Callable, time: str, tie: str, inputs: list[str], kept: list[s
         if group.hasTimedOut:
             group.remove()
             return
-        rows = pd.concat(list(batches)).sort_values([time, tie], ignore_index=True)
+        parts = list(batches)
+        rows = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+        rows = rows.iloc[np.lexsort((rows[tie].to_numpy(), rows[time].to_numpy()))]
         state = group.get if group.exists else None
         results = []
         for t, *values in zip(*(rows[c].tolist() for c in [time, *inputs])):
@@ -38,28 +40,11 @@ def _folder(step: Callable, time: str, tie: str, inputs: list[str], kept: list[s
             results.append(out)
         group.update(state)
         group.setTimeoutTimestamp(max((int(rows[time].iloc[-1]) + ttl) * 1000, group.getCurrentWatermarkMs() + 1))
-        yield pd.concat([rows[kept], pd.DataFrame(results, columns=outputs, dtype=object)], axis=1)
+        yield pd.DataFrame({c: rows[c].to_numpy() for c in kept} | dict(zip(outputs, map(list, zip(*results)))))
 
     return fold
 
 
-def _fold_stream(stream: DataFrame, key: str, inputs: list[str], kept: list[str], step, outputs: str, state: str, ttl: int):
-    added = StructType.fromDDL(outputs)
-    schema = StructType([stream.schema[c] for c in kept] + list(added))
-    fold = _folder(step, "t", "event_id", inputs, kept, added.fieldNames(), ttl)
-    grouped = stream.select("ts", *kept).groupBy(key)
-    return grouped.applyInPandasWithState(fold, schema, StructType.fromDDL(state), "append", GroupStateTimeout.EventTimeTimeout)
-
-
-def edge_speeds(series: DataFrame) -> DataFrame:
-    """Smoothed speed and status of a stream of edge observations with an event-time watermark on ``ts``."""
-    inputs = ["raw_speed", "free_flow"]
-    return _fold_stream(
-        series, "edge_id", inputs, ["edge_id", "t", "event_id", *inputs], smooth_step, EDGE_FOLD.outputs,
-        "speed double, status string, t bigint", K.EDGE_STATE_TTL,
-    )
-
-
 def alert_step(state: tuple | None, t: int, hit: bool) -> tuple[tuple, tuple]:
     """State: (hits in a row, time of the last hit, time of the last alert), all nullable."""
     hits, last_hit, last_alert = state or (None, None, None)
@@ -73,7 +58,10 @@ def alert_step(state: tuple | None, t: int, hit: bool) -> tuple[tuple, tuple]:
 
 def accident_alerts(series: DataFrame) -> DataFrame:
     """Streak of every processed frame of a stream and whether it raises an alert."""
-    return _fold_stream(
-        series, "cam", ["hit"], ["cam", "t", "event_id", "class_name", "conf", "hit"], alert_step,
-        "streak bigint, fires boolean", "hits bigint, last_hit bigint, last_alert bigint", K.ALERT_COOLDOWN,
+    kept = ["cam", "t", "event_id", "class_name", "conf", "hit"]
+    added = StructType.fromDDL("streak bigint, fires boolean")
+    fold = _folder(alert_step, "t", "event_id", ["hit"], kept, added.fieldNames(), K.ALERT_COOLDOWN)
+    return series.select("ts", *kept).groupBy("cam").applyInPandasWithState(
+        fold, StructType([series.schema[c] for c in kept] + list(added)),
+        StructType.fromDDL("hits bigint, last_hit bigint, last_alert bigint"), "append", GroupStateTimeout.EventTimeTimeout,
     )
