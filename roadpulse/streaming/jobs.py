@@ -65,7 +65,7 @@ def stream_edge_speeds(
         rows = batch
         if previous is not None:
             newest = previous.agg(F.max("t")).first()[0]
-            rows = batch if newest is None else batch.filter(F.col("t") >= newest - WATERMARK_SECONDS)
+            rows = batch if newest is None else batch.filter(F.col("t") > newest - WATERMARK_SECONDS)
         target = f"{out}/batch={batch_id}"
         speed_and_status(rows, hot_rows=hot_rows, previous=previous).write.mode("overwrite").parquet(target)
         state = latest_state(spark.read.parquet(target))

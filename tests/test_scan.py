@@ -78,12 +78,12 @@ def test_edge_fold_equals_brute_force(spark, hot_rows):
 
 def incident_rows(spark, hot=1200, seed=2):
     rng = random.Random(seed)
-    rows, t = [], 0
+    rows, t = [], 1000
     for i in range(hot):
         t += rng.choice([0, 5, 10, 10, 10, 49, 50, 51, 300])
         rows.append((1, t, i, "human_incident", 0.9, rng.random() < (0.97 if i % 300 < 200 else 0.5)))
     for cam in range(2, 6):
-        rows += [(cam, 10 * j, 5000 + 100 * cam + j, "vehicle_incident", 0.8, rng.random() < 0.8) for j in range(40)]
+        rows += [(cam, 1000 + 10 * j, 5000 + 100 * cam + j, "vehicle_incident", 0.8, rng.random() < 0.8) for j in range(40)]
     rng.shuffle(rows)
     return spark.createDataFrame(rows, CAM_SCHEMA)
 
