@@ -25,7 +25,7 @@ def round_even(value, digits: int = 0) -> Column:
 # ---- boxes ----
 def clip_pixel(value, size) -> Column:
     """Nearest pixel index inside 0 .. size - 1."""
-    return F.greatest(F.lit(0), F.least(F.rint(col(value)).cast("int"), col(size) - 1))
+    return F.greatest(F.lit(0.0), F.least(F.rint(col(value)), (col(size) - 1).cast("double"))).cast("int")
 
 
 def clip_span(value, size) -> Column:

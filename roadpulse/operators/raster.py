@@ -18,9 +18,11 @@ from pyspark.sql import functions as F
 from roadpulse import constants as K
 from roadpulse.functions.scalars import col
 from roadpulse.operators.boxes import clip_boxes_px
-from roadpulse.session import HOT_ROWS, broadcast_if_small, split_hot
+from roadpulse.session import HOT_ROWS, broadcast_if_small, is_small, split_hot
 
 CAMERA = ["cam", "img_h", "img_w"]
+# Image rows of road masks that are broadcast: some 2,000 cameras of 500 rows, about 100 bytes each.
+MASK_BROADCAST_ROWS = 1_000_000
 
 
 def _word_bits(xs: Column, xe: Column, word: Column) -> Column:
@@ -33,17 +35,17 @@ def _word_bits(xs: Column, xe: Column, word: Column) -> Column:
 
 
 def _explode_words(ranges: DataFrame, keep: list[str], xs: str, xe: str) -> DataFrame:
-    """Rows (keep, y, word, bits) of x ranges on image rows."""
+    """Rows (keep, word, bits) of x ranges."""
     last = F.shiftright(F.col(xe) - 1, 6)
     words = ranges.withColumn("word", F.explode(F.sequence(F.shiftright(F.col(xs), 6), last)))
-    return words.select(*keep, "y", "word", _word_bits(F.col(xs), F.col(xe), F.col("word")).alias("bits"))
+    return words.select(*keep, "word", _word_bits(F.col(xs), F.col(xe), F.col("word")).alias("bits"))
 
 
 def _cover(boxes: DataFrame, keep: list[str]) -> DataFrame:
-    rows = boxes.withColumn("y", F.explode(F.sequence(F.col("y1"), F.col("y2") - 1)))
-    return (
-        _explode_words(rows, keep, "x1", "x2").groupBy(*keep, "y", "word").agg(F.bit_or("bits").alias("bits"))
-    )
+    """Words covered by boxes: the bits are made once per box and repeated down its rows."""
+    words = _explode_words(boxes, [*keep, "y1", "y2"], "x1", "x2")
+    rows = words.select(*keep, F.explode(F.sequence(F.col("y1"), F.col("y2") - 1)).alias("y"), "word", "bits")
+    return rows.groupBy(*keep, "y", "word").agg(F.bit_or("bits").alias("bits"))
 
 
 def vehicle_words(detections: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -146,10 +148,23 @@ def mask_default(mask: DataFrame, cameras: DataFrame) -> DataFrame:
     return mask.unionByName(full_rows(missing))
 
 
-def mask_words(mask: DataFrame) -> DataFrame:
-    return (
-        _explode_words(mask, CAMERA, "xs", "xe").groupBy(*CAMERA, "y", "word").agg(F.bit_or("bits").alias("road"))
-    )
+def mask_rows(mask: DataFrame) -> DataFrame:
+    """Road pixels per image row, as a map from word number to bits.
+
+    One row per image row keeps the table small enough to broadcast for a city's cameras; the map has
+    one entry per 64 pixels of width.
+    """
+    words = _explode_words(mask, [*CAMERA, "y"], "xs", "xe").groupBy(*CAMERA, "y", "word").agg(F.bit_or("bits").alias("bits"))
+    entries = F.map_from_entries(F.collect_list(F.struct("word", "bits")))
+    return words.groupBy(*CAMERA, "y").agg(entries.alias("road"))
+
+
+def _on_road(words: DataFrame, mask: DataFrame) -> DataFrame:
+    """``words`` with the bits of its pixels that are road."""
+    rows = broadcast_if_small(mask_rows(mask), MASK_BROADCAST_ROWS)
+    road = F.coalesce(F.try_element_at("road", F.col("word")), F.lit(0).cast("bigint"))
+    joined = words.join(rows, [*CAMERA, "y"], "left")
+    return joined.withColumn("on_road", F.col("bits").bitwiseAND(road)).drop("road")
 
 
 def road_area(mask: DataFrame, cameras: DataFrame) -> DataFrame:
@@ -166,10 +181,8 @@ def road_ratio(mask: DataFrame, cameras: DataFrame) -> DataFrame:
 
 def mask_and(words: DataFrame, mask: DataFrame) -> DataFrame:
     """Vehicle words cut down to the road; ``mask`` is in run form."""
-    road = broadcast_if_small(mask_words(mask))
-    cut = words.join(road, [*CAMERA, "y", "word"])
-    both = F.col("bits").bitwiseAND(F.col("road"))
-    return cut.select("frame_id", *CAMERA, "y", "word", both.alias("bits")).filter(F.col("bits") != 0)
+    cut = _on_road(words, mask).filter(F.col("on_road") != 0)
+    return cut.select("frame_id", *CAMERA, "y", "word", F.col("on_road").alias("bits"))
 
 
 def occupancy_precise(
@@ -181,16 +194,11 @@ def occupancy_precise(
     other cameras are measured against the whole image. Frames without boxes give 0. Both mask
     tables should be stored tables, because their size decides how they are joined.
     """
-    words = vehicle_words(detections, hot_rows)
-    road = broadcast_if_small(mask_words(mask))
-    covered = (
-        words.join(road, [*CAMERA, "y", "word"], "left")
-        .groupBy("frame_id").agg(
-            F.sum(F.bit_count(F.col("bits"))).alias("all_px"),
-            F.sum(F.bit_count(F.col("bits").bitwiseAND(F.coalesce("road", F.lit(0).cast("bigint"))))).alias("on_road_px"),
-        )
+    covered = _on_road(vehicle_words(detections, hot_rows), mask).groupBy("frame_id").agg(
+        F.sum(F.bit_count("bits")).alias("all_px"), F.sum(F.bit_count("on_road")).alias("on_road_px")
     )
-    areas = broadcast_if_small(road_area(mask, masked))
+    areas = road_area(mask, masked)
+    areas = F.broadcast(areas) if is_small(masked) else areas
     joined = frames.join(covered, "frame_id", "left").join(areas, CAMERA, "left")
     hit = F.when(F.col("road_px").isNull(), F.col("all_px")).otherwise(F.col("on_road_px")).cast("double")
     area = F.coalesce(F.col("road_px"), F.col("img_h") * F.col("img_w")).cast("double")

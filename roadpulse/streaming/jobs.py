@@ -34,9 +34,11 @@ def stream_frame_metrics(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
         frames = batch.select("frame_id", "cam", "img_h", "img_w").distinct()
         boxes = batch.filter(F.col("cls").isNotNull())
         frame_metrics(frames, boxes, mask, coefficients).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        batch.unpersist()
 
     writer = detections.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return cycle_trigger(writer, every).start()
