@@ -19,6 +19,12 @@ GREENSHIELDS_N = 1.0
 MIN_SPEED_KMH = 3.0
 EMA_ALPHA = 0.3
 
+# ---- fixed values: retired routing weights by hybrid congestion index ----
+COST_GATE = 85.0
+COST_JAM_RATIO, COST_JAM = 0.9, 0.1
+COST_SLOW_RATIO, COST_SLOW = 0.8, 0.5
+COST_NORMAL = 1.0
+
 # ---- fixed values: status names and hysteresis bounds on 1 - speed / free flow ----
 GREEN, YELLOW, RED = "GREEN", "YELLOW", "RED"
 STATUSES = (GREEN, YELLOW, RED)
@@ -55,3 +61,7 @@ CYCLE_SENTINEL = "__CYCLE_END__"
 BACKLOG_RATIO = 0.5
 HISTORY_TIME_ZONE = "Asia/Ho_Chi_Minh"
 UNKNOWN_SPEED_CODE = 127
+GRAPH_TILE_BITS = 25
+
+# ---- fixed values: snapshot address ----
+SNAPSHOT_QUERY = "&bg=black&w=500&h=500"

@@ -62,10 +62,10 @@ def cost_tier(occupancy, hci, hci_max) -> Column:
     """Retired routing weight: 1.0 normal, 0.5 slow, 0.1 jammed."""
     ratio = F.try_divide(col(hci), col(hci_max))
     return (
-        F.when((col(occupancy) < 85.0) | (col(hci_max) <= 0), F.lit(1.0))
-        .when(ratio >= 0.9, F.lit(0.1))
-        .when(ratio >= 0.8, F.lit(0.5))
-        .otherwise(F.lit(1.0))
+        F.when((col(occupancy) < K.COST_GATE) | (col(hci_max) <= 0), F.lit(K.COST_NORMAL))
+        .when(ratio >= K.COST_JAM_RATIO, F.lit(K.COST_JAM))
+        .when(ratio >= K.COST_SLOW_RATIO, F.lit(K.COST_SLOW))
+        .otherwise(F.lit(K.COST_NORMAL))
     )
 
 
@@ -100,11 +100,11 @@ def parse_state(raw) -> Column:
 
 # ---- routing ids ----
 def graph_tile(edge_id) -> Column:
-    return col(edge_id).cast("bigint").bitwiseAND(F.lit(0x1FFFFFF))
+    return col(edge_id).cast("bigint").bitwiseAND(F.lit((1 << K.GRAPH_TILE_BITS) - 1))
 
 
 def graph_index(edge_id) -> Column:
-    return F.shiftright(col(edge_id).cast("bigint"), 25)
+    return F.shiftright(col(edge_id).cast("bigint"), K.GRAPH_TILE_BITS)
 
 
 def speed_code(speed) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadpulse import constants as K
 from roadpulse import schemas
 from roadpulse.functions.scalars import col
 
@@ -43,5 +44,5 @@ def camera_edges(cameras: DataFrame) -> DataFrame:
 
 def camera_url(base_url: str, cam_id, now_ms=None) -> Column:
     """Snapshot address of a camera; ``now_ms`` adds a value that defeats caches."""
-    url = F.concat(F.lit(f"{base_url}?id="), col(cam_id).cast("string"), F.lit("&bg=black&w=500&h=500"))
+    url = F.concat(F.lit(f"{base_url}?id="), col(cam_id).cast("string"), F.lit(K.SNAPSHOT_QUERY))
     return url if now_ms is None else F.concat(url, F.lit("&t="), col(now_ms).cast("string"))
