@@ -48,18 +48,19 @@ def _cover(boxes: DataFrame, keep: list[str]) -> DataFrame:
     return rows.groupBy(*keep, "y", "word").agg(F.bit_or("bits").alias("bits"))
 
 
-def vehicle_words(detections: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def vehicle_words(detections: DataFrame, hot_rows: int = HOT_ROWS, bucketed: bool = False) -> DataFrame:
     """Pixels covered by at least one box, per frame, as words.
 
     Boxes of ordinary frames are first brought together by frame, so that only boxes (not their far
     larger pixel rows) are shuffled and all later grouping by frame stays local. Frames with more than
     ``hot_rows`` boxes are covered where their boxes lie; their words combine before the shuffle and
-    number at most one per word of the image and task.
+    number at most one per word of the image and task. A table ``bucketed`` by frame_id needs no shuffle
+    at all.
     """
     keep = ["frame_id", *CAMERA]
     boxes = clip_boxes_px(detections).select(*keep, "x1", "y1", "x2", "y2")
     ordinary, hot, _ = split_hot(boxes, "frame_id", hot_rows, counted=detections)
-    cover = _cover(ordinary.repartition("frame_id"), keep)
+    cover = _cover(ordinary if bucketed else ordinary.repartition("frame_id"), keep)
     return cover if hot is None else cover.unionByName(_cover(hot, keep))
 
 
@@ -186,15 +187,17 @@ def mask_and(words: DataFrame, mask: DataFrame) -> DataFrame:
 
 
 def occupancy_precise(
-    frames: DataFrame, detections: DataFrame, mask: DataFrame, masked: DataFrame, hot_rows: int = HOT_ROWS
+    frames: DataFrame, detections: DataFrame, mask: DataFrame, masked: DataFrame, hot_rows: int = HOT_ROWS,
+    bucketed: bool = False,
 ) -> DataFrame:
     """Percent of road pixels covered by vehicles, per frame.
 
     ``masked`` lists the cameras that have a mask (it may be empty: then nothing is road); frames of
     other cameras are measured against the whole image. Frames without boxes give 0. Both mask
-    tables should be stored tables, because their size decides how they are joined.
+    tables should be stored tables, because their size decides how they are joined. ``bucketed`` says
+    that ``detections`` is a table bucketed by frame_id; bucket ``frames`` alike to join without a shuffle.
     """
-    covered = _on_road(vehicle_words(detections, hot_rows), mask).groupBy("frame_id").agg(
+    covered = _on_road(vehicle_words(detections, hot_rows, bucketed), mask).groupBy("frame_id").agg(
         F.sum(F.bit_count("bits")).alias("all_px"), F.sum(F.bit_count("on_road")).alias("on_road_px")
     )
     areas = road_area(mask, masked)

@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from roadpulse.fixtures import DUCKDB
-from roadpulse.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -140,13 +139,9 @@ def query(check: str | None = None):
     """Register a query under the function's name."""
 
     def add(function):
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ship_package(spark)
-            return function(spark, sf_dir)
-
-        QUERIES[function.__name__] = run
+        QUERIES[function.__name__] = function
         if check:
             ORACLES[function.__name__] = check
-        return run
+        return function
 
     return add

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import shutil
 import tempfile
 import uuid
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,17 +14,6 @@ BROADCAST_ROWS = 500_000
 HOT_ROWS = 1_000_000
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per Spark application."""
-    sc = spark.sparkContext
-    if getattr(sc, "_roadpulse_shipped", False):
-        return
-    package = Path(__file__).parent
-    name = f"{tempfile.mkdtemp(prefix='roadpulse-package-')}/roadpulse"
-    sc.addPyFile(shutil.make_archive(name, "zip", package.parent, package.name))
-    sc._roadpulse_shipped = True
-
-
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach, taken from ``spark.checkpoint.dir``.
 

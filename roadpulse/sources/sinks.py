@@ -43,6 +43,11 @@ def read_geometry(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("edge_id string, points array<array<double>>").json(path)
 
 
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str) -> None:
+    """Table laid out by ``key``: joins and grouping on the key then need no shuffle."""
+    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
+
+
 # ---- tables replaced as a whole: every write is a new version folder, complete once _SUCCESS is there ----
 def publish_version(df: DataFrame, path: str, version: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/version={version}")

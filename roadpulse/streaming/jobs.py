@@ -61,7 +61,7 @@ def stream_edge_speeds(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        spark, batch = batch.sparkSession, batch.persist()
         stored = latest_version(spark, state_path, before=batch_id)
         previous = None if stored is None else read_version(spark, state_path, stored)
         rows = batch
@@ -74,6 +74,7 @@ def stream_edge_speeds(
         if previous is not None:
             state = latest_state(state.unionByName(previous))
         publish_version(expire_state(state, WATERMARK_SECONDS), state_path, batch_id)
+        batch.unpersist()
 
     writer = series.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return cycle_trigger(writer, every).start()

@@ -1,20 +1,11 @@
 """Every registered query against its check SQL."""
 
 import duckdb
-import pandas
 import pytest
 from conftest import SF_DIR
 
 from __spark_entry__ import entry, oracle_sql, queries
-
-TABLES = "lineitem orders events documents".split()
-
-
-def rows_of(frame):
-    ordered = frame[sorted(frame.columns)]
-    columns = [[None if v is None or v is pandas.NA or v != v else v for v in ordered[c].tolist()] for c in ordered]
-    return sorted(map(repr, zip(*columns)))
-
+from tools.check import TABLES, rows_of
 
 @pytest.fixture(scope="module")
 def duck():

@@ -2,8 +2,11 @@
 
 import numpy as np
 import pytest
+from conftest import rows_of
 
 from roadpulse.operators import raster
+from roadpulse.session import materialize
+from roadpulse.sources import sinks
 
 H, W = 30, 150
 BOX = "frame_id bigint, cam bigint, img_h int, img_w int, x1 double, y1 double, x2 double, y2 double"
@@ -83,6 +86,23 @@ def test_occupancy_equals_dense_pixels(spark, boxes, hot_rows):
         assert 0 <= got[frame] <= 100
 
 
+def test_bucketed_tables_need_no_shuffle(spark, boxes, tmp_path):
+    frames = spark.createDataFrame([(i, i % 3, H, W) for i in range(45)], FRAME)
+    df = spark.createDataFrame(boxes, BOX)
+    for name, rows in {"fr": frames, "bx": df}.items():
+        sinks.write_bucketed(rows, f"bucketed_{name}", "frame_id", 4, str(tmp_path / name))
+    cameras = frames.select(*raster.CAMERA).distinct()
+    mask = materialize(raster.road_mask(raster.heatmap(df), 3))
+    plain = raster.occupancy_precise(frames, df, mask, cameras)
+    stored = raster.occupancy_precise(spark.table("bucketed_fr"), spark.table("bucketed_bx"), mask, cameras, bucketed=True)
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(frame_id" not in plan
+    assert "hashpartitioning(frame_id" in plain._jdf.queryExecution().executedPlan().toString()
+    assert rows_of(stored, "frame_id") == rows_of(plain, "frame_id")
+    for name in ("fr", "bx"):
+        spark.sql(f"drop table bucketed_{name}")
+
+
 def test_empty_mask_means_no_road(spark, boxes):
     df = spark.createDataFrame(boxes, BOX)
     frames = spark.createDataFrame([(i, i % 3, H, W) for i in range(40)], FRAME)
