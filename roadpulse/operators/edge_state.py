@@ -12,11 +12,14 @@ from roadpulse.operators.scan import Fold, ordered_scan
 from roadpulse.session import HOT_ROWS
 
 
+# Slowdown at which the next status is at least YELLOW or RED, by previous status; GREEN never leads to RED.
+YELLOW_FROM = {None: K.YELLOW_ENTER, K.GREEN: K.YELLOW_ENTER, K.YELLOW: K.YELLOW_EXIT, K.RED: K.YELLOW_EXIT}
+RED_FROM = {None: K.RED_ENTER, K.GREEN: float("inf"), K.YELLOW: K.RED_ENTER, K.RED: K.RED_EXIT}
+
+
 def next_status(slowdown: float, previous: str | None) -> str:
     """Status with hysteresis; ``slowdown`` is 1 - smoothed speed / free flow."""
-    to_yellow = {K.RED: K.YELLOW_EXIT, K.YELLOW: K.YELLOW_EXIT}.get(previous, K.YELLOW_ENTER)
-    to_red = {K.RED: K.RED_EXIT, K.GREEN: float("inf")}.get(previous, K.RED_ENTER)
-    return K.RED if slowdown >= to_red else K.YELLOW if slowdown >= to_yellow else K.GREEN
+    return K.RED if slowdown >= RED_FROM[previous] else K.YELLOW if slowdown >= YELLOW_FROM[previous] else K.GREEN
 
 
 def smooth_step(state: tuple | None, t: int, raw_speed: float, free_flow: float) -> tuple[tuple, tuple]:

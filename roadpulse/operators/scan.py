@@ -45,7 +45,9 @@ class Fold:
 
 
 def _columns(batch: pa.RecordBatch, names: list[str]) -> list[list]:
-    return [batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names]
+    """Columns as Python lists; those without nulls go through numpy, which is several times faster."""
+    columns = [batch.column(batch.schema.get_field_index(n)) for n in names]
+    return [c.to_pylist() if c.null_count else c.to_numpy(zero_copy_only=False).tolist() for c in columns]
 
 
 def _append_outputs(fold: Fold, key: str, time: str, schema: pa.Schema, entries: dict):
@@ -57,10 +59,11 @@ def _append_outputs(fold: Fold, key: str, time: str, schema: pa.Schema, entries:
             keys, times, *values = _columns(batch, [key, time, *fold.inputs])
             chunks = _columns(batch, ["chunk"])[0] if entries else None
             rows = []
-            for i, (k, t, *v) in enumerate(zip(keys, times, *values)):
-                if k != current:
-                    current, state = k, entries.get((chunks[i], k)) if entries else None
-                state, out = step(state, t, *v)
+            for i, row in enumerate(zip(keys, times, *values)):
+                if row[0] != current:
+                    current = row[0]
+                    state = entries.get((chunks[i], current)) if entries else None
+                state, out = step(state, *row[1:])
                 rows.append(out)
             kept = [c for n, c in zip(batch.schema.names, batch.columns) if n != "chunk"]
             added = [pa.array(c, type=f.type) for c, f in zip(zip(*rows), list(schema)[len(kept):])]
