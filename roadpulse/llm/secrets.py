@@ -1,0 +1,130 @@
+"""Secrets in texts: fixed patterns, and strings of high Shannon entropy in a sliding window. SQL expressions only.
+
+Patterns give the base spans. The entropy scan takes maximal runs of token characters as candidates and moves a
+window of ``WINDOW`` characters over each. The sum of c * log2(c) over the window's character counts is carried
+along: a step changes it by what the leaving and the entering character add, looked up by their counts. A candidate
+whose highest window entropy reaches the limit of its character class is a span, unless it is allow-listed or
+overlaps a base span.
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from roadpulse.llm.common import replaced
+
+ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+ACCESS = "AKIA[A-Z0-9]{16,}"
+HEX = "[0-9a-f]{24,}"
+KINDS = ("assign", "access", "hex", "entropy")
+WINDOW = 20
+CANDIDATE = f"[A-Za-z0-9+/_=-]{{{WINDOW},}}"
+# Class of a candidate, by the first pattern that fits, and the entropy in bits from which it is a secret.
+CLASSES = (("^[0-9]+$", 9.0), ("^[0-9a-fA-F]+$", 3.05), ("^(?=.*[0-9])[a-z0-9]+$|^(?=.*[0-9])[A-Z0-9]+$", 3.55), ("(?=.*[0-9])(?=.*[A-Za-z])", 3.95))
+# Never secrets: UUIDs, spelled-out alphabets and digits, placeholders, one character many times over, paths of words.
+ALLOWED = (
+    "^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$", "(?i)abcdefgh|01234567|12345678", "(?i)example|placeholder|changeme|dummy|redacted",
+    r"(.)\1{7}", "^/?([A-Za-z]+/)+[A-Za-z]*$",
+)
+MASK = "[SECRET]"
+
+
+def _spans(text: Column, pattern: str, kind: int) -> Column:
+    """Spans of all matches: array of (start, kind, end, match), in code points, end exclusive."""
+    found, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
+    empty = F.expr("cast(array() as array<struct<start:int,kind:int,end:int,match:string>>)")
+
+    def step(done: Column, i: Column) -> Column:
+        start = done["at"] + F.length(F.get(between, i))
+        end = start + F.length(F.get(found, i))
+        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), F.get(found, i).alias("match"))
+        return F.struct(end.alias("at"), F.concat(done["out"], F.array(span)).alias("out"))
+
+    none = F.struct(F.lit(0).alias("at"), empty.alias("out"))
+    walked = F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), none, step, lambda done: done["out"])
+    return F.when(text.rlike(pattern), walked).otherwise(empty)
+
+
+def window_entropy(run: Column, window: int = WINDOW) -> Column:
+    """Highest Shannon entropy, in bits, of the windows of an ASCII string of at least ``window`` characters."""
+    # What the c-th like character adds to the sum of c * log2(c).
+    gain = F.array(*[F.lit(c * math.log2(c) - (c - 1) * math.log2(c - 1) if c > 1 else 0.0) for c in range(1, window + 2)])
+    raw = run.cast("binary")
+
+    def part(start: Column, size: Column) -> Column:
+        return F.substring(raw, start, size).cast("string")
+
+    def like(text: Column, char: Column) -> Column:
+        return F.length(text) - F.length(F.replace(text, char, F.lit("")))
+
+    def bits(total: Column) -> Column:
+        return math.log2(window) - total / window
+
+    def step(state: Column, i: Column) -> Column:
+        full = i > window
+        leaving = F.when(full, F.get(gain, like(part(i - window, F.lit(window)), part(i - window, F.lit(1))) - 1)).otherwise(F.lit(0.0))
+        rest = part(F.greatest(i - window + 1, F.lit(1)), F.least(i, F.lit(window)) - 1)
+        entering = F.get(gain, like(rest, part(i, F.lit(1))))
+        best = F.when(full, F.greatest(state["best"], bits(state["sum"]))).otherwise(state["best"])
+        return F.struct((state["sum"] - leaving + entering).alias("sum"), best.alias("best"))
+
+    start = F.struct(F.lit(0.0).alias("sum"), F.lit(0.0).alias("best"))
+    return F.aggregate(F.sequence(F.lit(1), F.length(run)), start, step, lambda s: F.greatest(s["best"], bits(s["sum"])))
+
+
+def _suspicious(span: Column) -> Column:
+    run = span["match"]
+    limit = F.lit(9.0)
+    for pattern, bits in reversed(CLASSES):
+        limit = F.when(run.rlike(pattern), F.lit(bits)).otherwise(limit)
+    allowed = run.rlike("|".join(f"(?:{p})" if r"\1" not in p else p for p in ALLOWED))
+    return F.when(run.rlike("[0-9]") & ~allowed, window_entropy(run) >= limit).otherwise(F.lit(False))
+
+
+def find_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with ``base_spans`` and ``secret_spans``, arrays of (start, kind, end) by start, then kind.
+
+    ``kind`` is an index into ``KINDS``. A null text counts as empty and has no spans. Rows are treated alone:
+    repeated rows stay, an empty table stays empty, and columns of the new names are replaced.
+    """
+    whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    found = docs.withColumn("__assign", F.filter(_spans(whole, ASSIGN, 0), lambda s: F.length(F.regexp_extract(s["match"], ASSIGN, 2)) >= 6))
+    found = found.withColumn("__base", F.array_sort(F.concat("__assign", _spans(whole, ACCESS, 1), _spans(whole, HEX, 2))))
+
+    def new(span: Column) -> Column:
+        clear = ~F.exists("__base", lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
+        return clear & _suspicious(span)
+
+    found = found.withColumn("__more", F.filter(_spans(whole, CANDIDATE, 3), new))
+
+    def short(spans: Column) -> Column:
+        return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
+
+    out = replaced(found, base_spans=short(F.col("__base")), secret_spans=short(F.array_sort(F.concat("__base", "__more"))))
+    return out.drop("__assign", "__base", "__more")
+
+
+def spelled(spans: Column) -> Column:
+    """kind:start:end of each span, joined by commas."""
+    names = F.array(*map(F.lit, KINDS))
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"])), ",")
+
+
+def count_kind(spans: Column, kind: int) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
+
+
+def masked(text: Column, spans: Column) -> Column:
+    """``text`` with each run of overlapping spans replaced by ``MASK``; null stays null."""
+
+    def step(done: Column, span: Column) -> Column:
+        apart = span["start"] >= done["at"]
+        more = F.concat(done["out"], F.substring(text, done["at"] + 1, span["start"] - done["at"]), F.lit(MASK))
+        return F.struct(F.greatest(done["at"], span["end"]).alias("at"), F.when(apart, more).otherwise(done["out"]).alias("out"))
+
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    end = F.aggregate(spans, start, step, lambda d: F.concat(d["out"], F.substring(text, d["at"] + 1, F.length(text))))
+    return F.when(F.size(spans) > 0, end).otherwise(text)
