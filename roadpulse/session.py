@@ -24,7 +24,7 @@ def shared_dir(spark: SparkSession) -> str:
     if current is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
         if named is None:
-            if not sc.master.startswith("local"):
+            if sc.master != "local" and not sc.master.startswith("local["):
                 raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
             named = tempfile.mkdtemp(prefix="roadpulse-")
         sc.setCheckpointDir(named)

@@ -4,7 +4,8 @@ import duckdb
 import pytest
 from conftest import SF_DIR
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from roadpulse.plans.registry import ORACLES, QUERIES
 from tools.check import TABLES, rows_of
 
 @pytest.fixture(scope="module")
@@ -15,16 +16,16 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_check(name, spark, duck):
-    got = queries()[name](spark, SF_DIR).toPandas()
-    want = duck.execute(oracle_sql()[name]).df()
+    got = QUERIES[name](spark, SF_DIR).toPandas()
+    want = duck.execute(ORACLES[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert rows_of(got) == rows_of(want)
 
 
 def test_every_query_has_a_check():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):
@@ -33,10 +34,10 @@ def test_entry(spark):
 
 def test_results_do_not_depend_on_the_session_time_zone(spark):
     before = spark.conf.get("spark.sql.session.timeZone")
-    utc = {name: rows_of(queries()[name](spark, SF_DIR).toPandas()) for name in ("speed_ema", "sink_history_log", "cycle_window")}
+    utc = {name: rows_of(QUERIES[name](spark, SF_DIR).toPandas()) for name in ("speed_ema", "sink_history_log", "cycle_window")}
     try:
         spark.conf.set("spark.sql.session.timeZone", "America/New_York")
         for name, rows in utc.items():
-            assert rows_of(queries()[name](spark, SF_DIR).toPandas()) == rows
+            assert rows_of(QUERIES[name](spark, SF_DIR).toPandas()) == rows
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
