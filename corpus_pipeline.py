@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import language, pieces, secrets
+from roadpulse.llm import language, ngram_join, pieces, secrets
 from roadpulse.session import scratch_path
 
 
@@ -15,6 +15,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.select(*[F.col("lang_pred").alias("lang") if c == "lang" else F.col(c) for c in docs.columns])
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of copies and near copies."""
+    return ngram_join.one_per_class(docs)
+
+
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with every secret masked and ``n_chars`` brought up to date."""
     found = secrets.find_secrets(docs)
@@ -32,6 +37,7 @@ def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES = [
     ("language_id", language_id),
+    ("near_duplicates", near_duplicates),
     ("secret_scan", secret_scan),
     ("sentencepiece", sentencepiece),
 ]

@@ -57,6 +57,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    """base**0 .. base**(n-1) modulo 2**64."""
+    factors = np.full(n, base, np.uint64)
+    factors[0] = 1
+    return np.cumprod(factors, dtype=np.uint64)
+
+
 def byte_class(letters_only: bool) -> np.ndarray:
     """Which bytes belong to a word: all but ASCII white space, or only ASCII alphanumerics and bytes from 128."""
     word = np.ones(256, bool)
@@ -86,9 +93,8 @@ def hash_words(texts: pa.Array, word: np.ndarray) -> tuple[np.ndarray, np.ndarra
     after = np.concatenate((inside[1:], [False]))
     after[cut[cut > 0] - 1] = False
     ends = np.flatnonzero(inside & ~after) + 1
-    powers = np.cumprod(np.concatenate(([1], np.full(len(raw), _POWER))).astype(np.uint64), dtype=np.uint64)
+    powers, back = _powers(_POWER, len(raw) + 1), _powers(pow(_POWER, -1, 2**64), len(raw) + 1)
     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum((raw + np.uint64(1)) * powers[:-1], dtype=np.uint64)))
-    back = np.cumprod(np.concatenate(([1], np.full(len(raw), pow(_POWER, -1, 2**64), np.uint64))).astype(np.uint64), dtype=np.uint64)
     hashes = mix((total[ends] - total[starts]) * back[starts] + (ends - starts).astype(np.uint64) * _ODD)
     return hashes, np.searchsorted(starts, offsets).astype(np.int64)
 

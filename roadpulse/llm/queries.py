@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import language, pieces, secrets
+from roadpulse.llm import language, ngram_join, pieces, secrets
 from roadpulse.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,12 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+@query()
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class, and numbers of linked rows and texts, of every document."""
+    return ngram_join.jaccard_join(read_table(spark, sf_dir, "documents")).drop("first_copy")
+
+
 @query()
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document with the end id, and the text they decode to, as digests."""
