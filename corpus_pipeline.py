@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import language, ngram_join, pieces, secrets
+from roadpulse.llm import decontaminate, language, ngram_join, pieces, secrets
 from roadpulse.session import scratch_path
 
 
@@ -20,6 +20,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return ngram_join.one_per_class(docs)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of the benchmark."""
+    return decontaminate.without_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with every secret masked and ``n_chars`` brought up to date."""
     found = secrets.find_secrets(docs)
@@ -38,6 +43,7 @@ def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 STAGES = [
     ("language_id", language_id),
     ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
     ("secret_scan", secret_scan),
     ("sentencepiece", sentencepiece),
 ]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import language, ngram_join, pieces, secrets
+from roadpulse.llm import decontaminate, language, ngram_join, pieces, secrets
 from roadpulse.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,14 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [secrets.count_kind(base, i).alias(f"n_{k}") for i, k in enumerate(secrets.KINDS[:3])]
     digest = F.sha2(secrets.spelled(base), 256)
     return found.select("doc_id", *counts, digest.alias("base_sha256"), secrets.spelled(F.col("secret_spans")).alias("spans"))
+
+
+@query()
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in every document; documents with any are contaminated."""
+    docs, benchmark = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    pairs = decontaminate.contaminated(docs, benchmark)
+    found = pairs.groupBy("doc_id").agg(F.array_sort(F.collect_list("item_id")).alias("item_ids"), F.max("lcs").alias("lcs"))
+    rows = docs.select("doc_id").join(found, "doc_id", "left")
+    items = F.coalesce("item_ids", F.array().cast("array<bigint>"))
+    return rows.select("doc_id", F.col("item_ids").isNotNull().alias("contaminated"), items.alias("item_ids"), "lcs")
