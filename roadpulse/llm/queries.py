@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import decontaminate, language, ngram_join, pieces, secrets
+from roadpulse.llm import decontaminate, language, ngram_join, pieces, secrets, sharding, urls, warc
 from roadpulse.llm.common import read_table
+from roadpulse.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,6 +37,36 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+# Rules of the URL query, and words whose hosts make up its list.
+RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+LISTED_HOSTS = "adult-x|cheap-pills|ads-track|spam-farm|casino-win|free-bets"
+
+_URLS_SQL = f"""
+with rules(rhost, rpath, rverdict) as (values {", ".join(map(str, RULES))}),
+parts as (
+ select page_id, url, case when contains(url, '://') then translate(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') else '' end host,
+  case when contains(url, '://') then regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1) else '' end path
+ from pages),
+spelled as (
+ select *, regexp_replace(regexp_replace(host, '^www\\.', ''), ':(80|443)$', '') || regexp_replace(path, '/+$', '') address from parts),
+listed as (select distinct address from spelled where regexp_matches(host, '{LISTED_HOSTS}')),
+urls as (select distinct url, host, path, address from spelled),
+fits as (
+ select url, rhost || rpath rule, rverdict from urls join rules on (host = rhost or ends_with(host, '.' || rhost)) and starts_with(path, rpath)
+ qualify row_number() over (partition by url order by length(rhost || rpath) desc, length(rhost) desc) = 1)
+select page_id, host, path, rule, coalesce(rverdict, case when address in (select address from listed) then 'block' else 'allow' end) verdict
+from spelled left join fits using (url)"""
+
+
+@query(_URLS_SQL)
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of every page's URL, by rules or else by the list of pages on unwanted hosts."""
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    listed = pages.filter(urls.host_and_path(F.col("url"))[0].rlike(LISTED_HOSTS)).select("url").distinct()
+    return urls.judge(pages, rules, listed).select("page_id", "host", "path", "rule", "verdict")
+
+
 @query()
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class, and numbers of linked rows and texts, of every document."""
@@ -50,6 +81,12 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+@query()
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document, in 24 shards of near-equal bytes."""
+    return sharding.shard(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 # Spans of one pattern: matches and the text between them, laid end to end.
 _SPANS = """
 {name} as (
@@ -117,3 +154,17 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = docs.select("doc_id").join(found, "doc_id", "left")
     items = F.coalesce("item_ids", F.array().cast("array<bigint>"))
     return rows.select("doc_id", F.col("item_ids").isNotNull().alias("contaminated"), items.alias("item_ids"), "lcs")
+
+
+@query("""
+with pay as (select page_id, coalesce(html, '') p from pages),
+sized as (select page_id, strlen(p) n, sha256(p) d from pay),
+firsts as (select d, min(page_id) f from sized where n >= 100 group by d)
+select page_id, n payload_bytes, d payload_digest, case when f is null or f is not distinct from page_id then 'response' else 'revisit' end record_type,
+ case when f is not null and f is distinct from page_id then f end refers_to
+from (select s.*, case when n >= 100 then f end f from sized s left join firsts using (d))""")
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as a WARC record and read back from the archives."""
+    path = scratch_path(spark, "warc")
+    warc.write_archives(read_table(spark, sf_dir, "pages"), path)
+    return warc.page_records(warc.read_archives(spark, path))
