@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import decontaminate, language, ngram_join, pieces, secrets
+from roadpulse.llm import decontaminate, language, ngram_join, pieces, secret_scan
 from roadpulse.session import scratch_path
 
 
@@ -25,10 +25,10 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return decontaminate.without_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with every secret masked and ``n_chars`` brought up to date."""
-    found = secrets.find_secrets(docs)
-    text = secrets.masked(F.col("text"), F.col("secret_spans"))
+    found = secret_scan.find_secrets(docs)
+    text = secret_scan.masked(F.col("text"), F.col("secret_spans"))
     changed = F.size("secret_spans") > 0
     new = {"text": text, "n_chars": F.when(changed, F.length(text).cast("bigint")).otherwise(F.col("n_chars"))}
     return found.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
@@ -44,7 +44,7 @@ STAGES = [
     ("language_id", language_id),
     ("near_duplicates", near_duplicates),
     ("decontamination", decontamination),
-    ("secret_scan", secret_scan),
+    ("secret_scan", secrets),
     ("sentencepiece", sentencepiece),
 ]
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import decontaminate, language, ngram_join, pieces, secrets, sharding, urls, warc
+from roadpulse.llm import decontaminate, language, nearest, ngram_join, pieces, secret_scan, sharding, token_counts, urls, warc
 from roadpulse.llm.common import read_table
 from roadpulse.session import scratch_path
 
@@ -67,6 +67,21 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, rules, listed).select("page_id", "host", "path", "rule", "verdict")
 
 
+# Mail and network addresses, which the edits of the token query mask.
+ADDRESS = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+|\b[0-9]{1,3}(?:\.[0-9]{1,3}){3}\b"
+
+
+@query()
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document as it is, and after its mail and network addresses were masked by edits."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.pattern_spans(F.coalesce("text", F.lit("")), ADDRESS)
+    masks = F.transform(found, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit("[ADDRESS]").alias("text")))
+    counted = token_counts.count_tokens(docs.withColumn("edits", masks)).withColumnRenamed("n_tokens", "n_before")
+    edited = token_counts.apply_edits(counted.withColumn("n_tokens", F.col("n_before")))
+    return edited.select("doc_id", "n_before", "n_tokens", "n_edits", "n_reencoded", F.size("token_starts").alias("n_segments"))
+
+
 @query()
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class, and numbers of linked rows and texts, of every document."""
@@ -81,6 +96,12 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+@query()
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five nearest other vectors of every fiftieth."""
+    return nearest.nearest(read_table(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
 @query()
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document, in 24 shards of near-equal bytes."""
@@ -105,7 +126,7 @@ def _secrets_sql() -> str:
     assign = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
     parts = [
         _SPANS.format(name=name, kind=kind, pattern=_sql(pattern))
-        for kind, (name, pattern) in enumerate((("a", assign), ("k", secrets.ACCESS), ("h", secrets.HEX), ("c", secrets.CANDIDATE)))
+        for kind, (name, pattern) in enumerate((("a", assign), ("k", secret_scan.ACCESS), ("h", secret_scan.HEX), ("c", secret_scan.CANDIDATE)))
     ]
     return f"""
 with texts as (select doc_id, coalesce(text, '') t from documents), {','.join(parts)},
@@ -116,14 +137,14 @@ cand as (
  select c.doc_id, c.s, c.m, c.s + length(c.m) e,
   case when regexp_matches(m, '^[0-9a-fA-F]+$') then 3.05 when regexp_matches(m, '^[a-z0-9]+$|^[A-Z0-9]+$') then 3.55 else 3.95 end lim
  from c where regexp_matches(m, '[0-9]') and regexp_matches(m, '[A-Za-z]')
-  and not regexp_matches(m, {_sql("|".join(f"(?:{p})" for p in secrets.ALLOWED if chr(92) + "1" not in p))})
+  and not regexp_matches(m, {_sql("|".join(f"(?:{p})" for p in secret_scan.ALLOWED if chr(92) + "1" not in p))})
   and not exists (select 1 from (select unnest(string_split(m, '')) x) where contains(m, repeat(x, 8)))
   and not exists (select 1 from base b where b.doc_id = c.doc_id and b.s < c.s + length(c.m) and c.s < b.e)),
-windows as (select doc_id, s, e, lim, i, unnest(string_split(substr(m, i, {secrets.WINDOW}), '')) x
- from (select *, unnest(range(1, length(m) - {secrets.WINDOW} + 2)) i from cand)),
+windows as (select doc_id, s, e, lim, i, unnest(string_split(substr(m, i, {secret_scan.WINDOW}), '')) x
+ from (select *, unnest(range(1, length(m) - {secret_scan.WINDOW} + 2)) i from cand)),
 more as (
  select distinct doc_id, s, 3 kind, e from (
-  select doc_id, s, e, i, lim, log2({secrets.WINDOW}) - sum(n * log2(n)) / {secrets.WINDOW} bits
+  select doc_id, s, e, i, lim, log2({secret_scan.WINDOW}) - sum(n * log2(n)) / {secret_scan.WINDOW} bits
   from (select doc_id, s, e, i, lim, x, count(*) n from windows group by all) group by all)
  where bits >= lim),
 every as (
@@ -138,11 +159,11 @@ from texts t left join every using (doc_id) group by t.doc_id"""
 @query(_secrets_sql())
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and digest of the base spans, and all spans, of every document."""
-    found = secrets.find_secrets(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = secret_scan.find_secrets(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.col("base_spans")
-    counts = [secrets.count_kind(base, i).alias(f"n_{k}") for i, k in enumerate(secrets.KINDS[:3])]
-    digest = F.sha2(secrets.spelled(base), 256)
-    return found.select("doc_id", *counts, digest.alias("base_sha256"), secrets.spelled(F.col("secret_spans")).alias("spans"))
+    counts = [secret_scan.count_kind(base, i).alias(f"n_{k}") for i, k in enumerate(secret_scan.KINDS[:3])]
+    digest = F.sha2(secret_scan.spelled(base), 256)
+    return found.select("doc_id", *counts, digest.alias("base_sha256"), secret_scan.spelled(F.col("secret_spans")).alias("spans"))
 
 
 @query()

@@ -32,7 +32,7 @@ ALLOWED = (
 MASK = "[SECRET]"
 
 
-def _spans(text: Column, pattern: str, kind: int) -> Column:
+def pattern_spans(text: Column, pattern: str, kind: int = 0) -> Column:
     """Spans of all matches: array of (start, kind, end, match), in code points, end exclusive."""
     found, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
     empty = F.expr("cast(array() as array<struct<start:int,kind:int,end:int,match:string>>)")
@@ -91,14 +91,14 @@ def find_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
     repeated rows stay, an empty table stays empty, and columns of the new names are replaced.
     """
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    found = docs.withColumn("__assign", F.filter(_spans(whole, ASSIGN, 0), lambda s: F.length(F.regexp_extract(s["match"], ASSIGN, 2)) >= 6))
-    found = found.withColumn("__base", F.array_sort(F.concat("__assign", _spans(whole, ACCESS, 1), _spans(whole, HEX, 2))))
+    found = docs.withColumn("__assign", F.filter(pattern_spans(whole, ASSIGN, 0), lambda s: F.length(F.regexp_extract(s["match"], ASSIGN, 2)) >= 6))
+    found = found.withColumn("__base", F.array_sort(F.concat("__assign", pattern_spans(whole, ACCESS, 1), pattern_spans(whole, HEX, 2))))
 
     def new(span: Column) -> Column:
         clear = ~F.exists("__base", lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
         return clear & _suspicious(span)
 
-    found = found.withColumn("__more", F.filter(_spans(whole, CANDIDATE, 3), new))
+    found = found.withColumn("__more", F.filter(pattern_spans(whole, CANDIDATE, 3), new))
 
     def short(spans: Column) -> Column:
         return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
