@@ -12,6 +12,8 @@ from roadpulse.operators.scan import Fold, ordered_scan
 from roadpulse.session import HOT_ROWS
 
 
+# Sorts before every real time.
+FIRST = -(2**62)
 # Slowdown at which the next status is at least YELLOW or RED, by previous status; GREEN never leads to RED.
 YELLOW_FROM = {None: K.YELLOW_ENTER, K.GREEN: K.YELLOW_ENTER, K.YELLOW: K.YELLOW_EXIT, K.RED: K.YELLOW_EXIT}
 RED_FROM = {None: K.RED_ENTER, K.GREEN: float("inf"), K.YELLOW: K.RED_ENTER, K.RED: K.RED_EXIT}
@@ -32,10 +34,9 @@ def smooth_step(state: tuple | None, t: int, raw_speed: float, free_flow: float)
     return (stored, status_now, t), (previous, status, state[2] if live else None, ema, stored, status_now)
 
 
-def _edge_entries(t: int, raw_speed: float, free_flow: float) -> dict:
-    # Smoothed speeds never leave the range of raw speeds, and those end at the free flow or the floor.
-    top = int(max(free_flow, K.MIN_SPEED_KMH) * 10) + 1
-    return {(s / 10, status): (s / 10, status, t) for s in range(top + 1) for status in K.STATUSES}
+def _edge_entries(t: int, raw_speed: float, free_flow: float, top: float) -> dict:
+    # Smoothed speeds never leave the range of the key's raw and stored speeds.
+    return {(s / 10, status): (s / 10, status, t) for s in range(int(top * 10) + 2) for status in K.STATUSES}
 
 
 def _edge_label(state: tuple, t: int) -> tuple | None:
@@ -48,6 +49,7 @@ EDGE_FOLD = Fold(
     step=smooth_step,
     entry_states=_edge_entries,
     entry_label=_edge_label,
+    bound="raw_speed",
 )
 
 
@@ -60,8 +62,9 @@ RESUMED_FOLD = Fold(
     inputs=("raw_speed", "free_flow", "seed"),
     outputs=EDGE_FOLD.outputs,
     step=_resumed_step,
-    entry_states=lambda t, raw, free_flow, seed: _edge_entries(t, raw, free_flow) if seed is None else {},
+    entry_states=lambda t, raw, free_flow, seed, top: _edge_entries(t, raw, free_flow, top) if seed is None else None,
     entry_label=_edge_label,
+    bound="raw_speed",
 )
 
 
@@ -93,19 +96,35 @@ def speed_and_status(
     """Smoothed speed and status after every observation.
 
     ``sequential`` folds each row; ``batch`` folds the last row of each batch only. ``previous`` holds
-    the stored state (edge_id, speed, t, status) of earlier data, from which the fold goes on.
+    the stored state (edge_id, speed, t, status) of earlier data, from which the fold goes on, also for
+    rows that are older than it.
     """
     rows = batch_last_writer(series) if mode == "batch" else series
     needed = ["edge_id", "t", "event_id", "raw_speed", "free_flow"]
     rows = rows.select(*needed, *(["batch_id"] if mode == "batch" else []))
     if previous is None:
         return ordered_scan(rows, "edge_id", "t", "event_id", EDGE_FOLD, hot_rows)
+    # A row older than the stored state still meets it, and leaves its time as it is: rows count from that time on.
+    known = previous.select("edge_id", F.col("t").alias("stored_t"))
+    rows = rows.join(known, "edge_id", "left").withColumn("clock", F.greatest("t", F.coalesce("stored_t", "t"))).drop("stored_t")
     seeds = previous.select(
-        "edge_id", "t", F.lit(-1).cast("bigint").alias("event_id"), F.col("speed").alias("raw_speed"), F.col("status").alias("seed")
+        "edge_id", F.lit(FIRST).alias("t"), F.lit(-1).cast("bigint").alias("event_id"), F.col("speed").alias("raw_speed"),
+        F.col("status").alias("seed"), F.col("t").alias("clock"),
     )
     both = rows.withColumn("seed", F.lit(None).cast("string")).unionByName(seeds, allowMissingColumns=True)
-    folded = ordered_scan(both, "edge_id", "t", "event_id", RESUMED_FOLD, hot_rows)
-    return folded.filter(F.col("seed").isNull()).drop("seed")
+    folded = ordered_scan(both, "edge_id", "clock", ["t", "event_id"], RESUMED_FOLD, hot_rows)
+    return folded.filter(F.col("seed").isNull()).drop("seed", "clock")
+
+
+def carried_state(speeds: DataFrame, previous: DataFrame | None) -> DataFrame:
+    """State after ``speeds``, which went on from ``previous``: the last row of each edge, never dated back by a late one."""
+    new = latest_state(speeds)
+    if previous is None:
+        return new
+    old = previous.select("edge_id", *[F.col(c).alias(f"old_{c}") for c in ("speed", "t", "event_id", "status")])
+    seen = F.col("speed").isNotNull()
+    kept = [F.when(seen, F.col(c)).otherwise(F.col(f"old_{c}")).alias(c) for c in ("speed", "event_id", "status")]
+    return new.join(old, "edge_id", "full_outer").select("edge_id", kept[0], F.greatest("t", "old_t").alias("t"), *kept[1:])
 
 
 def latest_state(speeds: DataFrame) -> DataFrame:

@@ -23,9 +23,14 @@ def _stored(spark: SparkSession, path: str, before: int) -> DataFrame | None:
 def calibration_job(
     frames: DataFrame, detections: DataFrame, coefficients: DataFrame, mask_path: str, limits_path: str, version: int
 ) -> DataFrame:
-    """Learns road masks and load limits, publishes both and reports cameras with too few frames."""
+    """Learns road masks and load limits, publishes both and reports cameras with too few frames.
+
+    The heatmap adds up over all versions; frame counts and largest loads are those of this run alone.
+    """
     spark = frames.sparkSession
-    runs = raster.road_mask_calibrated(raster.heatmap(detections), frames)
+    heat, stored = raster.heatmap(detections), _stored(spark, f"{mask_path}/heatmap", version)
+    sinks.publish_version(heat if stored is None else raster.heatmap_merge(stored, heat), f"{mask_path}/heatmap", version)
+    runs = raster.road_mask_calibrated(sinks.read_version(spark, f"{mask_path}/heatmap", version), frames)
     sinks.publish_version(runs, f"{mask_path}/runs", version)
     sinks.publish_version(frames.select(*raster.CAMERA).distinct(), f"{mask_path}/cameras", version)
     stats = materialize(calibration.calibration_stats(meu_per_frame(frames, detections, coefficients)))
@@ -43,20 +48,21 @@ def load_mask(spark: SparkSession, mask_path: str) -> RoadMask:
 def traffic_job(
     frames: DataFrame, detections: DataFrame, mask: RoadMask, coefficients: DataFrame, camera_edges: DataFrame,
     free_flow: DataFrame, thresholds: DataFrame, out: str, state_path: str, version: int, mode: str = "sequential",
+    lateness: int | None = None,
 ) -> None:
     """Boxes to smoothed speed and status per edge, going on from the state before ``version``.
 
     ``frames`` carry their time ``t`` (and ``batch_id`` in batch mode). Results lie in
-    ``out``/version=N, the state in ``state_path``/version=N; a repeated version gives the same.
+    ``out``/version=N, the state in ``state_path``/version=N; a repeated version gives the same. Late
+    rows meet the stored state too; edges leave it only when ``lateness`` bounds how late rows can be.
     """
     spark = frames.sparkSession
     observed = frame_metrics(frames, detections, mask, coefficients).withColumnRenamed("frame_id", "event_id")
     series = edge_state.edge_series(observed, camera_edges, free_flow, thresholds)
     previous = _stored(spark, state_path, version)
     sinks.publish_version(edge_state.speed_and_status(series, mode, previous=previous), out, version)
-    state = edge_state.latest_state(sinks.read_version(spark, out, version))
-    state = state if previous is None else edge_state.latest_state(state.unionByName(previous))
-    sinks.publish_version(edge_state.expire_state(state), state_path, version)
+    state = edge_state.carried_state(sinks.read_version(spark, out, version), previous)
+    sinks.publish_version(state if lateness is None else edge_state.expire_state(state, lateness), state_path, version)
 
 
 def geometry_job(spark: SparkSession, cameras_path: str, out: str, multi_line: bool = False) -> DataFrame:

@@ -47,5 +47,5 @@ def frame_speeds(
 def accident_alerts(frames: DataFrame, camera_edges: DataFrame, cameras: DataFrame, confidence: float) -> DataFrame:
     """Published alert records from a series of frames with their best detection."""
     series = accident.incident_series(frames, camera_edges, confidence)
-    alerts = accident.alert_cooldown(accident.incident_streak(series))
+    alerts = accident.alert_cooldown(accident.incident_streak(series), counted=series)
     return accident.alert_records(alerts, camera_edges, cameras)

@@ -53,13 +53,24 @@ def publish_version(df: DataFrame, path: str, version: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/version={version}")
 
 
-def latest_version(spark: SparkSession, path: str, before: int | None = None) -> int | None:
-    """Highest complete version, optionally below ``before``; only folder names are listed."""
+def _versions(spark: SparkSession, path: str) -> list[tuple[int, object, object]]:
+    """(version, folder, file system) of the complete versions; only folder names are listed."""
     hadoop = spark._jvm.org.apache.hadoop.fs
     marker = hadoop.Path(f"{path}/version=*/_SUCCESS")
-    found = marker.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(marker)
-    versions = [int(status.getPath().getParent().getName().split("=")[1]) for status in found]
-    return max((v for v in versions if before is None or v < before), default=None)
+    system = marker.getFileSystem(spark._jsc.hadoopConfiguration())
+    folders = [status.getPath().getParent() for status in system.globStatus(marker) or []]
+    return sorted(((int(f.getName().split("=")[1]), f, system) for f in folders), key=lambda v: v[0])
+
+
+def latest_version(spark: SparkSession, path: str, before: int | None = None) -> int | None:
+    """Highest complete version, optionally below ``before``."""
+    return max((v for v, *_ in _versions(spark, path) if before is None or v < before), default=None)
+
+
+def drop_versions(spark: SparkSession, path: str, keep: int) -> None:
+    """Removes all complete versions but the ``keep`` newest, so that folders don't pile up over a long run."""
+    for _, folder, system in _versions(spark, path)[:-keep]:
+        system.delete(folder, True)
 
 
 def read_version(spark: SparkSession, path: str, version: int) -> DataFrame:

@@ -6,13 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from roadpulse.operators.edge_state import expire_state, latest_state, speed_and_status
+from roadpulse.operators.accident import alert_records
+from roadpulse.operators.edge_state import carried_state, edge_series, expire_state, speed_and_status
 from roadpulse.plans.traffic import RoadMask, frame_metrics
 from roadpulse.session import HOT_ROWS
-from roadpulse.sources.sinks import latest_version, publish_version, read_version, upsert_latest
+from roadpulse.sources.sinks import alert_json, drop_versions, latest_version, publish_version, read_version, upsert_latest
 from roadpulse.streaming import state
 
 WATERMARK_SECONDS = 60
+# Versions of a state table that are kept; the last but one serves a replayed batch.
+STATE_VERSIONS = 5
 
 
 def file_stream(spark: SparkSession, path: str, schema: str, files_per_batch: int) -> DataFrame:
@@ -49,42 +52,85 @@ def _append(df: DataFrame, out: str, checkpoint: str, every: int | None) -> Stre
     return cycle_trigger(writer.option("path", out).option("checkpointLocation", checkpoint), every).start()
 
 
+def _advance(rows: DataFrame, batch_id: int, out: str, state_path: str, mode: str, hot_rows: int) -> None:
+    """Speeds of one micro-batch, going on from the state before it; a replayed batch gives the same files.
+
+    Rows later than the watermark are dropped, all others meet the stored state; states that no admissible
+    row could still reach are expired.
+    """
+    spark = rows.sparkSession
+    stored = latest_version(spark, state_path, before=batch_id)
+    previous = None if stored is None else read_version(spark, state_path, stored)
+    if previous is not None:
+        newest = previous.agg(F.max("t")).first()[0]
+        rows = rows if newest is None else rows.filter(F.col("t") > newest - WATERMARK_SECONDS)
+    target = f"{out}/batch={batch_id}"
+    speed_and_status(rows, mode, hot_rows, previous).write.mode("overwrite").parquet(target)
+    state = carried_state(spark.read.parquet(target), previous)
+    publish_version(expire_state(state, WATERMARK_SECONDS), state_path, batch_id)
+    drop_versions(spark, state_path, keep=STATE_VERSIONS)
+
+
 def stream_edge_speeds(
     series: DataFrame, out: str, state_path: str, checkpoint: str, every: int | None = None, hot_rows: int = HOT_ROWS
 ) -> StreamingQuery:
     """Smoothed speed and status per edge from a stream of edge observations.
 
     Every micro-batch goes on from the published state table with the batch operator, so a hot edge is
-    split over tasks here too. Results lie in ``out``/batch=N and the state in ``state_path``/version=N;
-    both are rewritten when a batch is replayed. Rows later than the watermark are dropped, and states
-    that no admissible row could still reach are expired.
+    split over tasks here too. Results lie in ``out``/batch=N and the state in ``state_path``/version=N.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark, batch = batch.sparkSession, batch.persist()
-        stored = latest_version(spark, state_path, before=batch_id)
-        previous = None if stored is None else read_version(spark, state_path, stored)
-        rows = batch
-        if previous is not None:
-            newest = previous.agg(F.max("t")).first()[0]
-            rows = batch if newest is None else batch.filter(F.col("t") > newest - WATERMARK_SECONDS)
-        target = f"{out}/batch={batch_id}"
-        speed_and_status(rows, hot_rows=hot_rows, previous=previous).write.mode("overwrite").parquet(target)
-        state = latest_state(spark.read.parquet(target))
-        if previous is not None:
-            state = latest_state(state.unionByName(previous))
-        publish_version(expire_state(state, WATERMARK_SECONDS), state_path, batch_id)
+        batch = batch.persist()
+        _advance(batch, batch_id, out, state_path, "sequential", hot_rows)
         batch.unpersist()
 
     writer = series.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return cycle_trigger(writer, every).start()
 
 
+def stream_traffic(
+    frames: DataFrame, mask: RoadMask, coefficients: DataFrame, camera_edges: DataFrame, free_flow: DataFrame,
+    thresholds: DataFrame, out: str, state_path: str, checkpoint: str, every: int | None = None,
+    mode: str = "sequential", hot_rows: int = HOT_ROWS,
+) -> StreamingQuery:
+    """Boxes to published speed and status per edge, in one pass.
+
+    Each input row is a whole frame with its ``boxes`` (schemas.FRAME), so no frame is split over
+    micro-batches. In ``batch`` mode all of a micro-batch meet the state before it and the last one of an edge counts.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        held = batch.drop("boxes")
+        boxes = batch.select("cam", "frame_id", "img_h", "img_w", F.inline("boxes"))
+        observed = frame_metrics(held, boxes, mask, coefficients).withColumnRenamed("frame_id", "event_id")
+        series = edge_series(observed, camera_edges, free_flow, thresholds).withColumn("batch_id", F.lit(batch_id))
+        _advance(series, batch_id, out, state_path, mode, hot_rows)
+        batch.unpersist()
+
+    writer = frames.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return cycle_trigger(writer, every).start()
+
+
 def stream_accident_alerts(series: DataFrame, out: str, checkpoint: str, every: int | None = None) -> StreamingQuery:
     """Streak and alert flag for every processed frame of a stream."""
     return _append(state.accident_alerts(with_event_time(series)), out, checkpoint, every)
 
 
+def stream_alert_records(
+    series: DataFrame, camera_edges: DataFrame, cameras: DataFrame, out: str, checkpoint: str, every: int | None = None
+) -> StreamingQuery:
+    """Published alert records from a stream of processed frames, as JSON in ``out``/batch=N, rewritten on replay."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        records = alert_records(batch.filter("fires"), camera_edges, cameras)
+        alert_json(records).write.mode("overwrite").text(f"{out}/batch={batch_id}")
+
+    fired = state.accident_alerts(with_event_time(series))
+    return cycle_trigger(fired.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint), every).start()
+
+
 def stream_calibration(frame_loads: DataFrame, out: str, checkpoint: str, every: int | None = None) -> StreamingQuery:
     """Running frame count and largest load per camera, kept as a versioned table."""
     stats = frame_loads.groupBy("cam").agg(F.count(F.lit(1)).alias("frames"), F.max("meu").alias("meu_max"))
@@ -105,5 +151,3 @@ def dedup_observations(rows: DataFrame) -> DataFrame:
 
 def stream_dedup(rows: DataFrame, out: str, checkpoint: str, every: int | None = None) -> StreamingQuery:
     return _append(dedup_observations(rows).drop("ts"), out, checkpoint, every)
-
-

@@ -48,11 +48,11 @@ def _folder(step: Callable, time: str, tie: str, inputs: list[str], kept: list[s
 def alert_step(state: tuple | None, t: int, hit: bool) -> tuple[tuple, tuple]:
     """State: (hits in a row, time of the last hit, time of the last alert), all nullable."""
     hits, last_hit, last_alert = state or (None, None, None)
-    streak_state, (streak,) = streak_step((False, hits, last_hit) if hits else None, t, hit)
+    streak_state, (streak,) = streak_step((hits, last_hit) if hits else None, t, hit)
     fires = False
     if streak >= K.ALERT_STREAK:
         (last_alert,), (fires,) = cooldown_step(None if last_alert is None else (last_alert,), t)
-    _, hits, last_hit = streak_state or (None, None, None)
+    hits, last_hit = streak_state or (None, None)
     return (hits, last_hit, last_alert), (streak, fires)
 
 

@@ -92,7 +92,7 @@ def incident_rows(spark, hot=1200, seed=2):
 def test_streak_and_cooldown_equal_brute_force(spark, hot_rows):
     series = incident_rows(spark)
     want = brute_force(series.collect(), accident.streak_step, ["hit"])
-    streaks = accident.incident_streak(series, hot_rows)
+    streaks = accident.incident_streak(series, 7 * hot_rows)
     got = streaks.select("cam", "event_id", "streak").collect()
     assert sorted((tuple(r) for r in got), key=repr) == want
 

@@ -126,12 +126,12 @@ def test_latest_version_ignores_unfinished_folders(spark, tmp_path):
 
 def test_alert_text_keeps_non_ascii(spark, tmp_path):
     edges = spark.createDataFrame([(1, 1, "20"), (1, 0, "30"), (1, 2, None)], "cam long, ord int, edge_id string")
-    cameras = spark.createDataFrame([(1, "Võ Trần Chí")], "cam long, description string")
+    cameras = spark.createDataFrame([(1, "Lối Gió Mát")], "cam long, description string")
     alerts = spark.createDataFrame([(1, 9, "human_incident", 0.81249)], "cam long, t long, class_name string, conf double")
     sinks.append_alerts(accident.alert_records(alerts, edges, cameras), str(tmp_path / "alerts"))
     line = spark.read.text(str(tmp_path / "alerts")).first().value
-    assert "Võ Trần Chí" in line
-    assert json.loads(line) == {"camId": "1", "edgeIds": [30, 20], "className": "human_incident", "confidence": 0.812, "ts": 9, "location": "Võ Trần Chí"}
+    assert "Lối Gió Mát" in line
+    assert json.loads(line) == {"camId": "1", "edgeIds": [30, 20], "className": "human_incident", "confidence": 0.812, "ts": 9, "location": "Lối Gió Mát"}
 
 
 def encode(points):
