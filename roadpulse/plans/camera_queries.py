@@ -11,9 +11,10 @@ from roadpulse import schemas
 from roadpulse.functions import scalars as S
 from roadpulse.operators import accident, calibration, edge_state, metrics, raster
 from roadpulse.operators.boxes import class_label
+from roadpulse.plans import jobs as batch
 from roadpulse.plans import traffic
 from roadpulse.plans.registry import alerts_sql, query, speeds_sql, sql
-from roadpulse.plans.source_queries import _newest, _processed, _series, _speeds
+from roadpulse.plans.source_queries import _newest, _processed, _series, _speeds, arriving
 from roadpulse.session import materialize, scratch_path
 from roadpulse.sources import dimensions as dim
 from roadpulse.sources import sinks
@@ -123,6 +124,19 @@ def mask_default(spark, sf_dir):
     return raster.mask_default(mask.runs.filter("cam%4<>0"), mask.cameras).select("cam", "y", "xs", "xe")
 
 
+@query(sql("""select cam, y::int y, min(x)::int xs, (max(x) + 1)::int xe from (
+  select h.cam, h.y, h.x, h.x - row_number() over (partition by h.cam, h.y order by h.x) run from heat_px h
+  join (select cam, count(*) n from fx_frames where frame_id % 3 = 0 group by cam) c using (cam)
+  where h.hits >= greatest(1, round_even(c.n * 0.30::double, 0))) group by cam, y, run""", "heat_px fx_frames"))
+def calibration_two_runs(spark, sf_dir):
+    """Two calibration runs: heat adds up over both, the second run's frame counts set the threshold."""
+    frames, boxes = _frames_boxes(spark, sf_dir)
+    mask, limits = scratch_path(spark, "masks"), scratch_path(spark, "limits")
+    for version, own in enumerate(("frame_id % 3 <> 0", "frame_id % 3 = 0")):
+        batch.calibration_job(frames.filter(own), boxes.filter(own), dim.default_coefficients(spark), mask, limits, version)
+    return batch.load_mask(spark, mask).runs.select("cam", "y", "xs", "xe")
+
+
 @query(sql("select cam, road_px::double / (48 * 64)::double * 100 road_ratio from mask_area", "mask_area"))
 def road_ratio(spark, sf_dir):
     mask = _mask(spark, sf_dir)
@@ -151,19 +165,28 @@ def _incident_boxes(spark, sf_dir) -> DataFrame:
 _BOXES = """select *, case cls when 0 then 'human_incident' when 1 then 'vehicle_incident' end class_name,
  cls * 1000000::bigint + cast((x1 + 100) * 2 as bigint) * 1000 + cast((y1 + 100) * 2 as bigint) box
  from fx_detections where cls in (0, 1)"""
-_BEST = "max_by({'c': class_name, 'f': conf}, [conf::double, -box::double])"
+_BEST = "max_by({'c': class_name, 'f': conf, 'l': x1, 't': y1, 'r': x2, 'b': y2}, [conf::double, -box::double])"
+_BEST_COLUMNS = ", ".join(f"{_BEST}.{k} {c}" for k, c in zip("cfltrb", ("class_name", "conf", "x1", "y1", "x2", "y2")))
+
+
+def _sides(rows: DataFrame) -> DataFrame:
+    """The box of a report row as four columns."""
+    return rows.withColumns({c: F.col("bbox")[i] for i, c in enumerate(("x1", "y1", "x2", "y2"))}).drop("bbox")
 
 
-@query(sql(f"select frame_id, count(*) num_detections, {_BEST}.c class_name, {_BEST}.f conf from ({_BOXES}) group by frame_id", "fx_detections"))
+@query(sql(f"select frame_id, count(*) num_detections, {_BEST_COLUMNS} from ({_BOXES}) group by frame_id", "fx_detections"))
 def incident_best(spark, sf_dir):
-    return accident.incident_best(_incident_boxes(spark, sf_dir), ["frame_id"], "box")
+    return _sides(accident.incident_best(_incident_boxes(spark, sf_dir), ["frame_id"], "box"))
 
 
 @query(sql(f"""select f.frame_id, b.n is not null accident_detected, coalesce(b.n, 0) num_detections, f.img_w width, f.img_h height,
- 0.4::double confidence_threshold, b.class_name, b.conf from fx_frames f left join (select frame_id, count(*) n, {_BEST}.c class_name, {_BEST}.f conf
+ 0.4::double confidence_threshold, b.class_name, b.conf, b.x1, b.y1, b.x2, b.y2, coalesce(b.listed, '') listed
+ from fx_frames f left join (select frame_id, count(*) n, {_BEST_COLUMNS}, string_agg(box || ' ' || class_name, ',' order by box, class_name) listed
   from ({_BOXES}) where conf >= 0.4::double group by frame_id) b using (frame_id)""", "fx_frames fx_detections"))
 def detect_report(spark, sf_dir):
-    return accident.detect_report(fx.frames(spark, sf_dir), _incident_boxes(spark, sf_dir))
+    report = _sides(accident.detect_report(fx.frames(spark, sf_dir), _incident_boxes(spark, sf_dir)))
+    listed = F.array_join(F.transform("detections", lambda d: F.concat_ws(" ", d["box"], d["class_name"])), ",")
+    return report.withColumn("listed", listed).drop("detections")
 
 
 @query(sql(f"select frame_id, box, class_name, conf, x1, y1, x2, y2 from ({_BOXES}) where conf >= 0.4::double", "fx_detections"))
@@ -201,9 +224,12 @@ def join_location(spark, sf_dir):
     return accident.join_location(fx.incidents(spark, sf_dir).select("event_id", "cam"), cameras)
 
 
-@query(alerts_sql("""select cast(a.cam as varchar) "camId", e.ids "edgeIds", a.class_name "className", round_even(a.conf * 1000, 0) / 1000 confidence,
+_ALERT_RECORDS = alerts_sql("""select cast(a.cam as varchar) "camId", e.ids "edgeIds", a.class_name "className", round_even(a.conf * 1000, 0) / 1000 confidence,
  a.t ts, coalesce(c.description, '') "location" from alerts a join fx_cameras c using (cam)
- join (select cam, string_agg(edge_id, ',' order by ord) ids from fx_camera_edges group by cam) e using (cam) where a.fires""", "fx_cameras fx_camera_edges"))
+ join (select cam, string_agg(edge_id, ',' order by ord) ids from fx_camera_edges group by cam) e using (cam) where a.fires""", "fx_cameras fx_camera_edges")
+
+
+@query(_ALERT_RECORDS)
 def sink_alerts(spark, sf_dir):
     records = traffic.accident_alerts(
         fx.incidents(spark, sf_dir), fx.camera_edges(spark, sf_dir), fx.cameras(spark, sf_dir), FIXTURE_INCIDENT_CONFIDENCE
@@ -253,6 +279,36 @@ def stream_edge_speeds(spark, sf_dir):
     return _edge_stream(spark, sf_dir).select("edge_id", "event_id", "t", "prev_speed", "ema", "speed", "status")
 
 
+@query(speeds_sql("""select l.edge_id, l.real_event event_id, l.real_t t, s.prev_speed, s.ema, s.speed, s.status
+ from speeds s join late_series l on l.edge_id = s.edge_id and l.event_id = s.rn""", "late_series"))
+def stream_edge_speeds_late(spark, sf_dir):
+    """Micro-batches some of whose rows are late, but within the watermark: they meet the stored state in order of arrival."""
+    path, (out, progress) = scratch_path(spark, "stream"), _outputs(spark)
+    series = materialize(arriving(_series(spark, sf_dir)).select("edge_id", "t", "event_id", "raw_speed", "free_flow", "run"))
+    for run in range(6):
+        series.filter(F.col("run") == run).drop("run").repartition(FILES_PER_SLICE).write.mode("append").parquet(path)
+    stream = jobs.file_stream(spark, path, schemas.EDGE_SERIES, FILES_PER_SLICE)
+    jobs.stream_edge_speeds(stream, out, scratch_path(spark, "state"), progress).awaitTermination()
+    return spark.read.parquet(out).select("edge_id", "event_id", "t", "prev_speed", "ema", "speed", "status")
+
+
+@query(speeds_sql("select edge_id, event_id, t, speed, status from speeds", "frame_series"))
+def stream_traffic(spark, sf_dir):
+    """Whole frames with their boxes in, speeds and status out, in one streaming job."""
+    frames, boxes = _frames_boxes(spark, sf_dir)
+    entry = F.struct("cls", "conf", "x1", "y1", "x2", "y2")
+    held = boxes.groupBy("frame_id").agg(F.collect_list(entry).alias("boxes"))
+    rows = frames.join(held, "frame_id", "left").withColumn("t", F.col("frame_id") * 7)
+    rows = rows.withColumn("boxes", F.coalesce("boxes", F.array().cast(held.schema["boxes"].dataType)))
+    stream = _as_stream(spark, rows.select("cam", "frame_id", "t", "img_h", "img_w", "boxes"), schemas.FRAME)
+    out, progress = _outputs(spark)
+    jobs.stream_traffic(
+        stream, _mask(spark, sf_dir), dim.default_coefficients(spark), fx.camera_edges(spark, sf_dir), fx.free_flow(spark, sf_dir),
+        fx.thresholds(spark, sf_dir), out, scratch_path(spark, "state"), progress,
+    ).awaitTermination()
+    return spark.read.parquet(out).select("edge_id", "event_id", "t", "speed", "status")
+
+
 @query(speeds_sql("select edge_id, count(*) n, count(*) filter (where prev_speed is null) cold_starts from speeds group by edge_id"))
 def state_ttl_edges(spark, sf_dir):
     """Expired state makes an edge start anew; counted from the stream."""
@@ -286,6 +342,17 @@ def stream_accident_alerts(spark, sf_dir):
     return _alert_stream(spark, sf_dir).filter("fires").select("cam", "t", "event_id", "class_name", "conf", "streak")
 
 
+@query(_ALERT_RECORDS)
+def stream_alert_records(spark, sf_dir):
+    """Published alerts straight from the stream."""
+    series = _incident_series(spark, sf_dir).select("cam", "t", "event_id", "class_name", "conf", "hit")
+    out, progress = _outputs(spark)
+    stream = _as_stream(spark, series, schemas.INCIDENT_SERIES)
+    jobs.stream_alert_records(stream, fx.camera_edges(spark, sf_dir), fx.cameras(spark, sf_dir), out, progress).awaitTermination()
+    edges = F.array_join(F.col("edgeIds").cast("array<string>"), ",")
+    return sinks.read_alerts(spark, out).withColumn("edgeIds", edges).drop("batch")
+
+
 @query(sql("select cam, count(*) n, max(streak) longest, count(*) filter (where streak = 1) restarts from streaks group by cam", "streaks"))
 def state_ttl_streak(spark, sf_dir):
     """Streaks that expired start at 1 again; counted from the stream."""

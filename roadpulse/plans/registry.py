@@ -60,6 +60,19 @@ from edge_obs o left join fx_thresholds h using (cam)""",
 select e.edge_id, w.event_id, w.cam, w.t, w.batch_id, w.twf, coalesce(f.speed_kph, 50.0::double) free_flow,
  greatest(coalesce(f.speed_kph, 50.0::double) * (1.0::double - pow(w.twf, 1.0::double)), 3.0::double) raw_speed
 from weighted w join fx_camera_edges e using (cam) left join fx_free_flow f on f.edge_id = e.edge_id""",
+    # Six slices of time; some rows of a slice's last moments come with the next one.
+    "late_series": """
+select edge_id, row_number() over arrival event_id, max(t) over arrival t, raw_speed, free_flow, event_id real_event, t real_t
+from (select *, slice + (event_id % 3 = 0 and slice < 5 and (t - lo) % width >= width - 50)::int batch from (
+ select *, (t - lo) // width slice from (select *, min(t) over () lo, (max(t) over () - min(t) over ()) // 6 + 1 width from series)))
+window arrival as (partition by edge_id order by batch, t, event_id)""",
+    "frame_series": """
+select e.edge_id, w.frame_id event_id, w.frame_id * 7 t, coalesce(f.speed_kph, 50.0::double) free_flow,
+ greatest(coalesce(f.speed_kph, 50.0::double) * (1.0::double - pow(w.twf, 1.0::double)), 3.0::double) raw_speed
+from (select o.frame_id, o.cam, case when o.occ <= 20 then 0.0::double when coalesce(h.meu_max, 200.0::double) > 0
+  then least(m.meu / coalesce(h.meu_max, 200.0::double), 1.0::double) else 0.0::double end twf
+ from frame_occ o join frame_meu m using (frame_id) left join fx_thresholds h on h.cam = o.cam) w
+join fx_camera_edges e using (cam) left join fx_free_flow f on f.edge_id = e.edge_id""",
     "last_series": "select * from series qualify row_number() over (partition by edge_id, batch_id order by t desc, event_id desc) = 1",
     "accident_frames": """
 select i.*, i.class_name in ('human_incident', 'vehicle_incident') and i.conf >= 0.2::double hit
