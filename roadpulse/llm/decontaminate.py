@@ -46,6 +46,20 @@ def _cuts(bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return first + size * np.arange(count.sum()), count
 
 
+def _folded(table: np.ndarray, terms: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sums of the table's rows over runs of ``size`` words, where the runs begin, and how many a text has.
+
+    The table ends with a row of zeros, which stands for the words that a short run lacks.
+    """
+    starts, count = _cuts(bounds, size)
+    ends = np.minimum(starts + size, np.repeat(bounds[1:], count))
+    padded = np.append(terms, np.full(size, TERMS)).astype(np.int32)
+    total = np.zeros((len(starts), table.shape[1]), np.float32)
+    for i in range(size):
+        total += table[np.where(starts + i < ends, padded[starts + i], TERMS)]
+    return total, starts, count
+
+
 def _summed(parts: DataFrame) -> dict[int, np.ndarray]:
     """Sums of the arrays of each part, added up as they stream by; as many parts come back as there are kinds of them."""
 
@@ -94,40 +108,37 @@ def term_weights(docs: DataFrame) -> np.ndarray:
 
 
 def latent_basis(docs: DataFrame, weights: np.ndarray) -> np.ndarray:
-    """Terms folded into the latent space: weight times right singular vector over singular value, a row per term."""
-    random = np.random.default_rng(20).standard_normal((TERMS, RANK)).astype(np.float32)
-    shared = docs.sparkSession.sparkContext.broadcast(((weights[:, None] * random).astype(np.float32), weights))
+    """Terms folded into the latent space: weight times right singular vector over singular value, a row per term and one of zeros."""
+    random = np.random.default_rng(20).standard_normal((TERMS, RANK))
+    shared = docs.sparkSession.sparkContext.broadcast((np.vstack((weights[:, None] * random, np.zeros(RANK))).astype(np.float32), weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         projected, weights = shared.value
-        total, inner = np.zeros((TERMS, RANK), np.float32), np.zeros((RANK, RANK))
+        total, inner = np.zeros((RANK, TERMS)), np.zeros((RANK, RANK))
         for batch in batches:
             for _, part in text_slices(batch.column("text"), SLICE):
                 hashes, bounds = _words(part)
                 if not len(hashes):
                     continue
-                terms = (hashes & np.uint64(TERMS - 1)).astype(np.uint16)
-                starts, _ = _cuts(bounds, 2 * HALF)
-                rows = np.add.reduceat(projected[terms], starts)
+                terms = (hashes & np.uint64(TERMS - 1)).astype(np.int64)
+                rows, starts, _ = _folded(projected, terms, bounds, 2 * HALF)
                 inner += rows.T @ rows
-                order = np.argsort(terms, kind="stable")
-                sorted_terms = terms[order]
-                firsts = np.concatenate(([0], np.flatnonzero(sorted_terms[1:] != sorted_terms[:-1]) + 1))
                 owner = np.searchsorted(starts, np.arange(len(terms)), side="right") - 1
-                total[sorted_terms[firsts]] += np.add.reduceat(rows[owner[order]], firsts)
-        yield _parts(total * weights[:, None], inner.ravel())
+                for sums, column in zip(total, np.ascontiguousarray(rows.T)):
+                    sums += np.bincount(terms, column[owner], TERMS)
+        yield _parts(total.T * weights[:, None], inner.ravel())
 
     sums = _summed(docs.select("text").mapInArrow(run, "part int, data binary"))
     shared.unpersist()
     if not sums or not sums[-1].any():
-        return np.zeros((TERMS, RANK), np.float32)
+        return np.zeros((TERMS + 1, RANK), np.float32)
     total = np.concatenate([sums[i].reshape(-1, RANK) for i in range(TERMS // PART_TERMS)])
     inner = sums[-1].reshape(RANK, RANK)
     values, vectors = np.linalg.eigh((inner + inner.T) / 2)
     kept = values > values[-1] * 1e-9
     left, singular, _ = np.linalg.svd(total @ vectors[:, kept] / np.sqrt(values[kept]), full_matrices=False)
-    basis = np.zeros((TERMS, RANK), np.float32)
-    basis[:, : len(singular)] = weights[:, None] * left / np.maximum(singular, singular[0] * 1e-9)
+    basis = np.zeros((TERMS + 1, RANK), np.float32)
+    basis[:-1, : len(singular)] = weights[:, None] * left / np.maximum(singular, singular[0] * 1e-9)
     return basis
 
 
@@ -192,8 +203,7 @@ def _search(docs: DataFrame, items: dict, basis: np.ndarray) -> DataFrame:
     def found(hashes: np.ndarray, bounds: np.ndarray) -> dict[tuple[int, int], tuple[float, bool]]:
         items, passages, folded, basis = shared.value
         terms = (hashes & np.uint64(TERMS - 1)).astype(np.int64)
-        starts, count = _cuts(bounds, HALF)
-        halves = np.add.reduceat(basis[terms], starts)
+        halves, starts, count = _folded(basis, terms, bounds, HALF)
         owner = np.repeat(np.arange(len(count)), count)
         joined = np.concatenate((owner[1:] == owner[:-1], [False]))
         windows = halves.copy()
@@ -202,7 +212,10 @@ def _search(docs: DataFrame, items: dict, basis: np.ndarray) -> DataFrame:
         use = np.flatnonzero(joined | (np.repeat(count, count) == 1))
         windows = windows[use]
         windows /= np.maximum(np.linalg.norm(windows, axis=1, keepdims=True), 1e-12)
-        w, p = np.nonzero(windows @ folded.T >= COSINE)
+        cosines = windows @ folded.T
+        rows = np.flatnonzero(cosines.max(1) >= COSINE)
+        w, p = np.nonzero(cosines[rows] >= COSINE)
+        w = rows[w]
         best: dict[tuple[int, int], tuple[float, bool]] = {}
         if not len(w):
             return best
