@@ -65,3 +65,6 @@ GRAPH_TILE_BITS = 25
 
 # ---- fixed values: snapshot address ----
 SNAPSHOT_QUERY = "&bg=black&w=500&h=500"
+
+# First bytes of JPEG, PNG, GIF (two), BMP and TIFF (two) files; fixed values.
+IMAGE_MAGIC = (b"\xff\xd8", b"\x89PNG\r\n\x1a\n", b"GIF87a", b"GIF89a", b"BM", b"II*\x00", b"MM\x00*")

@@ -98,8 +98,11 @@ def images(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "documents").selectExpr(
         "doc_id",
         "case when doc_id%50=7 then X'' when doc_id%4 in (0,3) then X'FFD8' || encode(text,'utf-8') || X'FFD9'"
-        " when doc_id%4=1 then X'FFD8' || encode(text,'utf-8') else encode(text,'utf-8') end content",
-        "if(doc_id%31=5, 'text/html', 'image/jpeg') content_type",
+        " when doc_id%4=1 then X'FFD8' || encode(text,'utf-8') else"
+        " case doc_id%36 when 2 then X'89504E470D0A1A0A' when 6 then X'474946383761' when 10 then X'474946383961' when 14 then X'424D'"
+        " when 18 then X'49492A00' when 22 then X'4D4D002A' when 26 then X'524946460000000057454250' when 30 then X'5249464600000000' else X'' end"
+        " || encode(text,'utf-8') end content",
+        "if(doc_id%31=5, 'text/html', if(doc_id%4=2, 'image/png', 'image/jpeg')) content_type",
     )
 
 
@@ -147,8 +150,11 @@ select o_orderkey ord, if(o_orderkey%19=0, null, cast(o_custkey as varchar)) edg
  cast(o_custkey%32 as int) d1, cast(32+o_orderkey%992 as int) d2, o_orderkey%23<>0 prefixed from orders""",
     "fx_images": """
 select doc_id, case when doc_id%50=7 then ''::blob when doc_id%4 in (0,3) then unhex('FFD8') || encode(text) || unhex('FFD9')
- when doc_id%4=1 then unhex('FFD8') || encode(text) else encode(text) end content,
- if(doc_id%31=5, 'text/html', 'image/jpeg') content_type from documents""",
+ when doc_id%4=1 then unhex('FFD8') || encode(text) else
+ case doc_id%36 when 2 then unhex('89504E470D0A1A0A') when 6 then unhex('474946383761') when 10 then unhex('474946383961') when 14 then unhex('424D')
+ when 18 then unhex('49492A00') when 22 then unhex('4D4D002A') when 26 then unhex('524946460000000057454250') when 30 then unhex('5249464600000000') else ''::blob end
+ || encode(text) end content,
+ if(doc_id%31=5, 'text/html', if(doc_id%4=2, 'image/png', 'image/jpeg')) content_type from documents""",
     "fx_state_strings": """
 select event_id, case event_id%7 when 0 then '41.5:1700000000:RED' when 1 then '41.5:1700000000' when 2 then '41.5:1700000000:JAM'
  when 3 then 'x:1:RED' when 4 then '41.5' when 5 then '' end raw from events""",

@@ -124,6 +124,17 @@ def is_complete_jpeg(content) -> Column:
     )
 
 
+def is_image_data(content) -> Column:
+    """Whether the content begins like one of the known image formats."""
+    data = col(content)
+    known = [F.substring(data, 1, len(magic)) == F.lit(magic) for magic in K.IMAGE_MAGIC]
+    webp = (F.substring(data, 1, 4) == F.lit(b"RIFF")) & (F.substring(data, 9, 4) == F.lit(b"WEBP"))
+    found = webp
+    for one in known:
+        found = found | one
+    return found
+
+
 def intake_status(content_type, content, max_bytes: int = K.UPLOAD_MAX_BYTES) -> Column:
     """HTTP-style verdict on an uploaded image, tested in this order."""
     data = col(content)
@@ -133,7 +144,7 @@ def intake_status(content_type, content, max_bytes: int = K.UPLOAD_MAX_BYTES) ->
         F.when(~is_image, F.lit(422))
         .when(size == 0, F.lit(422))
         .when(size > max_bytes, F.lit(413))
-        .when(F.substring(data, 1, 2) != F.lit(b"\xff\xd8"), F.lit(400))
+        .when(~is_image_data(content), F.lit(400))
         .otherwise(F.lit(200))
     )
 

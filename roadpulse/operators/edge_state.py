@@ -73,10 +73,10 @@ def edge_series(
 ) -> DataFrame:
     """Raw speed of every edge for every processed observation (occ, meu) of a camera.
 
-    The edge tables are joined with each other first, so the observations meet one small table.
+    An observation that couldn't be measured (null occupancy) gives none. The edge tables are joined with each other first, so the observations meet one small table.
     """
     edges = writable_edges(camera_edges, free_flow)
-    weighted = join_thresholds(observations, thresholds).withColumn("twf", traffic_weight("occ", "meu", "meu_max"))
+    weighted = join_thresholds(observations.filter(F.col("occ").isNotNull()), thresholds).withColumn("twf", traffic_weight("occ", "meu", "meu_max"))
     return weighted.join(edges, "cam").withColumn("raw_speed", greenshields_speed("free_flow", "twf"))
 
 

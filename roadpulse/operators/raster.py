@@ -212,7 +212,8 @@ def occupancy_precise(
     """Percent of road pixels covered by vehicles, per frame.
 
     ``masked`` lists the cameras that have a mask (it may be empty: then nothing is road); frames of
-    other cameras are measured against the whole image. Frames without boxes give 0. Both mask
+    other cameras are measured against the whole image. A frame of another shape than its camera's mask
+    can't be measured and has a null occupancy. Frames without boxes give 0. Both mask
     tables should be stored tables, because their size decides how they are joined. ``bucketed`` says
     that ``detections`` is a table bucketed by frame_id; bucket ``frames`` alike to join without a shuffle.
     """
@@ -221,8 +222,11 @@ def occupancy_precise(
     )
     areas = road_area(mask, masked)
     areas = F.broadcast(areas) if is_small(masked) else areas
-    joined = frames.join(covered, "frame_id", "left").join(areas, CAMERA, "left")
+    has_mask = masked.select("cam", F.lit(True).alias("has_mask")).distinct()
+    has_mask = F.broadcast(has_mask) if is_small(masked) else has_mask
+    joined = frames.join(covered, "frame_id", "left").join(areas, CAMERA, "left").join(has_mask, "cam", "left")
     hit = F.when(F.col("road_px").isNull(), F.col("all_px")).otherwise(F.col("on_road_px")).cast("double")
     area = F.coalesce(F.col("road_px"), F.col("img_h") * F.col("img_w")).cast("double")
     occupancy = F.coalesce(F.try_divide(hit, area) * 100, F.lit(0.0))
-    return joined.select(*frames.columns, occupancy.alias("occupancy"))
+    fits = F.col("road_px").isNotNull() | F.col("has_mask").isNull()
+    return joined.select(*frames.columns, F.when(fits, occupancy).alias("occupancy"))

@@ -31,15 +31,23 @@ def drop_sentinel(queue: DataFrame) -> tuple[DataFrame, DataFrame]:
     return queue.filter(~marker), batches
 
 
-def cycle_stats(attempts: DataFrame, cameras: DataFrame, failing: DataFrame) -> DataFrame:
+def cycle_stats(
+    attempts: DataFrame, cameras: DataFrame, failing: DataFrame, failed_batches: DataFrame | None = None,
+    unmeasured: DataFrame | None = None,
+) -> DataFrame:
     """Done, failed and total cameras per cycle, and its length in seconds.
 
     A camera without edges counts as done. Unknown cameras, failed images and cameras that cannot be
-    computed (``failing``) count as failed.
+    computed (``failing``) count as failed, and so do all cameras of ``failed_batches`` (batch_id), whose
+    inference failed as a whole, and the attempts ``unmeasured`` (event_id), whose image doesn't fit its mask.
     """
     marked = attempts.join(cameras.select("cam", F.lit(True).alias("in_config")), "cam", "left")
     marked = marked.join(failing.select("cam", F.lit(True).alias("breaks")), "cam", "left")
     ok = F.coalesce("in_config", F.lit(False)) & F.col("fetched") & F.col("breaks").isNull()
+    for table, key in ((failed_batches, "batch_id"), (unmeasured, "event_id")):
+        if table is not None:
+            marked = marked.join(table.select(key, F.lit(True).alias(f"{key}_failed")).distinct(), key, "left")
+            ok = ok & F.col(f"{key}_failed").isNull()
     return marked.groupBy(F.col("batch_id").alias("cycle_id")).agg(
         F.count_if(ok).alias("ok"), F.count_if(~ok).alias("fail"), F.count(F.lit(1)).alias("total"),
         (F.max("t") - F.min("t")).alias("elapsed"),

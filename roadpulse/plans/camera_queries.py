@@ -59,8 +59,9 @@ def occupancy_precise(spark, sf_dir):
 def occupancy_precise_no_mask(spark, sf_dir):
     """Cameras without a mask are measured against the whole image."""
     frames, boxes = _frames_boxes(spark, sf_dir)
-    mask = _mask(spark, sf_dir)
-    none = raster.occupancy_precise(frames, boxes, mask.runs.limit(0), mask.cameras.limit(0))
+    shape = "cam bigint, img_h int, img_w int"
+    runs, cameras = spark.createDataFrame([], f"{shape}, y int, xs int, xe int"), spark.createDataFrame([], shape)
+    none = raster.occupancy_precise(frames, boxes, runs, cameras)
     return none.select("frame_id", "occupancy")
 
 

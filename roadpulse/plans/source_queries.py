@@ -23,7 +23,7 @@ EPOCH_SHIFT = 1_700_000_000
 def _camera_files(spark: SparkSession, sf_dir: str) -> str:
     """Nested camera JSON derived from the fixture cameras; some zones have no mapped edge."""
     zone = lambda edge, way, side: (
-        f"named_struct('way_id', {way}, 'side', '{side}', 'mapped_edge', named_struct('edge_id', named_struct('value', {edge}),"
+        f"named_struct('way_id', {way}, 'side', '{side}', 'mapped_edge', named_struct('edge_id', named_struct('value', cast({edge} as string)),"
         " 'edge_info', named_struct('shape', '_wdrS_mmojE')))"
     )
     mapped = f"'zone_0', {zone('cam*2', 'cam*10', 'left')}, 'zone_1', {zone('10000 + cam div 2', 'cam*10 + 1', 'right')}"
@@ -92,10 +92,10 @@ def src_thresholds(spark, sf_dir):
     return dim.thresholds_or_default(fx.cameras(spark, sf_dir).selectExpr("cast(cam as string) cam_id"), read)
 
 
-@query(sql("""select event_id, case when meu_max > 0 then 0.5::double * (meu / meu_max) + 0.5::double * (occ / 35.0::double)
+@query(sql("""select event_id, case when meu_max > 0 then 0.7::double * (meu / meu_max) + 0.3::double * (occ / 35.0::double)
  else 0.0::double end hci from weighted""", "weighted"))
 def src_hci_weights(spark, sf_dir):
-    path = _json(spark, spark.range(1).selectExpr("0.5d w1", "0.5d w2"), "hci")
+    path = _json(spark, spark.range(1).selectExpr("0.7d w1", "0.3d w2"), "hci")
     w1, w2 = dim.read_hci_weights(spark, path)
     rows = _weighted(spark, sf_dir)
     return rows.select("event_id", S.hybrid_congestion("meu", "occ", "meu_max", F.lit(35.0), w1, w2).alias("hci"))
@@ -108,7 +108,8 @@ def src_frames_valid(spark, sf_dir):
 
 
 @query(sql("""select doc_id, case when content_type not like 'image/%' then 422 when octet_length(content) = 0 then 422
- when octet_length(content) > 20000 then 413 when hex(content) not like 'FFD8%' then 400 else 200 end status from fx_images""", "fx_images"))
+ when octet_length(content) > 20000 then 413 when hex(content) like 'FFD8%' or hex(content) like '89504E470D0A1A0A%' or hex(content) like '474946383761%' or hex(content) like '474946383961%'
+  or hex(content) like '424D%' or hex(content) like '49492A00%' or hex(content) like '4D4D002A%' or hex(content) like '52494646________57454250%' then 200 else 400 end status from fx_images""", "fx_images"))
 def image_intake_status(spark, sf_dir):
     return frame_src.with_intake_status(fx.images(spark, sf_dir), 20_000).select("doc_id", "status")
 
@@ -174,7 +175,7 @@ def twf_ramp(spark, sf_dir):
     return _weighted(spark, sf_dir).select("event_id", S.traffic_weight_ramp("occ", "meu", "meu_max").alias("twf_ramp"))
 
 
-_HCI = """select *, case when meu_max > 0 then 0.5::double * (meu / meu_max) + 0.5::double * (occ / 35.0::double)
+_HCI = """select *, case when meu_max > 0 then 0.7::double * (meu / meu_max) + 0.3::double * (occ / 35.0::double)
  else 0.0::double end hci from weighted"""
 
 
@@ -283,11 +284,17 @@ def merge_thresholds(spark, sf_dir):
 
 # ---- reports ----
 @query(sql("""select batch_id cycle_id, count(*) filter (where ok) ok, count(*) filter (where not ok) fail, count(*) total,
- max(t) - min(t) elapsed from (select o.*, o.fetched and k.cam is not null ok from fx_observations o left join known k using (cam))
+ max(t) - min(t) elapsed from (select o.*, o.fetched and k.cam is not null and o.batch_id % 11 <> 3 and o.event_id % 13 <> 5 and (cam // 2) % 17 <> 4 ok from fx_observations o left join known k using (cam))
  group by batch_id""", "fx_observations known"))
 def cycle_stats(spark, sf_dir):
-    failing = metrics.failing_cameras(fx.camera_edges(spark, sf_dir), fx.free_flow(spark, sf_dir))
-    return report.cycle_stats(fx.observations(spark, sf_dir), fx.cameras(spark, sf_dir).filter("known"), failing)
+    """Some batches fail as a whole, some images don't fit their mask, and some cameras have an edge without free flow."""
+    seen, edges = fx.observations(spark, sf_dir), fx.camera_edges(spark, sf_dir)
+    stopped = seen.filter("(cam div 2) % 17 = 4").select(F.expr("cast(10000 + cam div 2 as string)").alias("edge_id"), F.lit(0.0).alias("speed_kph")).distinct()
+    free_flow = fx.free_flow(spark, sf_dir).join(stopped, "edge_id", "left_anti").unionByName(stopped)
+    edges = edges.unionByName(seen.filter("(cam div 2) % 17 = 4 and cam % 13 = 12").select("cam", F.lit(1).alias("ord"), F.expr("cast(10000 + cam div 2 as string)").alias("edge_id")).distinct(), allowMissingColumns=True)
+    failing = metrics.failing_cameras(edges, free_flow)
+    batches, misfits = seen.filter("batch_id % 11 = 3").select("batch_id"), seen.filter("event_id % 13 = 5").select("event_id")
+    return report.cycle_stats(seen, fx.cameras(spark, sf_dir).filter("known"), failing, batches, misfits)
 
 
 @query(sql("""select batch_id, count(*) n_ids, batch_id%2=0 sentinel from fx_observations group by batch_id""", "fx_observations"))

@@ -124,3 +124,14 @@ def test_calibrated_threshold_rounds_half_to_even(spark):
     runs = spark.createDataFrame([(1, 1, 9, 0, 0, 1, 2), (1, 1, 9, 0, 2, 3, 1)], "cam long, img_h int, img_w int, y int, xs int, xe int, hits long")
     frames = spark.range(5).selectExpr("1L cam")  # 5 * 0.3 = 1.5 -> 2
     assert [(r.xs, r.xe) for r in raster.road_mask_calibrated(runs, frames).collect()] == [(0, 1)]
+
+
+def test_mask_of_another_shape_gives_no_occupancy(spark):
+    shape = "cam bigint, img_h int, img_w int"
+    frames = spark.createDataFrame([(1, 1, 4, 4), (2, 1, 8, 8), (3, 2, 4, 4)], "frame_id bigint, " + shape)
+    boxes = spark.createDataFrame([(f, c, n, n, 0, 0.9, 0.0, 0.0, 2.0, 2.0) for f, c, n in ((1, 1, 4), (2, 1, 8), (3, 2, 4))],
+        "frame_id bigint, cam bigint, img_h int, img_w int, cls int, conf double, x1 double, y1 double, x2 double, y2 double")
+    runs = spark.createDataFrame([(1, 4, 4, 0, 0, 4)], shape + ", y int, xs int, xe int")
+    masked = spark.createDataFrame([(1, 4, 4)], shape)
+    got = {r.frame_id: r.occupancy for r in raster.occupancy_precise(frames, boxes, runs, masked).collect()}
+    assert got == {1: 50.0, 2: None, 3: 25.0}
