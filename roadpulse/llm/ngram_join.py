@@ -21,6 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roadpulse.llm.bloom import possible
 from roadpulse.llm.common import byte_class, hash_words, mix, shingles, stored, text_slices
 from roadpulse.llm.components import connected_components
 
@@ -268,7 +269,8 @@ def verified_links(members: DataFrame) -> DataFrame:
 
 
 def _dealt(df: DataFrame, group: str) -> DataFrame:
-    return df.repartition(group, "low", "high").sortWithinPartitions(group, "low", "high")
+    """Rows of a block pair together, smallest text first, so that the blocks of a group tend to name the same root."""
+    return df.repartition(group, "low", "high").sortWithinPartitions(group, "low", "high", "text_id")
 
 
 def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -303,7 +305,9 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     groups = members.groupBy("root").agg(F.greatest(*per_block, F.lit(1)).cast("int").alias("blocks"))
     members = stored(members.join(groups, "root").select("root", "text_id", "n_rows", "first_copy", "blocks"), "members")
     # One row of each text in a group; a repeated row may come twice, so sets are made one per text.
-    found = keyed.join(members.select("text_id", F.col("first_copy").alias("doc_id")), ["text_id", "doc_id"], "left_semi")
+    # The filter keeps the texts outside all groups from being shuffled.
+    wanted = members.select("text_id", F.col("first_copy").alias("doc_id"))
+    found = possible(keyed, "text_id", wanted, wanted.count()).join(wanted, ["text_id", "doc_id"], "left_semi")
     sets = shingle_sets(found.select("text_id", "text")).groupBy("text_id").agg(F.max("set").alias("set"))
     spread = in_blocks(members.select("root", "text_id", "n_rows", "blocks"), "root", "blocks")
     order = ["root", "low", "high", "side", "text_id", "n_rows", "set"]
