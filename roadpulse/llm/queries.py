@@ -188,4 +188,4 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written as a WARC record and read back from the archives."""
     path = scratch_path(spark, "warc")
     warc.write_archives(read_table(spark, sf_dir, "pages"), path)
-    return warc.page_records(warc.read_archives(spark, path))
+    return warc.page_records(warc.read_archives(spark, path, offsets=False))

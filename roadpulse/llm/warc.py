@@ -82,17 +82,18 @@ def reached(candidates: DataFrame) -> DataFrame:
             return headed.join(state.filter("reached").select("file", "run"), ["file", "run"], "left_semi").select("file", "offset")
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
+def read_archives(spark: SparkSession, path: str, offsets: bool = True) -> DataFrame:
     """(file, offset, header, payload) of every record in the uncompressed archives below ``path``.
 
     Magic bytes inside a payload never start a record. Records behind a broken one in the same file are not reached,
-    and a file that doesn't begin with the magic has none.
+    and a file that doesn't begin with the magic has none. Without ``offsets`` that column is left out, which spares a
+    shuffle of the payloads.
     """
     text = spark.read.option("lineSep", MAGIC).text(path)
     pieces = text.select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("row"), F.col("value").cast("binary").alias("piece"),
     )
-    pieces = stored(pieces, "pieces")
+    pieces = stored(pieces, "pieces", "zstd")
     cut = F.col("piece").cast("string")
     header = F.when(F.instr(cut, "\r\n\r\n") > 0, F.substring_index(cut, "\r\n\r\n", 1))
     light = pieces.select("file", "split", "row", F.octet_length("piece").alias("n"), header.alias("header"))
@@ -107,19 +108,26 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     candidates = light.filter("offset is not null")
     records = reached(candidates.select("file", "offset", "successor")).withColumn("real", F.lit(True))
     marked = candidates.select("file", "row", "offset").join(records, ["file", "offset"], "left")
-    owner = F.last(F.when(F.col("real"), F.col("offset")), ignorenulls=True).over(Window.partitionBy("file").orderBy("offset").rowsBetween(Window.unboundedPreceding, 0))
-    marked = stored(marked.withColumn("owner", owner), "owners")
-    shared = marked.groupBy("file", "owner").agg(F.count(F.lit(1)).alias("parts"))
-    owned = marked.join(shared, ["file", "owner"]).select("file", "row", "offset", "owner", "parts")
-    found = pieces.join(owned, ["file", "row"]).select("file", "offset", "owner", "parts", "piece")
-    whole = found.filter("parts = 1").select("file", "offset", "piece")
-    glued = found.filter("parts > 1").groupBy("file", "owner").agg(F.array_sort(F.collect_list(F.struct("offset", "piece"))).alias("p"))
+    line = Window.partitionBy("file").orderBy("offset").rowsBetween(Window.unboundedPreceding, 0)
+    owner = F.last(F.when(F.col("real"), F.col("offset")), ignorenulls=True).over(line)
+    marked = marked.withColumn("owner", owner)
+    marked = marked.withColumn("parts", F.count(F.lit(1)).over(Window.partitionBy("file", "owner")))
+    # Most records are one piece. Only the others, and pieces of no record, are told to the tasks that read the pieces.
+    special = marked.filter("owner is null or parts > 1").select("file", "row", "offset", "owner")
+    special = special.unionByName(light.filter("offset is null").select("file", "row", "offset", F.lit(None).cast("bigint").alias("owner")))
+    special = broadcast_if_small(stored(special, "special"), SMALL_ROWS)
+    whole = pieces.join(special.select("file", "row"), ["file", "row"], "left_anti")
+    if offsets:
+        whole = whole.join(light.select("file", "row", "offset"), ["file", "row"])
+    place = ["file", "offset"] if offsets else ["file"]
+    found = pieces.join(special.filter("owner is not null"), ["file", "row"]).select("file", "offset", "owner", "piece")
+    glued = found.groupBy("file", "owner").agg(F.array_sort(F.collect_list(F.struct("offset", "piece"))).alias("p"))
     magic = F.lit(MAGIC).cast("binary")
     joined = F.aggregate(F.slice("p", 2, F.size("p")), F.get("p", F.lit(0))["piece"], lambda a, x: F.concat(a, magic, x["piece"]))
-    rows = whole.unionByName(glued.select("file", F.col("owner").alias("offset"), joined.alias("piece")))
+    rows = whole.select(*place, "piece").unionByName(glued.withColumn("offset", F.col("owner")).select(*place, joined.alias("piece")))
     rows = rows.withColumn("header", F.substring_index(F.col("piece").cast("string"), "\r\n\r\n", 1)).withColumn("length", _header("Content-Length"))
     payload = F.substring(F.col("piece"), F.octet_length("header") + 5, F.expr("cast(length as int)"))
-    return rows.select("file", "offset", "header", payload.alias("payload"))
+    return rows.select(*place, "header", payload.alias("payload"))
 
 
 def page_records(records: DataFrame) -> DataFrame:
