@@ -91,7 +91,8 @@ def batch_last_writer(series: DataFrame) -> DataFrame:
 
 
 def speed_and_status(
-    series: DataFrame, mode: str = "sequential", hot_rows: int = HOT_ROWS, previous: DataFrame | None = None
+    series: DataFrame, mode: str = "sequential", hot_rows: int = HOT_ROWS, previous: DataFrame | None = None,
+    max_chunks: int | None = None,
 ) -> DataFrame:
     """Smoothed speed and status after every observation.
 
@@ -103,7 +104,7 @@ def speed_and_status(
     needed = ["edge_id", "t", "event_id", "raw_speed", "free_flow"]
     rows = rows.select(*needed, *(["batch_id"] if mode == "batch" else []))
     if previous is None:
-        return ordered_scan(rows, "edge_id", "t", "event_id", EDGE_FOLD, hot_rows)
+        return ordered_scan(rows, "edge_id", "t", "event_id", EDGE_FOLD, hot_rows, max_chunks=max_chunks)
     # A row older than the stored state still meets it, and leaves its time as it is: rows count from that time on.
     known = previous.select("edge_id", F.col("t").alias("stored_t"))
     rows = rows.join(known, "edge_id", "left").withColumn("clock", F.greatest("t", F.coalesce("stored_t", "t"))).drop("stored_t")
@@ -112,7 +113,7 @@ def speed_and_status(
         F.col("status").alias("seed"), F.col("t").alias("clock"),
     )
     both = rows.withColumn("seed", F.lit(None).cast("string")).unionByName(seeds, allowMissingColumns=True)
-    folded = ordered_scan(both, "edge_id", "clock", ["t", "event_id"], RESUMED_FOLD, hot_rows)
+    folded = ordered_scan(both, "edge_id", "clock", ["t", "event_id"], RESUMED_FOLD, hot_rows, max_chunks=max_chunks)
     return folded.filter(F.col("seed").isNull()).drop("seed", "clock")
 
 

@@ -158,11 +158,12 @@ def _chain(fold: Fold, schema: pa.Schema):
 
 def ordered_scan(
     df: DataFrame, key: str, time: str, tie: str | list[str], fold: Fold, hot_rows: int = HOT_ROWS,
-    counted: DataFrame | None = None,
+    counted: DataFrame | None = None, max_chunks: int | None = None,
 ) -> DataFrame:
     """``df`` with the outputs of ``fold`` over each key's rows in (time, tie) order.
 
     ``counted`` may name a cheaper table with at least the rows of ``df`` per key, to find hot keys in.
+    Hot rows go to about one task per ``hot_rows`` of them, or to ``max_chunks`` if that is fewer.
     """
     order = [key, time, *([tie] if isinstance(tie, str) else tie)]
     result = StructType(list(df.schema) + list(StructType.fromDDL(fold.outputs)))
@@ -172,7 +173,7 @@ def ordered_scan(
     folded = ordinary.mapInArrow(_append_outputs(fold, key, time, arrow, False), result)
     if hot is None:
         return folded
-    chunks = max(2, -(-rows // hot_rows))
+    chunks = max(2, min(-(-rows // hot_rows), max_chunks or rows))
     hot = hot.select(*df.columns)
     if fold.bound:
         bounds = hot.groupBy(key).agg(F.max(fold.bound).alias("key_bound"))

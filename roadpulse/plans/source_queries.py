@@ -465,31 +465,32 @@ def speed_ema_resumed(spark, sf_dir):
     return first.unionByName(second).select("edge_id", "event_id", "t", "prev_speed", "ema", "speed", "status")
 
 
-HOT_TEST_ROWS = 12
+HOT_TEST_CHUNKS = 48
 
 
 @query(speeds_sql("select edge_id, event_id, t, prev_speed, ema, speed, status from speeds"))
 def speed_ema_hot(spark, sf_dir):
-    """Every edge with more than a few rows takes the way of hot keys."""
-    speeds = edge_state.speed_and_status(_series(spark, sf_dir), hot_rows=_hot_rows(spark, sf_dir))
+    """Most edges take the way of hot keys, at any scale."""
+    speeds = edge_state.speed_and_status(_series(spark, sf_dir), hot_rows=_hot_rows(_series(spark, sf_dir)), max_chunks=HOT_TEST_CHUNKS)
     return speeds.select("edge_id", "event_id", "t", "prev_speed", "ema", "speed", "status")
 
 
-def _hot_rows(spark, sf_dir) -> int:
-    """A limit that most edges pass, with a bounded number of chunks at any scale."""
-    series = _series(spark, sf_dir)
-    return max(HOT_TEST_ROWS, series.count() // 100)
+def _hot_rows(series: DataFrame, parts: int = 1) -> int:
+    """A limit that most edges pass at any scale: a quarter of the median rows of an edge, in one of ``parts`` like parts."""
+    counts = series.groupBy("edge_id").count()
+    return max(2, counts.agg(F.percentile_approx("count", 0.5)).first()[0] // (4 * parts)) if not counts.isEmpty() else 2
 
 
 @query(speeds_sql("""select l.edge_id, l.real_event event_id, l.real_t t, s.prev_speed, s.ema, s.speed, s.status
  from speeds s join late_series l on l.edge_id = s.edge_id and l.event_id = s.rn""", "late_series"))
 def speed_ema_resumed_hot(spark, sf_dir):
-    """Six runs that go on from each other's state; some rows come a run late, and every large edge is a hot key."""
-    series, hot_rows = materialize(arriving(_series(spark, sf_dir))), _hot_rows(spark, sf_dir)
+    """Six runs that go on from each other's state; some rows come a run late, and most edges are hot keys in each."""
+    series = materialize(arriving(_series(spark, sf_dir)))
+    hot_rows = _hot_rows(series, 6)
     done, state = [], None
     for run in range(6):
         rows = series.filter(F.col("run") == run).drop("run")
-        done.append(materialize(edge_state.speed_and_status(rows, hot_rows=max(2, hot_rows // 6), previous=state)))
+        done.append(materialize(edge_state.speed_and_status(rows, hot_rows=hot_rows, previous=state, max_chunks=HOT_TEST_CHUNKS)))
         state = materialize(edge_state.carried_state(done[-1], state))
     both = done[0]
     for part in done[1:]:

@@ -6,8 +6,9 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from roadpulse.operators import accident, edge_state
+from roadpulse.operators import accident, edge_state, scan
 from roadpulse.operators.edge_state import next_status, smooth_step
+from __spark_entry__ import QUERIES
 
 EDGE_SCHEMA = "edge_id string, t bigint, event_id bigint, raw_speed double, free_flow double, batch_id bigint"
 CAM_SCHEMA = "cam bigint, t bigint, event_id bigint, class_name string, conf double, hit boolean"
@@ -124,3 +125,17 @@ def test_resumed_fold_equals_one_run(spark, hot_rows):
     second = edge_state.speed_and_status(series.filter(f"t > {middle}"), hot_rows=hot_rows, previous=state)
     key = lambda df: sorted(map(repr, df.select(*whole.columns).collect()))
     assert key(first.unionByName(second)) == key(whole)
+
+
+@pytest.mark.parametrize("name", ["speed_ema_hot", "speed_ema_resumed_hot"])
+def test_hot_queries_take_the_hot_way(spark, monkeypatch, name):
+    shares, split = [], scan.split_hot
+
+    def watched(df, key, *rest):
+        ordinary, hot, rows = split(df, key, *rest)
+        shares.append(0 if hot is None else hot.select(key).distinct().count() / df.select(key).distinct().count())
+        return ordinary, hot, rows
+
+    monkeypatch.setattr(scan, "split_hot", watched)
+    assert QUERIES[name](spark, "/root/testdata/sf0.01").count() > 0
+    assert len(shares) == (1 if name == "speed_ema_hot" else 6) and min(shares) > 0.5
