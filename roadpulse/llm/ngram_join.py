@@ -283,6 +283,11 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     smallest doc_id with an equal text. A null text has no links and is its own class; repeated rows count as copies;
     rows with a null doc_id are compared like all others. An empty table gives an empty table.
     """
+    return _linked(docs, doc_id, text).select("doc_id", "class_id", "n_links", "n_text_links", "first_copy")
+
+
+def _linked(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The columns of ``jaccard_join``, ``text_id``, and ``leads``: whether no other text of the class has a smaller text_id."""
     rows = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     keyed = rows.select("doc_id", F.unhex(F.md5(F.col("text"))).alias("text_id"), "text")
     sketches = stored(sketched(keyed.filter("text is not null")), "sketches")
@@ -304,10 +309,11 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     per_block = [F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)]
     groups = members.groupBy("root").agg(F.greatest(*per_block, F.lit(1)).cast("int").alias("blocks"))
     members = stored(members.join(groups, "root").select("root", "text_id", "n_rows", "first_copy", "blocks"), "members")
-    # One row of each text in a group; a repeated row may come twice, so sets are made one per text.
+    # One row of each text in a group, null ids too; a repeated row may come twice, so sets are made one per text.
     # The filter keeps the texts outside all groups from being shuffled.
-    wanted = members.select("text_id", F.col("first_copy").alias("doc_id"))
-    found = possible(keyed, "text_id", wanted, wanted.count()).join(wanted, ["text_id", "doc_id"], "left_semi")
+    wanted = members.select("text_id", F.col("first_copy").alias("first"))
+    first = [F.col("text_id") == F.col("wanted_id"), F.col("doc_id").eqNullSafe(F.col("first"))]
+    found = possible(keyed, "text_id", wanted, wanted.count()).join(wanted.withColumnRenamed("text_id", "wanted_id"), first, "left_semi")
     sets = shingle_sets(found.select("text_id", "text")).groupBy("text_id").agg(F.max("set").alias("set"))
     spread = in_blocks(members.select("root", "text_id", "n_rows", "blocks"), "root", "blocks")
     order = ["root", "low", "high", "side", "text_id", "n_rows", "set"]
@@ -317,15 +323,17 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     counts = links.groupBy("text_id").agg(F.sum("texts").alias("texts"), F.sum("linked").alias("linked"))
     tied = connected_components(links.select(F.col("text_id").alias("a"), F.col("with").alias("b")))
     of_class = tied.withColumnRenamed("node", "text_id").join(texts.select("text_id", "first_copy"), "text_id")
-    least = of_class.groupBy("root").agg(F.min("first_copy").alias("class_id"))
-    classes = of_class.select("text_id", "root").join(least, "root").select("text_id", "class_id")
+    least = of_class.groupBy("root").agg(F.min("first_copy").alias("class_id"), F.min("text_id").alias("least"))
+    classes = of_class.select("text_id", "root").join(least, "root").select("text_id", "class_id", (F.col("text_id") == F.col("least")).alias("leads"))
     facts = texts.join(counts, "text_id", "left").join(classes, "text_id", "left").select(
         "text_id", F.coalesce("class_id", "first_copy").alias("class_id"),
         (F.col("n_rows") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"), F.coalesce("texts", F.lit(0)).alias("n_text_links"), "first_copy",
+        F.coalesce("leads", F.lit(True)).alias("leads"),
     )
-    linked = light.select("doc_id", "text_id").join(facts, "text_id").drop("text_id")
+    linked = light.select("doc_id", "text_id").join(facts, "text_id")
     alone = rows.filter("text is null").select(
-        "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("bigint").alias("n_links"), F.lit(0).cast("bigint").alias("n_text_links"), F.col("doc_id").alias("first_copy")
+        "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("bigint").alias("n_links"), F.lit(0).cast("bigint").alias("n_text_links"), F.col("doc_id").alias("first_copy"),
+        F.lit(None).cast("binary").alias("text_id"), F.lit(True).alias("leads"),
     )
     return linked.unionByName(alone)
 
@@ -333,10 +341,13 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 def one_per_class(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with only one document of each class of ``jaccard_join``: the one with the smallest doc_id.
 
-    Of rows that share that doc_id, one is kept for each different text.
+    Of rows that share that doc_id, one is kept for each different text. A class without any doc_id keeps one text.
     """
-    links = jaccard_join(docs, doc_id, text).filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
-    kept = links.groupBy(F.col("doc_id").alias("__kept")).agg(F.count(F.lit(1)).alias("__rows"))
-    found = docs.join(kept, F.col(f"`{doc_id}`").cast("bigint").eqNullSafe(F.col("__kept")))
+    links = _linked(docs, doc_id, text).filter(F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("doc_id").isNotNull() | F.col("leads")))
+    # Rows without an id are told apart by their texts.
+    kept = links.groupBy(F.col("doc_id").alias("__kept"), F.when(F.col("doc_id").isNull(), F.col("text_id")).alias("__text")).agg(F.count(F.lit(1)).alias("__rows"))
+    own = F.col(f"`{doc_id}`").cast("bigint")
+    own_text = F.when(own.isNull(), F.unhex(F.md5(F.col(f"`{text}`"))))
+    found = docs.join(kept, own.eqNullSafe(F.col("__kept")) & own_text.eqNullSafe(F.col("__text")))
     single, several = found.filter("__rows = 1"), found.filter("__rows > 1").dropDuplicates([doc_id, text])
     return single.unionByName(several).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -86,3 +86,18 @@ def test_components(spark):
     found = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert found == {**{i: 1 for i in range(1, 41)}, 100: 100, 101: 100, 150: 150, 200: 150}
     assert connected_components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_near_copies_with_null_ids(spark):
+    words = prose(5, 120).split()
+    near = lambda *places: " ".join("new" + str(k) if k in places else w for k, w in enumerate(words))
+    # 1 and 2 are linked by a text with no id alone; null ids also stand apart from all ids, and beside one.
+    ends = [(1, near(10)), (None, near(10, 40, 70)), (2, near(40, 70, 100))]
+    other = prose(6, 90)
+    rows = ends + [(None, other), (None, other + " end"), (None, prose(8, 80)), (7, prose(8, 80)), (8, prose(8, 80) + " end")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert got(N.jaccard_join(docs)) == brute(rows)
+    assert brute(ends) != brute([r for r in ends if r[0]] + [(None, None)])
+    kept = [(r["doc_id"], r["text"]) for r in N.one_per_class(docs).collect()]
+    assert sorted(i for i, _ in kept if i) == [1, 7] and len(kept) == 3
+    assert [t for i, t in kept if i is None][0] in (other, other + " end")
