@@ -47,16 +47,18 @@ def labelled_sample(docs: DataFrame, text: str = "text", label: str = "lang") ->
     """At most about ``OVERSAMPLE * SAMPLE_CHARS / ROW_CHARS`` different pieces of text for each label.
 
     Rows are chosen by a hash of their text, so copies are chosen together and then count once; the piece
-    begins at a place that the hash names. Labels are counted first, so the share to take is known.
+    begins at a place that the hash names. A label's different texts are counted first, so the share to take is known;
+    the text with the smallest hash is always taken.
     """
     rows = docs.select(F.col(text).alias("text"), F.col(label).alias("label")).filter("text is not null and label is not null")
     rows = rows.withColumn("h", F.xxhash64("text"))
-    counts = {r[0]: r[1] for r in rows.groupBy("label").count().collect()}  # one row per label
+    unit = F.pmod("h", F.lit(1_000_003)) / F.lit(1_000_003.0)
+    different = rows.select("label", "h").distinct().groupBy("label").agg(F.count(F.lit(1)), F.min(unit))
+    counts = {r[0]: r[1:] for r in different.collect()}  # one row per label
     if not counts:
         return rows.select("label", "h", F.col("text").alias("piece")).limit(0)
     wanted = OVERSAMPLE * SAMPLE_CHARS // ROW_CHARS
-    share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, wanted / n)))])
-    unit = F.pmod("h", F.lit(1_000_003)) / F.lit(1_000_003.0)
+    share = F.create_map(*[x for k, (n, least) in counts.items() for x in (F.lit(k), F.lit(min(1.0, max(wanted / n, least + 5e-7))))])
     start = F.pmod(F.shiftright("h", 20), F.greatest(F.length("text") - ROW_CHARS, F.lit(0)) + 1) + 1
     chosen = rows.filter(unit < share[F.col("label")])
     piece = F.substring("text", start.cast("int"), F.lit(ROW_CHARS))

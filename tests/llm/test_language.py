@@ -60,3 +60,9 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert language.identify(no_docs, model).count() == 0
     nothing = language.train(no_docs)
     assert {(r["lang_pred"], r["score"]) for r in language.identify(odd_docs, nothing).collect()} == {("und", 0.0)}
+
+
+def test_copies_do_not_shrink_the_sample(spark):
+    copies = spark.range(400_000).selectExpr("'the same words over and over' text", "'en' lang")
+    docs = copies.unionByName(spark.range(100).selectExpr("concat('another text ', id) text", "'en' lang"))
+    assert language.labelled_sample(docs).count() == 101
