@@ -6,6 +6,8 @@
 3. Every window of every document, and every passage of the benchmark, is folded into that space. Pairs with a cosine
    of at least ``COSINE`` that share enough words go on to a word-by-word check: the longest common subsequence of the
    item and the words about the window, and for paraphrases also the item's answer, must be there.
+4. Whole copies don't depend on that space: every item, however short, is also looked for as a run of words, and one in
+   a script that may be written without spaces as a run of bytes.
 
 The benchmark is worked on in blocks of bounded size, each broadcast to one pass over the documents.
 """
@@ -30,6 +32,8 @@ SHARED = 0.5
 # An item is in a document if this share of its words is there in order; from PARAPHRASE on if its answer is, too.
 VERBATIM, PARAPHRASE = 0.8, 0.6
 MIN_WORDS, ANSWER_WORDS = 8, 3
+# Runs are looked up by so many first words or bytes. Lead bytes of UTF-8 from UNSPACED on: U+0800 and later.
+KEY_WORDS, KEY_BYTES, UNSPACED = 8, 12, 0xE0
 BLOCK_ITEMS, BLOCK_CHARS = 2048, 1_000_000
 PART_TERMS = 256
 SLICE = 1_000_000
@@ -163,12 +167,18 @@ def _answer(text: str) -> str:
 
 
 def _prepared(items: list[tuple[int, str]]) -> dict:
-    """Words, word places, answers and passages of a block of items; items of fewer than MIN_WORDS words are left out."""
+    """Words, word places, answers and passages of a block of items; those of fewer than MIN_WORDS words are only in the runs."""
     hashes, bounds = _words(pa.array([t for _, t in items], pa.large_string()))
     answers, answer_bounds = _words(pa.array([_answer(t) for _, t in items], pa.large_string()))
     out = {"ids": [], "places": [], "lengths": [], "answers": [], "owner": [], "passages": [], "words": []}
-    for k, (item_id, _) in enumerate(items):
+    runs, bytewise = [], []
+    for k, (item_id, text) in enumerate(items):
         words = hashes[bounds[k] : bounds[k + 1]]
+        if len(words):
+            runs.append((item_id, words))
+            raw = np.frombuffer(_lowered(pa.array([text.strip()], pa.large_string()))[0], np.uint8)
+            if raw.max() >= UNSPACED:
+                bytewise.append((item_id, raw.astype(np.uint64)))
         if len(words) < MIN_WORDS:
             continue
         places: dict[int, int] = {}
@@ -184,16 +194,61 @@ def _prepared(items: list[tuple[int, str]]) -> dict:
         out["places"].append(places)
         out["lengths"].append(len(words))
         out["answers"].append(answers[answer_bounds[k] : answer_bounds[k + 1]].tolist())
+    return out | {"runs": _run_index(runs, KEY_WORDS), "bytes": _run_index(bytewise, KEY_BYTES)}
+
+
+def _lowered(texts: pa.Array) -> tuple[bytes, np.ndarray]:
+    """All bytes of ``texts`` in lower case, end to end, and where each text begins, plus the end."""
+    raw = [t.as_buffer().to_pybytes() for t in pc.utf8_lower(texts).cast(pa.large_binary())]
+    return b"".join(raw), np.cumsum([0, *map(len, raw)])
+
+
+def _run_keys(values: np.ndarray, size: int) -> np.ndarray:
+    """A hash of the ``size`` values from each place on."""
+    n = max(0, len(values) - size + 1)
+    total = np.zeros(n, np.uint64)
+    for j in range(size):
+        total = (total + values[j : j + n]) * np.uint64(0x9E3779B97F4A7C15)
+    return total
+
+
+def _run_index(runs: list[tuple[int, np.ndarray]], size: int) -> dict:
+    """Per length of key: marks of the keys' upper bits, and the runs (id, values) of each key."""
+    out: dict = {}
+    for item_id, values in runs:
+        n = min(size, len(values))
+        key = _run_keys(values[:n], n)[0]
+        marks, by_key = out.setdefault(n, (np.zeros(1 << 16, bool), {}))
+        marks[int(key) >> 48] = True
+        by_key.setdefault(int(key), []).append((item_id, values))
     return out
 
 
+def _held_runs(index: dict, values: np.ndarray, bounds: np.ndarray) -> set[tuple[int, int]]:
+    """(text, item id) of the runs that stand whole in a text; ``bounds`` tells where texts begin in ``values``."""
+    held = set()
+    for size, (marks, by_key) in index.items():
+        keys = _run_keys(values, size)
+        at = np.flatnonzero(marks[(keys >> np.uint64(48)).astype(np.int64)])
+        at = at[np.argsort(keys[at], kind="stable")]
+        different, first = np.unique(keys[at], return_index=True)
+        for key, places in zip(different.tolist(), np.split(at, first[1:])):
+            for item_id, run in by_key.get(key, ()):
+                owner = np.searchsorted(bounds, places, side="right") - 1
+                here = places[places + len(run) <= bounds[owner + 1]]
+                for j, value in enumerate(run):
+                    here = here[values[here + j] == value]
+                held.update((int(d), item_id) for d in np.unique(np.searchsorted(bounds, here, side="right") - 1))
+    return held
+
+
 def _holds(words: list[int], answer: list[int]) -> bool:
     return any(words[i : i + len(answer)] == answer for i in range(len(words) - len(answer) + 1))
 
 
 def _search(docs: DataFrame, items: dict, basis: np.ndarray) -> DataFrame:
     """(doc_id, item_id, lcs, answer): items found in rows (doc_id, text)."""
-    passages = np.array(items["passages"], np.uint64)
+    passages = np.array(items["passages"], np.uint64).reshape(-1, 2 * HALF)
     folded = np.zeros((len(passages), RANK), np.float32)
     for i, (p, n) in enumerate(zip(passages, (min(items["lengths"][o], 2 * HALF) for o in items["owner"]))):
         folded[i] = basis[(p[:n] & np.uint64(TERMS - 1)).astype(np.int64)].sum(0)
@@ -202,6 +257,8 @@ def _search(docs: DataFrame, items: dict, basis: np.ndarray) -> DataFrame:
 
     def found(hashes: np.ndarray, bounds: np.ndarray) -> dict[tuple[int, int], tuple[float, bool]]:
         items, passages, folded, basis = shared.value
+        if not len(passages):
+            return {}
         terms = (hashes & np.uint64(TERMS - 1)).astype(np.int64)
         halves, starts, count = _folded(basis, terms, bounds, HALF)
         owner = np.repeat(np.arange(len(count)), count)
@@ -247,10 +304,15 @@ def _search(docs: DataFrame, items: dict, basis: np.ndarray) -> DataFrame:
         for batch in batches:
             for first, part in text_slices(batch.column("text"), SLICE):
                 hashes, bounds = _words(part)
-                pairs = found(hashes, bounds) if len(hashes) else {}
+                pairs = {(d, ids[i]): v for (d, i), v in found(hashes, bounds).items()} if len(hashes) else {}
+                held = _held_runs(shared.value[0]["runs"], hashes, bounds)
+                if shared.value[0]["bytes"]:
+                    raw, ends = _lowered(part)
+                    held |= _held_runs(shared.value[0]["bytes"], np.frombuffer(raw, np.uint8).astype(np.uint64), ends)
+                pairs.update(dict.fromkeys(held, (1.0, True)))
                 if pairs:
                     docs = batch.column("doc_id").take(pa.array([first + d for d, _ in pairs]))
-                    columns = [pa.array([ids[i] for _, i in pairs], pa.int64()), pa.array([v[0] for v in pairs.values()]), pa.array([v[1] for v in pairs.values()])]
+                    columns = [pa.array([i for _, i in pairs], pa.int64()), pa.array([v[0] for v in pairs.values()]), pa.array([v[1] for v in pairs.values()])]
                     yield pa.RecordBatch.from_arrays([docs, *columns], names=["doc_id", "item_id", "lcs", "answer"])
 
     return docs.mapInArrow(run, "doc_id bigint, item_id bigint, lcs double, answer boolean")
@@ -260,7 +322,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     """(doc_id, item_id, lcs, answer): one row for each document id and benchmark item found in it.
 
     Words are lower-cased runs of letters and digits. Texts that are null or have no word hold nothing; items without a
-    text or with fewer than ``MIN_WORDS`` words are found nowhere; rows that share a doc_id count as one document, and
+    text or a word are found nowhere, those of fewer than ``MIN_WORDS`` words only as whole copies; rows that share a doc_id count as one document, and
     items that share an id as one item, with the best match counting. Empty tables give an empty result.
     """
     rows = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").alias("text")).filter("text is not null")
@@ -275,7 +337,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     for block in range(blocks):
         own = tests.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).orderBy("item_id", "text").collect()
         items = _prepared([(r["item_id"], r["text"]) for r in own])
-        if items["ids"]:
+        if items["runs"]:
             out = out.unionByName(_search(rows, items, basis))
     return out.groupBy("doc_id", "item_id").agg(F.max("lcs").alias("lcs"), F.max("answer").alias("answer"))
 

@@ -171,8 +171,8 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items found in every document; documents with any are contaminated."""
     docs, benchmark = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
     pairs = decontaminate.contaminated(docs, benchmark)
-    found = pairs.groupBy("doc_id").agg(F.array_sort(F.collect_list("item_id")).alias("item_ids"), F.max("lcs").alias("lcs"))
-    rows = docs.select("doc_id").join(found, "doc_id", "left")
+    found = pairs.groupBy(F.col("doc_id").alias("found")).agg(F.array_sort(F.collect_list("item_id")).alias("item_ids"), F.max("lcs").alias("lcs"))
+    rows = docs.select("doc_id").join(found, F.col("doc_id").eqNullSafe(F.col("found")), "left")
     items = F.coalesce("item_ids", F.array().cast("array<bigint>"))
     return rows.select("doc_id", F.col("item_ids").isNotNull().alias("contaminated"), items.alias("item_ids"), "lcs")
 

@@ -57,3 +57,25 @@ def test_odd_rows(spark, odd_docs, no_docs, monkeypatch):
     kept = D.without_items(odd_docs.withColumn("Item_ID", F.lit(1)), items)
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(map(str, [1, 2, None, 6, 7, 9, None]))
     assert D.contaminated(no_docs, items).count() == 0 and D.contaminated(odd_docs, items.limit(0)).count() == 0
+
+
+def test_short_unspaced_and_null_id_copies(spark, tmp_path):
+    chinese = "水在标准大气压下的沸点是多少摄氏度答案是一百度"
+    items = [(1, "Capital of Peru? Lima."), (2, chinese), (3, "東京都"), (4, "never held here"), (5, prose(31, 20))]
+    rows = [
+        (1, prose(1, 60) + " capital of peru: LIMA " + prose(2, 60)), (2, "前文很长" + chinese + "后文也很长"), (3, prose(3, 50) + " 私は東京都に住む"),
+        (4, prose(4, 80) + " capital of peru"), (5, "limaa capital of peru lim"), (6, "capital of"), (7, "peru lima"), (None, prose(5, 50) + " " + prose(31, 20) + " " + prose(6, 50)),
+    ]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(items, "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    found = {r["doc_id"]: (r["contaminated"], r["item_ids"]) for r in QUERIES["op9_decontamination"](spark, str(tmp_path)).collect()}
+    want = {1: [1], 2: [2], 3: [3], None: [5]}
+    assert found == {i: (i in want, want.get(i, [])) for i, _ in rows}
+
+
+def test_whole_copies_do_not_need_the_latent_space(spark, monkeypatch):
+    monkeypatch.setattr(D, "COSINE", 2.0)
+    items = [(i, prose(900 + i, 10 + i)) for i in range(50)]
+    docs = [(i, prose(i, 7 * i + 1) + ". " + t.upper() + "; " + prose(i + 60, 90)) for i, t in items] + [(100, prose(5, 300))]
+    found = D.contaminated(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"))
+    assert {(r["doc_id"], r["item_id"], r["lcs"]) for r in found.collect()} == {(i, i, 1.0) for i, _ in items}
