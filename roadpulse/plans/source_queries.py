@@ -175,20 +175,22 @@ def twf_ramp(spark, sf_dir):
     return _weighted(spark, sf_dir).select("event_id", S.traffic_weight_ramp("occ", "meu", "meu_max").alias("twf_ramp"))
 
 
-_HCI = """select *, case when meu_max > 0 then 0.7::double * (meu / meu_max) + 0.3::double * (occ / 35.0::double)
+# Weights of load and occupancy in the congestion index, for the queries and their check alike.
+HCI_LOAD, HCI_OCCUPANCY = 0.7, 0.3
+_HCI = f"""select *, case when meu_max > 0 then {HCI_LOAD}::double * (meu / meu_max) + {HCI_OCCUPANCY}::double * (occ / 35.0::double)
  else 0.0::double end hci from weighted"""
 
 
 @query(sql(f"select event_id, hci from ({_HCI})", "weighted"))
 def hci(spark, sf_dir):
-    value = S.hybrid_congestion("meu", "occ", "meu_max", F.lit(35.0), 0.5, 0.5)
+    value = S.hybrid_congestion("meu", "occ", "meu_max", F.lit(35.0), HCI_LOAD, HCI_OCCUPANCY)
     return _weighted(spark, sf_dir).select("event_id", value.alias("hci"))
 
 
 @query(sql(f"""select event_id, case when occ < 85 then 1.0::double when hci / 2.0::double >= 0.9::double then 0.1::double
  when hci / 2.0::double >= 0.8::double then 0.5::double else 1.0::double end cost_tier from ({_HCI})""", "weighted"))
 def cost_tier(spark, sf_dir):
-    value = S.hybrid_congestion("meu", "occ", "meu_max", F.lit(35.0), 0.5, 0.5)
+    value = S.hybrid_congestion("meu", "occ", "meu_max", F.lit(35.0), HCI_LOAD, HCI_OCCUPANCY)
     rows = _weighted(spark, sf_dir).withColumn("hci", value)
     return rows.select("event_id", S.cost_tier("occ", "hci", F.lit(2.0)).alias("cost_tier"))
 

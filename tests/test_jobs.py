@@ -4,7 +4,7 @@ import json
 import random
 
 import numpy as np
-from conftest import rows_of
+from helpers import rows_of
 
 from roadpulse.operators.edge_state import smooth_step
 from roadpulse.plans import jobs

@@ -2,7 +2,7 @@
 
 import duckdb
 import pytest
-from conftest import SF_DIR
+from helpers import SF_DIR
 
 from __spark_entry__ import entry
 from roadpulse.plans.registry import ORACLES, QUERIES

@@ -2,7 +2,7 @@
 
 import numpy as np
 import pytest
-from conftest import rows_of
+from helpers import rows_of
 
 from roadpulse.operators import raster
 from roadpulse.session import materialize

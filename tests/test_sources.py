@@ -4,7 +4,7 @@ import json
 import random
 
 import pytest
-from conftest import rows_of
+from helpers import rows_of
 from pyspark.sql import functions as F
 
 from roadpulse.functions import scalars as S

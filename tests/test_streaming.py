@@ -1,6 +1,6 @@
 """Streams give what the batch operators give, also after restarts, replays and late rows."""
 
-from conftest import rows_of
+from helpers import rows_of
 from pyspark.sql import functions as F
 from test_scan import edge_rows, incident_rows
 
