@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import decontaminate, language, nearest, ngram_join, pieces, secret_scan, sharding, token_counts, urls, warc
+from roadpulse.llm import decontaminate, language, nearest, ngram_join, pieces, secret_scan, sharding, token_counts, token_files, urls, warc
 from roadpulse.llm.common import read_table
 from roadpulse.session import scratch_path
 
@@ -189,3 +189,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_archives(read_table(spark, sf_dir, "pages"), path)
     return warc.page_records(warc.read_archives(spark, path, offsets=False))
+
+
+@query()
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of every document's ids, written to files of directly addressable codes and read back."""
+    path = scratch_path(spark, "token-files")
+    token_files.write_ids(read_table(spark, sf_dir, "documents"), path)
+    return token_files.read_ids(spark, path, keep_ids=False)
