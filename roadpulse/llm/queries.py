@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import decontaminate, language, nearest, ngram_join, pieces, secret_scan, sharding, token_counts, token_files, urls, warc
+from roadpulse.llm import decontaminate, language, nearest, ngram_join, pieces, secret_scan, sharding, token_counts, token_files, urls, vector_codes, warc
 from roadpulse.llm.common import read_table
 from roadpulse.session import scratch_path
 
@@ -197,3 +197,33 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     token_files.write_ids(read_table(spark, sf_dir, "documents"), path)
     return token_files.read_ids(spark, path, keep_ids=False)
+
+
+def _codes_sql(rounds: int = 2) -> str:
+    # Nearest entry of each part, ties to the lower index; then the entries move, unused ones stay.
+    assign = """
+a{n} as materialized (select r, p, min(d * 64 + e) % 64 e, min(d * 64 + e) // 64 d from (
+ select r, parts.p, e, ((x[1] - c[1]) ** 2 + (x[2] - c[2]) ** 2 + (x[3] - c[3]) ** 2 + (x[4] - c[4]) ** 2)::bigint d
+ from parts join c{n} on parts.p = c{n}.p) group by r, p)"""
+    move = """
+c{m} as materialized (select c{n}.p, c{n}.e, coalesce(y, c) c from c{n} left join (
+ select a{n}.p, a{n}.e, [floor(sum(x[1]) / count(*))::bigint, floor(sum(x[2]) / count(*))::bigint, floor(sum(x[3]) / count(*))::bigint, floor(sum(x[4]) / count(*))::bigint] y
+ from a{n} join parts on parts.r = a{n}.r and parts.p = a{n}.p group by a{n}.p, a{n}.e) s on s.p = c{n}.p and s.e = c{n}.e)"""
+    steps = [assign.format(n=n) + "," + move.format(n=n, m=n + 1) for n in range(rounds)] + [assign.format(n=rounds)]
+    return f"""
+with v as materialized (select row_number() over () r, vec_id, label, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) q from embeddings
+ where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+parts as materialized (select r, p, q[p * 4 + 1 : p * 4 + 4] x from v, range(16) t(p)),
+c0 as materialized (select p, e, x c from parts join (select r, row_number() over (order by vec_id) - 1 e from v order by vec_id limit 64) using (r)),
+{",".join(steps)}
+select vec_id, code, error, (sum(error) over (partition by label))::bigint label_error,
+ (select sha256(string_agg(c[1] || ',' || c[2] || ',' || c[3] || ',' || c[4], ',' order by p, e)) from c{rounds}) codebooks_sha256
+from v join (select r, string_agg(printf('%02x', e), '' order by p) code, sum(d)::bigint error from a{rounds} group by r) using (r)"""
+
+
+@query(_codes_sql())
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of every vector, the error of its label, and the digest of the codebooks."""
+    coded, books = vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
+    digest = F.lit(books.digest() if books else None).cast("string")
+    return coded.select("vec_id", "code", "error", "label_error", digest.alias("codebooks_sha256"))
