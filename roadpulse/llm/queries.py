@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import decontaminate, language, nearest, ngram_join, pieces, secret_scan, sharding, token_counts, token_files, urls, vector_codes, warc
+from roadpulse.llm import decontaminate, language, nearest, ngram_join, pieces, secret_scan, sharding, token_alignment, token_counts, token_files, urls, vector_codes, warc
 from roadpulse.llm.common import read_table
 from roadpulse.session import scratch_path
 
@@ -199,6 +199,13 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_ids(spark, path, keep_ids=False)
 
 
+@query()
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens, groups and links of every document under two tokenizers, with the corpus-wide counts of its id pairs."""
+    found = token_alignment.align_documents(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def _codes_sql(rounds: int = 2) -> str:
     # Nearest entry of each part, ties to the lower index; then the entries move, unused ones stay.
     assign = """
