@@ -271,7 +271,7 @@ def _edge_stream(spark, sf_dir) -> DataFrame:
     series = _series(spark, sf_dir).select("edge_id", "t", "event_id", "raw_speed", "free_flow")
     out, progress = _outputs(spark)
     stream = _as_stream(spark, series, schemas.EDGE_SERIES)
-    jobs.stream_edge_speeds(stream, out, scratch_path(spark, "state"), progress).awaitTermination()
+    jobs.stream_edge_speeds(stream, out, progress).awaitTermination()
     return spark.read.parquet(out)
 
 
@@ -289,27 +289,42 @@ def stream_edge_speeds_late(spark, sf_dir):
     for run in range(6):
         series.filter(F.col("run") == run).drop("run").repartition(FILES_PER_SLICE).write.mode("append").parquet(path)
     stream = jobs.file_stream(spark, path, schemas.EDGE_SERIES, FILES_PER_SLICE)
-    jobs.stream_edge_speeds(stream, out, scratch_path(spark, "state"), progress).awaitTermination()
+    jobs.stream_edge_speeds(stream, out, progress).awaitTermination()
     return spark.read.parquet(out).select("edge_id", "event_id", "t", "prev_speed", "ema", "speed", "status")
 
 
-@query(speeds_sql("select edge_id, event_id, t, speed, status from speeds", "frame_series"))
-def stream_traffic(spark, sf_dir):
-    """Whole frames with their boxes in, speeds and status out, in one streaming job."""
+def _whole_frames(spark, sf_dir) -> DataFrame:
+    """Frames with their boxes in one row."""
     frames, boxes = _frames_boxes(spark, sf_dir)
     entry = F.struct("cls", "conf", "x1", "y1", "x2", "y2")
     held = boxes.groupBy("frame_id").agg(F.collect_list(entry).alias("boxes"))
     rows = frames.join(held, "frame_id", "left").withColumn("t", F.col("frame_id") * 7)
     rows = rows.withColumn("boxes", F.coalesce("boxes", F.array().cast(held.schema["boxes"].dataType)))
-    stream = _as_stream(spark, rows.select("cam", "frame_id", "t", "img_h", "img_w", "boxes"), schemas.FRAME)
+    return rows.select("cam", "frame_id", "t", "img_h", "img_w", "boxes")
+
+
+def _traffic_stream(spark, sf_dir, mode: str) -> DataFrame:
+    stream = _as_stream(spark, _whole_frames(spark, sf_dir), schemas.FRAME)
     out, progress = _outputs(spark)
     jobs.stream_traffic(
         stream, _mask(spark, sf_dir), dim.default_coefficients(spark), fx.camera_edges(spark, sf_dir), fx.free_flow(spark, sf_dir),
-        fx.thresholds(spark, sf_dir), out, scratch_path(spark, "state"), progress,
+        fx.thresholds(spark, sf_dir), out, progress, mode=mode,
     ).awaitTermination()
     return spark.read.parquet(out).select("edge_id", "event_id", "t", "speed", "status")
 
 
+@query(speeds_sql("select edge_id, event_id, t, speed, status from speeds", "frame_series"))
+def stream_traffic(spark, sf_dir):
+    """Whole frames with their boxes in, speeds and status out, in one streaming job."""
+    return _traffic_stream(spark, sf_dir, "sequential")
+
+
+@query(speeds_sql("select edge_id, event_id, t, speed, status from speeds", "frame_slices"))
+def stream_traffic_batch_mode(spark, sf_dir):
+    """As ``stream_traffic``; of an edge's rows in a micro-batch, which is a third of the time, the last one counts."""
+    return _traffic_stream(spark, sf_dir, "batch")
+
+
 @query(speeds_sql("select edge_id, count(*) n, count(*) filter (where prev_speed is null) cold_starts from speeds group by edge_id"))
 def state_ttl_edges(spark, sf_dir):
     """Expired state makes an edge start anew; counted from the stream."""
@@ -318,16 +333,21 @@ def state_ttl_edges(spark, sf_dir):
     )
 
 
+@query(sql("""select edge_id, t last_t, t + 900 cleared_t from (select edge_id, t, lead(t) over (partition by edge_id order by t, event_id) next,
+ max(t) over () newest from series) where coalesce(next, newest - 60) - t > 900""", "series"))
+def stream_cleared_edges(spark, sf_dir):
+    """Edges that went stale, each told by its timer, or by its next write where that came first."""
+    series = _series(spark, sf_dir).select("edge_id", "t", "event_id", "raw_speed", "free_flow")
+    (out, progress), cleared = _outputs(spark), scratch_path(spark, "cleared")
+    jobs.stream_edge_speeds(_as_stream(spark, series, schemas.EDGE_SERIES), out, progress, cleared=cleared).awaitTermination()
+    return spark.read.parquet(cleared).drop("batch")
+
+
 @query(sql("select o.frame_id, o.cam, o.occ, m.meu from frame_occ o join frame_meu m using (frame_id)", "frame_occ frame_meu"))
 def stream_frame_metrics(spark, sf_dir):
-    frames, boxes = _frames_boxes(spark, sf_dir)
-    mask = _mask(spark, sf_dir)
-    rows = frames.join(boxes.drop("cam", "img_h", "img_w"), "frame_id", "left")
-    path = scratch_path(spark, "boxes")
-    rows.repartition(4, "frame_id").write.parquet(path)
+    stream = _as_stream(spark, _whole_frames(spark, sf_dir), schemas.FRAME)
     out, progress = _outputs(spark)
-    stream = jobs.file_stream(spark, path, schemas.DETECTION, 2)
-    jobs.stream_frame_metrics(stream, mask, dim.default_coefficients(spark), out, progress).awaitTermination()
+    jobs.stream_frame_metrics(stream, _mask(spark, sf_dir), dim.default_coefficients(spark), out, progress).awaitTermination()
     return spark.read.parquet(out).select("frame_id", "cam", "occ", "meu")
 
 

@@ -73,6 +73,11 @@ from (select o.frame_id, o.cam, case when o.occ <= 20 then 0.0::double when coal
   then least(m.meu / coalesce(h.meu_max, 200.0::double), 1.0::double) else 0.0::double end twf
  from frame_occ o join frame_meu m using (frame_id) left join fx_thresholds h on h.cam = o.cam) w
 join fx_camera_edges e using (cam) left join fx_free_flow f on f.edge_id = e.edge_id""",
+    # Micro-batches are thirds of the time.
+    "frame_slices": """
+select * from (select *, (t - min(t) over ()) // ((max(t) over () - min(t) over ()) // 3 + 1) slice from (
+ select s.*, (select min(frame_id) * 7 from fx_frames) lo, (select max(frame_id) * 7 from fx_frames) hi from frame_series s))
+qualify row_number() over (partition by edge_id, (t - lo) // ((hi - lo) // 3 + 1) order by t desc, event_id desc) = 1""",
     "last_series": "select * from series qualify row_number() over (partition by edge_id, batch_id order by t desc, event_id desc) = 1",
     "accident_frames": """
 select i.*, i.class_name in ('human_incident', 'vehicle_incident') and i.conf >= 0.2::double hit

@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from roadpulse.operators.accident import alert_records
-from roadpulse.operators.edge_state import carried_state, edge_series, expire_state, speed_and_status
-from roadpulse.plans.traffic import RoadMask, frame_metrics
-from roadpulse.session import HOT_ROWS
-from roadpulse.sources.sinks import alert_json, drop_versions, latest_version, publish_version, read_version, upsert_latest
-from roadpulse.streaming import state
+from roadpulse.operators.edge_state import edge_series
+from roadpulse.plans.traffic import RoadMask
+from roadpulse.sources.sinks import alert_json, drop_versions, upsert_latest
+from roadpulse.streaming import frame_rows, state
 
 WATERMARK_SECONDS = 60
 # Versions of a state table that are kept; the last but one serves a replayed batch.
@@ -28,23 +27,9 @@ def cycle_trigger(writer, seconds: int | None = None):
     return writer.trigger(availableNow=True) if seconds is None else writer.trigger(processingTime=f"{seconds} seconds")
 
 
-def stream_frame_metrics(
-    detections: DataFrame, mask: RoadMask, coefficients: DataFrame, out: str, checkpoint: str, every: int | None = None
-) -> StreamingQuery:
-    """Occupancy and load per frame, one folder per micro-batch, rewritten when a batch is replayed.
-
-    Input rows are boxes; a frame without boxes has one row without class. A file holds whole frames.
-    """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        frames = batch.select("frame_id", "cam", "img_h", "img_w").distinct()
-        boxes = batch.filter(F.col("cls").isNotNull())
-        frame_metrics(frames, boxes, mask, coefficients).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-        batch.unpersist()
-
-    writer = detections.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return cycle_trigger(writer, every).start()
+def stream_frame_metrics(frames: DataFrame, mask: RoadMask, coefficients: DataFrame, out: str, checkpoint: str, every: int | None = None) -> StreamingQuery:
+    """Occupancy and load per frame. Each input row is a whole frame with its ``boxes`` (schemas.FRAME), so none is ever split."""
+    return _append(frame_rows.measured(frames, mask, coefficients).select("frame_id", "cam", "occ", "meu"), out, checkpoint, every)
 
 
 def _append(df: DataFrame, out: str, checkpoint: str, every: int | None) -> StreamingQuery:
@@ -52,65 +37,53 @@ def _append(df: DataFrame, out: str, checkpoint: str, every: int | None) -> Stre
     return cycle_trigger(writer.option("path", out).option("checkpointLocation", checkpoint), every).start()
 
 
-def _advance(rows: DataFrame, batch_id: int, out: str, state_path: str, mode: str, hot_rows: int) -> None:
-    """Speeds of one micro-batch, going on from the state before it; a replayed batch gives the same files.
+def _speeds_sink(speeds: DataFrame, out: str, published: str | None, cleared: str | None, checkpoint: str, every: int | None) -> StreamingQuery:
+    """Speeds go to ``out``/batch=N, edges that went stale to ``cleared``/batch=N and the latest state per edge to ``published``.
 
-    Rows later than the watermark are dropped, all others meet the stored state; states that no admissible
-    row could still reach are expired.
+    State and progress are Spark's; the sink only writes, and a replayed micro-batch writes the same again.
     """
-    spark = rows.sparkSession
-    stored = latest_version(spark, state_path, before=batch_id)
-    previous = None if stored is None else read_version(spark, state_path, stored)
-    if previous is not None:
-        newest = previous.agg(F.max("t")).first()[0]
-        rows = rows if newest is None else rows.filter(F.col("t") > newest - WATERMARK_SECONDS)
-    target = f"{out}/batch={batch_id}"
-    speed_and_status(rows, mode, hot_rows, previous).write.mode("overwrite").parquet(target)
-    state = carried_state(spark.read.parquet(target), previous)
-    publish_version(expire_state(state, WATERMARK_SECONDS), state_path, batch_id)
-    drop_versions(spark, state_path, keep=STATE_VERSIONS)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        rows = batch.filter(~F.col("cleared")).drop("cleared")
+        rows.drop("clock").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        if cleared is not None:
+            gone = batch.filter("cleared").select("edge_id", F.col("prev_t").alias("last_t"), F.col("t").alias("cleared_t"))
+            gone.write.mode("overwrite").parquet(f"{cleared}/batch={batch_id}")
+        if published is not None:
+            newest = F.max_by(F.struct("speed", F.col("clock").alias("t"), "status"), F.struct("clock", "t", "event_id"))
+            upsert_latest(rows.groupBy("edge_id").agg(newest.alias("s")).select("edge_id", "s.*"), published, batch_id, "edge_id", "t")
+            drop_versions(batch.sparkSession, published, keep=STATE_VERSIONS)
+        batch.unpersist()
+
+    writer = speeds.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", checkpoint)
+    return cycle_trigger(writer, every).start()
 
 
 def stream_edge_speeds(
-    series: DataFrame, out: str, state_path: str, checkpoint: str, every: int | None = None, hot_rows: int = HOT_ROWS
+    series: DataFrame, out: str, checkpoint: str, published: str | None = None, cleared: str | None = None,
+    every: int | None = None, mode: str = "sequential",
 ) -> StreamingQuery:
     """Smoothed speed and status per edge from a stream of edge observations.
 
-    Every micro-batch goes on from the published state table with the batch operator, so a hot edge is
-    split over tasks here too. Results lie in ``out``/batch=N and the state in ``state_path``/version=N.
+    The state lies in Spark's state store, keyed by edge; rows later than the watermark are dropped.
     """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        _advance(batch, batch_id, out, state_path, "sequential", hot_rows)
-        batch.unpersist()
-
-    writer = series.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return cycle_trigger(writer, every).start()
+    return _speeds_sink(state.edge_speeds(series, mode, WATERMARK_SECONDS), out, published, cleared, checkpoint, every)
 
 
 def stream_traffic(
     frames: DataFrame, mask: RoadMask, coefficients: DataFrame, camera_edges: DataFrame, free_flow: DataFrame,
-    thresholds: DataFrame, out: str, state_path: str, checkpoint: str, every: int | None = None,
-    mode: str = "sequential", hot_rows: int = HOT_ROWS,
+    thresholds: DataFrame, out: str, checkpoint: str, published: str | None = None, cleared: str | None = None,
+    every: int | None = None, mode: str = "sequential",
 ) -> StreamingQuery:
-    """Boxes to published speed and status per edge, in one pass.
+    """Boxes to published speed and status per edge, in one streaming query.
 
-    Each input row is a whole frame with its ``boxes`` (schemas.FRAME), so no frame is split over
-    micro-batches. In ``batch`` mode all of a micro-batch meet the state before it and the last one of an edge counts.
+    Each input row is a whole frame with its ``boxes`` (schemas.FRAME). In ``batch`` mode all of a micro-batch meet the
+    state before it and the last one of an edge counts.
     """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        held = batch.drop("boxes")
-        boxes = batch.select("cam", "frame_id", "img_h", "img_w", F.inline("boxes"))
-        observed = frame_metrics(held, boxes, mask, coefficients).withColumnRenamed("frame_id", "event_id")
-        series = edge_series(observed, camera_edges, free_flow, thresholds).withColumn("batch_id", F.lit(batch_id))
-        _advance(series, batch_id, out, state_path, mode, hot_rows)
-        batch.unpersist()
-
-    writer = frames.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return cycle_trigger(writer, every).start()
+    observed = frame_rows.measured(frames, mask, coefficients).withColumnRenamed("frame_id", "event_id")
+    series = edge_series(observed, camera_edges, free_flow, thresholds)
+    return _speeds_sink(state.edge_speeds(series, mode, WATERMARK_SECONDS), out, published, cleared, checkpoint, every)
 
 
 def stream_accident_alerts(series: DataFrame, out: str, checkpoint: str, every: int | None = None) -> StreamingQuery:

@@ -1,8 +1,8 @@
-"""Keyed streaming fold on the state store: the same step functions as the batch operators.
+"""Keyed streaming folds on the state store: the same step functions as the batch operators.
 
-Rows later than the watermark are dropped by Spark. State expires on event time, once the watermark
-has passed the moment at which the step itself would start anew, so expiry frees storage and never
-changes a result.
+Rows later than the watermark are dropped by Spark. State expires on event time, by timers, once the watermark
+has passed the moment at which the step itself would start anew, so expiry frees storage and never changes a
+result. (A time to live in processing time would expire differently on every replay.)
 """
 
 from __future__ import annotations
@@ -11,12 +11,15 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
 from roadpulse import constants as K
 from roadpulse.operators.accident import cooldown_step, streak_step
+from roadpulse.operators.edge_state import smooth_step
 
 
 def _folder(step: Callable, time: str, tie: str, inputs: list[str], kept: list[str], outputs: list[str], ttl: int):
@@ -65,3 +68,111 @@ def accident_alerts(series: DataFrame) -> DataFrame:
         fold, StructType([series.schema[c] for c in kept] + list(added)),
         StructType.fromDDL("hits bigint, last_hit bigint, last_alert bigint"), "append", GroupStateTimeout.EventTimeTimeout,
     )
+
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Rows of one edge that are turned into one output batch.
+CHUNK_ROWS = 20_000
+EDGE_OUTPUT = (
+    "edge_id string, t bigint, event_id bigint, prev_speed double, prev_status string, prev_t bigint, ema double,"
+    " speed double, status string, clock bigint, cleared boolean"
+)
+
+
+def use_rocksdb(spark: SparkSession) -> None:
+    """State of new queries goes to RocksDB, on each executor's disk, with changes uploaded to the checkpoint folder."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+
+
+def _millis(seconds: int) -> int:
+    """Event time of a moment in the data. Spark's first watermark is 1970 itself and drops rows not after it, so times count from a second later."""
+    return (seconds + 1) * 1000
+
+
+class EdgeProcessor(StatefulProcessor):
+    """Smoothed speed, status and freshness of one edge.
+
+    State: (speed, status, time of the last write, pending timer). Rows of a micro-batch are folded in order of time; one
+    that is older than the last write still meets the state and leaves its time as it is. Spark can't sort a stream,
+    so an edge's rows of a micro-batch are put in order here: three numbers a row are held, and the source's rate options
+    bound their number. With ``last_only`` all rows of a micro-batch meet the state before it and only the last one counts.
+
+    Each write sets a timer just past the freshness limit and cancels the one before. When it fires, or when the next
+    write comes later than that, a row with ``cleared`` says that the edge went stale at ``t``. The next timer, at the
+    state's expiry, removes the state.
+    """
+
+    def __init__(self, last_only: bool = False):
+        self.last_only = last_only
+        self.state_schema = StructType.fromDDL("speed double, status string, t bigint, timer bigint")
+        self.columns = StructType.fromDDL(EDGE_OUTPUT).fieldNames()
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("edge", self.state_schema)
+
+    def _frame(self, edge: str, rows: list[tuple]) -> pd.DataFrame:
+        out = pd.DataFrame(rows, columns=self.columns[1:])
+        out.insert(0, "edge_id", edge)
+        for name in ("event_id", "prev_t"):
+            out[name] = out[name].astype("Int64")
+        return out
+
+    @staticmethod
+    def _cleared(speed: float, status: str, t: int) -> tuple:
+        return (t + K.FRESH_SECONDS, None, speed, status, t, None, None, None, t, True)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        parts = [[b[c].to_numpy() for c in ("t", "event_id", "raw_speed", "free_flow")] for b in rows]
+        time, tie, raw, flow = (np.concatenate(c) for c in zip(*parts))
+        held = self.state.get()
+        clock = time if held is None else np.maximum(time, held[2])
+        order = np.lexsort((tie, time, clock))[-1 if self.last_only else None :]
+        state = None if held is None else (held[0], held[1], int(held[2]))
+        # An edge that its timer has already reported isn't reported again.
+        told = held is not None and held[3] >= _millis(held[2] + K.EDGE_STATE_TTL)
+        out = []
+        for i in order:
+            now = int(clock[i])
+            if state is not None and now - state[2] > K.FRESH_SECONDS and not told:
+                out.append(self._cleared(*state))
+            state, result = smooth_step(state, now, float(raw[i]), float(flow[i]))
+            told = False
+            out.append((int(time[i]), int(tie[i]), *result, now, False))
+            if len(out) >= CHUNK_ROWS:
+                yield self._frame(key[0], out)
+                out = []
+        if held is not None:
+            self.handle.deleteTimer(held[3])
+        timer = _millis(state[2] + K.FRESH_SECONDS) + 1
+        self.handle.registerTimer(timer)
+        self.state.update((*state, timer))
+        if out:
+            yield self._frame(key[0], out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        speed, status, t, timer = self.state.get()
+        last = _millis(t + K.EDGE_STATE_TTL)
+        if timer < last:
+            if timerValues.getCurrentWatermarkInMs() < last:
+                self.handle.registerTimer(last)
+                self.state.update((speed, status, t, last))
+            else:
+                self.state.clear()
+            yield self._frame(key[0], [self._cleared(speed, status, t)])
+        else:
+            self.state.clear()
+            yield self._frame(key[0], [])
+
+    def close(self) -> None:
+        pass
+
+
+def edge_speeds(series: DataFrame, mode: str, lateness: int) -> DataFrame:
+    """Speeds and cleared rows of a stream of edge observations; those ``lateness`` seconds behind the newest one are dropped."""
+    use_rocksdb(series.sparkSession)
+    rows = series.withColumn("ts", F.timestamp_seconds(F.col("t") + 1)).withWatermark("ts", f"{lateness} seconds")
+    rows = rows.select("ts", "edge_id", "t", "event_id", "raw_speed", "free_flow")
+    return rows.groupBy("edge_id").transformWithStateInPandas(
+        EdgeProcessor(mode == "batch"), EDGE_OUTPUT, "Append", "EventTime"
+    )

@@ -1,13 +1,17 @@
 """Streams give what the batch operators give, also after restarts, replays and late rows."""
 
+import random
+
 from helpers import rows_of
 from pyspark.sql import functions as F
 from test_scan import edge_rows, incident_rows
 
 from roadpulse import schemas
 from roadpulse.operators import accident, edge_state
+from roadpulse.plans import traffic
+from roadpulse.sources import dimensions as dim
 from roadpulse.sources import sinks
-from roadpulse.streaming import jobs
+from roadpulse.streaming import frame_rows, jobs
 
 SPEED = ["edge_id", "event_id", "prev_speed", "ema", "speed", "status"]
 
@@ -26,43 +30,102 @@ def as_set(df, columns):
     return sorted(map(repr, df.select(*columns).collect()))
 
 
+def replay_last(progress):
+    """Takes back the commit of the last micro-batch, as a failure before it would."""
+    last = max(int(p.name) for p in (progress / "commits").iterdir() if p.name.isdigit())
+    (progress / "commits" / str(last)).unlink()
+    for crc in (progress / "commits").glob(f".{last}*.crc"):
+        crc.unlink()
+
+
 def test_edge_stream_equals_batch_with_restart_and_replay(spark, tmp_path):
     series = edge_rows(spark, hot=400).drop("batch_id")
-    source, out, state, progress = (str(tmp_path / n) for n in ("in", "out", "state", "progress"))
+    source, out, published, progress = (str(tmp_path / n) for n in ("in", "out", "state", "progress"))
 
     def run():
         stream = jobs.file_stream(spark, source, schemas.EDGE_SERIES, 1)
-        jobs.stream_edge_speeds(stream, out, state, progress, hot_rows=60).awaitTermination()
+        jobs.stream_edge_speeds(stream, out, progress, published).awaitTermination()
 
     for part in thirds(series):
         write_slice(part, source)
-        run()  # every run is a restart from the stored progress
+        run()  # every run is a restart from the stored state
     # small edges share early times with the hot edge, so no row is late and the stream equals the batch
-    want = as_set(edge_state.speed_and_status(series), SPEED)
+    speeds = edge_state.speed_and_status(series)
+    want, state = as_set(speeds, SPEED), ["edge_id", "t", "speed", "status"]
     assert as_set(spark.read.parquet(out), SPEED) == want
-    last = sinks.latest_version(spark, state)
-    before = rows_of(sinks.read_version(spark, state, last).select("edge_id", "t", "speed", "status"), "edge_id")
-
-    # the last micro-batch is replayed, as after a failure before its commit
-    (tmp_path / "progress" / "commits" / str(last)).unlink()
-    for crc in (tmp_path / "progress" / "commits").glob(f".{last}*.crc"):
-        crc.unlink()
+    newest = lambda: as_set(sinks.read_version(spark, published, sinks.latest_version(spark, published)), state)
+    assert newest() == as_set(edge_state.latest_state(speeds), state)
+    replay_last(tmp_path / "progress")
     run()
-    assert as_set(spark.read.parquet(out), SPEED) == want
-    after = sinks.read_version(spark, state, sinks.latest_version(spark, state))
-    assert rows_of(after.select("edge_id", "t", "speed", "status"), "edge_id") == before
-
-
-def test_late_rows_are_dropped_and_old_state_expires(spark, tmp_path):
-    source, out, state, progress = (str(tmp_path / n) for n in ("in", "out", "state", "progress"))
-    row = lambda edge, t, i: (edge, t, i, 30.0, 50.0)
-    write_slice(spark.createDataFrame([row("a", 0, 1), row("b", 5000, 2)], schemas.EDGE_SERIES), source)
-    stream = lambda: jobs.stream_edge_speeds(jobs.file_stream(spark, source, schemas.EDGE_SERIES, 1), out, state, progress)
-    stream().awaitTermination()
-    assert [r.edge_id for r in sinks.read_version(spark, state, 0).collect()] == ["b"]
-    write_slice(spark.createDataFrame([row("b", 4940, 3), row("b", 4941, 4)], schemas.EDGE_SERIES), source)
-    stream().awaitTermination()
+    assert as_set(spark.read.parquet(out), SPEED) == want and newest() == as_set(edge_state.latest_state(speeds), state)
+
+
+def test_late_rows_are_dropped_or_meet_the_state(spark, tmp_path):
+    source, out, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    row = lambda edge, t, i, raw=30.0: (edge, t, i, raw, 50.0)
+
+    def run(*rows):
+        write_slice(spark.createDataFrame(list(rows), schemas.EDGE_SERIES), source)
+        jobs.stream_edge_speeds(jobs.file_stream(spark, source, schemas.EDGE_SERIES, 1), out, progress).awaitTermination()
+
+    run(row("a", 0, 1), row("b", 5000, 2))
+    run(row("b", 4940, 3), row("b", 4941, 4, 20.0))
     assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == [1, 2, 4]
+    # the late row meets the state and doesn't date it back: 27.0 holds until 5000 + 1200
+    run(row("b", 6199, 5, 27.0))
+    run(row("b", 7399, 6))
+    got = {r.event_id: (r.prev_speed, r.prev_t, r.speed) for r in spark.read.parquet(out).collect()}
+    assert got[4] == (30.0, 5000, 27.0) and got[5] == (27.0, 5000, 27.0) and got[6] == (None, None, 30.0)
+
+
+def test_timers_tell_stale_edges_once(spark, tmp_path):
+    source, out, progress, cleared = (str(tmp_path / n) for n in ("in", "out", "progress", "cleared"))
+
+    def run(*rows):
+        write_slice(spark.createDataFrame([(e, t, i, 30.0, 50.0) for e, t, i in rows], schemas.EDGE_SERIES), source)
+        stream = jobs.file_stream(spark, source, schemas.EDGE_SERIES, 1)
+        jobs.stream_edge_speeds(stream, out, progress, cleared=cleared).awaitTermination()
+        return sorted((r.edge_id, r.last_t, r.cleared_t) for r in spark.read.parquet(cleared).collect())
+
+    assert run(("a", 100, 1), ("b", 100, 2), ("c", 100, 3)) == []
+    assert run(("b", 900, 4), ("x", 1060, 5)) == []  # the watermark stands at 1000: exactly 900 s after a's last write
+    told = [("a", 100, 1000), ("c", 100, 1000)]
+    assert run(("x", 1061, 6)) == told  # a and c went stale, b's timer was cancelled by its write
+    assert run(("a", 1100, 7), ("x", 1700, 8)) == told  # told once, also when the next write comes
+    told += [("b", 900, 1800)]
+    assert run(("x", 2000, 9)) == sorted(told)
+    assert run(("a", 2500, 10)) == sorted([*told, ("a", 1100, 2000)])  # the next write came before the timer
+    states = spark.read.parquet(out)
+    assert {r.event_id: r.prev_speed for r in states.collect()}[10] is None
+
+
+def test_frames_with_their_boxes_equal_the_batch(spark, tmp_path):
+    rng = random.Random(6)
+    shapes = {0: (40, 70), 1: (40, 70), 2: (30, 130), 3: (40, 70)}
+    frames, boxes = [], []
+    for i in range(60):
+        cam = i % 4
+        h, w = shapes[cam] if i != 9 else (41, 70)  # one frame doesn't fit its camera's mask
+        frames.append((cam, i, 10 * i, h, w))
+        for _ in range(rng.randint(0, 6) if i % 7 else 0):
+            x, y = rng.uniform(-20, w), rng.uniform(-20, h)
+            boxes.append((i, cam, h, w, rng.randint(0, 5), x, y, x + rng.uniform(0, 40), y + rng.uniform(0, 30)))
+    frame_df = spark.createDataFrame(frames, "cam long, frame_id long, t long, img_h int, img_w int")
+    box_df = spark.createDataFrame(boxes, "frame_id long, cam long, img_h int, img_w int, cls int, x1 double, y1 double, x2 double, y2 double")
+    runs = [(c, 40, 70, y, 5 + c, 50 + y) for c in (0, 1) for y in range(0, 20)]
+    cameras = [(c, 40, 70) for c in (0, 1, 3)]  # camera 2 has no mask, camera 3 an empty one
+    mask = traffic.RoadMask(spark.createDataFrame(runs, "cam long, img_h int, img_w int, y int, xs int, xe int"), spark.createDataFrame(cameras, "cam long, img_h int, img_w int"))
+    weights = dim.default_coefficients(spark)
+    names = ["frame_id", "cam", "occ", "meu"]
+    want = as_set(traffic.frame_metrics(frame_df, box_df, mask, weights), names)
+    held = box_df.groupBy("frame_id").agg(F.collect_list(F.struct("cls", F.lit(0.9).alias("conf"), "x1", "y1", "x2", "y2")).alias("boxes"))
+    whole = frame_df.join(held, "frame_id", "left").select("cam", "frame_id", "t", "img_h", "img_w", "boxes")
+    source, out, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    whole.repartition(3).write.parquet(source)
+    stream = jobs.file_stream(spark, source, schemas.FRAME, 1)
+    jobs.stream_frame_metrics(stream, mask, weights, out, progress).awaitTermination()
+    assert as_set(spark.read.parquet(out), names) == want
+    assert frame_rows.measured(whole.limit(0), mask, weights).count() == 0
 
 
 def test_alert_stream_equals_batch(spark, tmp_path):
