@@ -13,6 +13,7 @@ split further. Reading: Spark's binary source deals out the files.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -44,16 +45,21 @@ SKETCH = 20
 TABLE_CHUNKS = 1_000_000
 LONG_CHUNK = 64
 SMALL_ROWS = 100_000
-_BLANK = str.maketrans("\n\t", "  ")
 _BREAK = "\x00"
+_POINTS = ".,;:!?()[]{}\"*-_/|$%&#@+=<>~^"
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_OTHER_BYTES = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+# Characters of a byte-level vocabulary: printable Latin-1 for itself, the other bytes in order from 256.
+_BYTE_LETTERS = [chr(256 + _OTHER_BYTES.index(b)) if b in _OTHER_BYTES else chr(b) for b in range(256)]
 
 
 class WordIds:
     """Ids of texts, put together from a table of the distinct words between blanks that were met.
 
     Pre-tokens of this vocabulary hold no white space and nothing around a blank changes them, so a text's ids are those
-    of its words in order. New words are encoded by the library, many in one text, with a character between them that
-    is a token by itself. A full table keeps only the words at hand, so its memory is bounded.
+    of its words in order. A new word of plain letters with punctuation behind is two pre-tokens: the letters go straight
+    to the library's merges, once for all spellings in capitals. Other words are encoded by the library, many in one text,
+    with a character between them that is a token by itself. A full table keeps only the words at hand, so its memory is bounded.
     """
 
     def __init__(self, path: str):
@@ -63,11 +69,29 @@ class WordIds:
         self.model = Tokenizer.from_file(path)
         self.type = np.dtype("<u2" if self.model.get_vocab_size() <= 2**16 else "<u4")
         self.table: dict[str, bytes] = {"": b""}
+        self.letters: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {"": b""}
+        self.merge = self.model.model.tokenize
         (self.split,) = self.ids(_BREAK)
 
     def ids(self, text: str) -> list[int]:
         return self.model.encode(text, add_special_tokens=False).ids
 
+    def plain(self, word: str) -> bytes | None:
+        """Ids of a word of plain letters and punctuation behind, else None."""
+        head = word.rstrip(_POINTS)
+        if _LETTERS.fullmatch(head) is None:
+            return None
+        lower, tail = head.lower(), word[len(head) :]
+        found, end = self.letters.get(lower), self.tails.get(tail)
+        if found is None:
+            # Each byte of a letter has its own character in the vocabulary; those of ASCII stand for themselves.
+            spelled = lower if lower.isascii() else "".join(map(_BYTE_LETTERS.__getitem__, lower.encode()))
+            found = self.letters[lower] = np.array([t.id for t in self.merge(spelled)], self.type).tobytes()
+        if end is None:
+            end = self.tails[tail] = np.array(self.ids(tail), self.type).tobytes()
+        return found + end
+
     def meet(self, words: set[str]) -> dict[str, bytes]:
         """Ids of ``words``, as bytes."""
         new = words - self.table.keys()
@@ -75,7 +99,14 @@ class WordIds:
         new.difference_update(alone)
         if len(self.table) + len(new) > TABLE_CHUNKS:
             self.table = {"": b""} | {w: self.table[w] for w in words if w in self.table}
-        ordered = list(new)
+            self.letters, self.tails = {}, {"": b""}
+        ordered = []
+        for word in new:
+            found = self.plain(word)
+            if found is None:
+                ordered.append(word)
+            else:
+                self.table[word] = found
         for a in range(0, len(ordered), 4096):
             part = ordered[a : a + 4096]
             flat = np.array(self.ids(f" {_BREAK} ".join(part)), self.type)
@@ -89,7 +120,7 @@ class WordIds:
         return {w: self.table[w] for w in words if w in self.table} | {w: np.array(self.ids(w), self.type).tobytes() for w in alone}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.translate(_BLANK).split(" ") for t in texts]
+        split = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
         table = self.meet(set().union(*split))
         return [b"".join(map(table.__getitem__, words)) for words in split]
 
