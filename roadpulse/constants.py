@@ -58,6 +58,7 @@ POLYLINE_SCALE = 1_000_000
 
 # ---- fixed values: queue ----
 CYCLE_SENTINEL = "__CYCLE_END__"
+QUEUE_BATCH = 100
 BACKLOG_RATIO = 0.5
 HISTORY_TIME_ZONE = "Asia/Ho_Chi_Minh"
 UNKNOWN_SPEED_CODE = 127

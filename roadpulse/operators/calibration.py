@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from roadpulse import constants as K
 from roadpulse.functions.scalars import round_even
+from roadpulse.session import materialize
 
 
 def calibration_stats(frame_loads: DataFrame) -> DataFrame:
@@ -27,8 +28,9 @@ def low_frame_cameras(stats: DataFrame, minimum: int = K.MIN_RELIABLE_FRAMES) ->
 
 def low_frame_preview(low: DataFrame, shown: int = K.PREVIEW_CAMERAS) -> DataFrame:
     """One report line: number of such cameras and the first ids in text order."""
-    total = low.count()
+    low = materialize(low.select("cam_id"))
     first = low.orderBy("cam_id").limit(shown)
+    total = low.agg(F.count(F.lit(1))).scalar()
     ids = F.array_join(F.array_sort(F.collect_list("cam_id")), ", ")
-    more = F.lit("..." if total > shown else "")
-    return first.agg(F.lit(total).cast("bigint").alias("n_low"), F.concat(ids, more).alias("preview"))
+    listed = first.agg(ids.alias("ids"))
+    return listed.select(total.alias("n_low"), F.concat("ids", F.when(total > shown, "...").otherwise("")).alias("preview"))

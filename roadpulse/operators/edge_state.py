@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from roadpulse import constants as K
 from roadpulse.functions.scalars import edge_wire, greenshields_speed, traffic_weight
 from roadpulse.operators.metrics import join_thresholds, writable_edges
+from roadpulse.operators.ordinal import as_of
 from roadpulse.operators.scan import Fold, ordered_scan
 from roadpulse.session import HOT_ROWS
 
@@ -141,9 +142,17 @@ def expire_state(state: DataFrame, lateness: int = 0) -> DataFrame:
     return state if newest is None else state.filter(F.col("t") > newest - lateness - K.EDGE_STATE_TTL)
 
 
-def prev_state_asof(speeds: DataFrame) -> DataFrame:
-    """State each observation found: absent after expiry or before the first write."""
-    return speeds.select("edge_id", "event_id", "t", "prev_speed", "prev_status", "prev_t")
+def prev_state_asof(probes: DataFrame, written: DataFrame) -> DataFrame:
+    """State that each probe (edge_id, event_id, t) finds in a history of written states (edge_id, event_id, t, speed, status).
+
+    It is the last one written before, absent before the first write and once expired. A probe without event_id meets
+    all that was written up to and at its moment. Nothing is folded: both sides are put in one order.
+    """
+    last = F.lit(2**62)
+    asked = probes.select("edge_id", "event_id", "t", F.coalesce("event_id", last).alias("tie"))
+    history = written.select("edge_id", "t", F.col("event_id").alias("tie"), F.col("speed").alias("prev_speed"), F.col("status").alias("prev_status"))
+    found = as_of(asked, history, "edge_id", ["prev_speed", "prev_status"], K.EDGE_STATE_TTL)
+    return found.drop("tie").withColumnRenamed("found_t", "prev_t")
 
 
 def status_changes(speeds: DataFrame) -> DataFrame:

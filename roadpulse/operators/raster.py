@@ -113,7 +113,11 @@ def heatmap(detections: DataFrame) -> DataFrame:
 
 def heatmap_merge(stored: DataFrame, new: DataFrame) -> DataFrame:
     """Sum of two heatmaps."""
-    both = stored.unionByName(new)
+    return heatmap_sum(stored.unionByName(new))
+
+
+def heatmap_sum(both: DataFrame) -> DataFrame:
+    """Sum of any number of heatmaps, all in one table."""
     step = lambda x, sign: F.struct(F.col(x).alias("x"), (sign * F.col("hits")).alias("d"))
     differences = (
         both.select(*CAMERA, "y", F.inline(F.array(step("xs", 1), step("xe", -1))))
@@ -149,7 +153,11 @@ def road_mask(runs: DataFrame, threshold: Column | int = K.ROAD_HITS_DEFAULT) ->
 
 def road_mask_calibrated(runs: DataFrame, frames: DataFrame) -> DataFrame:
     """Road mask whose threshold is a share of the frames processed for the camera."""
-    counts = frames.groupBy("cam").agg(F.count(F.lit(1)).alias("frames"))
+    return road_mask_of_counts(runs, frames.groupBy("cam").agg(F.count(F.lit(1)).alias("frames")))
+
+
+def road_mask_of_counts(runs: DataFrame, counts: DataFrame) -> DataFrame:
+    """As ``road_mask_calibrated``, from the number of ``frames`` of each camera."""
     needed = F.greatest(F.lit(1.0), F.rint(F.col("frames") * K.ROAD_FRAME_RATIO))
     limits = counts.select("cam", needed.alias("needed"))
     return road_mask(runs.join(limits, "cam"), F.col("needed"))

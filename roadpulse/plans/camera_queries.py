@@ -125,10 +125,13 @@ def mask_default(spark, sf_dir):
     return raster.mask_default(mask.runs.filter("cam%4<>0"), mask.cameras).select("cam", "y", "xs", "xe")
 
 
-@query(sql("""select cam, y::int y, min(x)::int xs, (max(x) + 1)::int xe from (
+_TWO_RUNS = sql("""select cam, y::int y, min(x)::int xs, (max(x) + 1)::int xe from (
   select h.cam, h.y, h.x, h.x - row_number() over (partition by h.cam, h.y order by h.x) run from heat_px h
   join (select cam, count(*) n from fx_frames where frame_id % 3 = 0 group by cam) c using (cam)
-  where h.hits >= greatest(1, round_even(c.n * 0.30::double, 0))) group by cam, y, run""", "heat_px fx_frames"))
+  where h.hits >= greatest(1, round_even(c.n * 0.30::double, 0))) group by cam, y, run""", "heat_px fx_frames")
+
+
+@query(_TWO_RUNS)
 def calibration_two_runs(spark, sf_dir):
     """Two calibration runs: heat adds up over both, the second run's frame counts set the threshold."""
     frames, boxes = _frames_boxes(spark, sf_dir)
@@ -236,7 +239,8 @@ def sink_alerts(spark, sf_dir):
         fx.incidents(spark, sf_dir), fx.camera_edges(spark, sf_dir), fx.cameras(spark, sf_dir), FIXTURE_INCIDENT_CONFIDENCE
     )
     path = scratch_path(spark, "alerts")
-    sinks.append_alerts(records, path)
+    for batch, part in ((0, "hash(camId) % 2 = 0"), (1, "hash(camId) % 2 <> 0"), (1, "hash(camId) % 2 <> 0")):  # the second one is repeated
+        sinks.append_alerts(records.filter(part), path, "alerts", batch)
     edges = F.array_join(F.col("edgeIds").cast("array<string>"), ",")
     return sinks.read_alerts(spark, path).withColumn("edgeIds", edges)
 
@@ -371,7 +375,7 @@ def stream_alert_records(spark, sf_dir):
     stream = _as_stream(spark, series, schemas.INCIDENT_SERIES)
     jobs.stream_alert_records(stream, fx.camera_edges(spark, sf_dir), fx.cameras(spark, sf_dir), out, progress).awaitTermination()
     edges = F.array_join(F.col("edgeIds").cast("array<string>"), ",")
-    return sinks.read_alerts(spark, out).withColumn("edgeIds", edges).drop("batch")
+    return sinks.read_alerts(spark, out).withColumn("edgeIds", edges)
 
 
 @query(sql("select cam, count(*) n, max(streak) longest, count(*) filter (where streak = 1) restarts from streaks group by cam", "streaks"))
@@ -386,10 +390,54 @@ def state_ttl_streak(spark, sf_dir):
 def stream_calibration(spark, sf_dir):
     rows = _processed(spark, sf_dir).select("event_id", "cam", "t", "occ", "meu")
     out, progress = _outputs(spark)
-    jobs.stream_calibration(_as_stream(spark, rows, schemas.OBSERVATION), out, progress).awaitTermination()
+    jobs.stream_camera_stats(_as_stream(spark, rows, schemas.OBSERVATION), out, progress).awaitTermination()
     return sinks.read_version(spark, out, sinks.latest_version(spark, out))
 
 
+def _streamed_calibration(spark, sf_dir) -> tuple[str, str]:
+    """Two calibration runs, each gathered by a stream."""
+    frames = materialize(_whole_frames(spark, sf_dir))
+    mask, limits = scratch_path(spark, "masks"), scratch_path(spark, "limits")
+    for version, own in enumerate(("frame_id % 3 <> 0", "frame_id % 3 = 0")):
+        gathered, progress = _outputs(spark)
+        stream = _as_stream(spark, frames.filter(own), schemas.FRAME)
+        jobs.stream_calibration(stream, dim.default_coefficients(spark), gathered, "run", progress).awaitTermination()
+        batch.finish_calibration(spark, gathered, "run", mask, limits, version)
+    return mask, limits
+
+
+@query(_TWO_RUNS)
+def stream_calibration_masks(spark, sf_dir):
+    """Masks of two streamed runs; equal to those of ``calibration_two_runs``."""
+    mask, _ = _streamed_calibration(spark, sf_dir)
+    return batch.load_mask(spark, mask).runs.select("cam", "y", "xs", "xe")
+
+
+@query(sql("""select cam, round_even(max(meu) filter (where frame_id % 3 = 0) * 100, 0) / 100 meu_max from frame_meu group by cam""", "frame_meu"))
+def stream_calibration_limits(spark, sf_dir):
+    """Load limits of the second of two streamed runs."""
+    _, limits = _streamed_calibration(spark, sf_dir)
+    return sinks.read_version(spark, limits, sinks.latest_version(spark, limits)).select("cam", "meu_max")
+
+
+_LATE_FRAMES = "event_id % 40 = 3"
+
+
+@query(sql(f"""select t//20*20 window_start, count(*) n_frames, min(cam) min_cam, max(cam) max_cam from (
+  select *, max(t) over () newest from fx_observations where fetched)
+ where not ({_LATE_FRAMES} and t < newest - 2000) and t//20*20 + 20 <= newest - 60 group by all""", "fx_observations"))
+def stream_cycle_window(spark, sf_dir):
+    """Cycles that the watermark has closed; some rows come long after theirs was and are dropped."""
+    rows = fx.observations(spark, sf_dir).filter("fetched").select("event_id", "cam", "t", "occ", "meu")
+    newest = rows.agg(F.max("t")).first()[0]
+    late = F.expr(_LATE_FRAMES) & (F.col("t") < newest - 2000)
+    path, (out, progress) = scratch_path(spark, "stream"), _outputs(spark)
+    for part in (rows.filter((F.col("t") < newest - 1000) & ~late), rows.filter(F.col("t") >= newest - 1000), rows.filter(late)):
+        part.repartition(FILES_PER_SLICE).write.mode("append").parquet(path)
+    jobs.stream_cycle_window(jobs.file_stream(spark, path, schemas.OBSERVATION, FILES_PER_SLICE), out, progress).awaitTermination()
+    return spark.read.parquet(out)
+
+
 @query(sql("select event_id, cam, t, occ, meu from edge_obs", "edge_obs"))
 def dedup_observations(spark, sf_dir):
     rows = _processed(spark, sf_dir).select("event_id", "cam", "t", "occ", "meu")

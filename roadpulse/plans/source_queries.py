@@ -62,6 +62,20 @@ def src_camera_edges(spark, sf_dir):
     return cam_src.camera_edges(cam_src.read_cameras(spark, _camera_files(spark, sf_dir))).drop("ordinal")
 
 
+@query(sql("""select cam cam_id, row_number() over (order by cam % 3, cam) - 1 ordinal, (row_number() over (order by cam % 3, cam) <= 25) first_25
+ from (select distinct user_id cam from events)""", "fx_cameras"))
+def src_cameras_ordinal(spark, sf_dir):
+    """Position of every camera over three files, the last of which is the largest and so is read first."""
+    path = scratch_path(spark, "camera-files")
+    cams = fx.cameras(spark, sf_dir)
+    for i, pad in enumerate((1, 3, 200)):
+        part = cams.filter(F.col("cam") % 3 == i).orderBy("cam").selectExpr("cast(cam as string) cam_id", f"repeat('x', {pad}) description", "map('z', null) zones")
+        part.coalesce(1).write.json(f"{path}/{i}")
+    read = cam_src.read_cameras(spark, f"{path}/*")
+    first = cam_src.camera_limit(read, "25").select("cam_id", F.lit(True).alias("first"))
+    return read.join(first, "cam_id", "left").selectExpr("cast(cam_id as bigint) cam_id", "ordinal", "coalesce(first, false) first_25")
+
+
 @query(sql("select edge_id, speed_kph from fx_free_flow", "fx_free_flow"))
 def src_free_flow(spark, sf_dir):
     listed = fx.free_flow(spark, sf_dir)
@@ -299,6 +313,29 @@ def cycle_stats(spark, sf_dir):
     return report.cycle_stats(seen, fx.cameras(spark, sf_dir).filter("known"), failing, batches, misfits)
 
 
+_QUEUE = """
+ select *, (row_number() over (order by t, marker, event_id) - 1) // 100 batch from (
+  select event_id, cam, t, fetched, 0 marker from fx_observations
+  union all select -batch_id, null, max(t), null, 1 from fx_observations where batch_id % 5 = 2 group by batch_id)"""
+
+
+@query(sql(f"""select cycle cycle_id, count(*) filter (where ok) ok, count(*) filter (where marker = 0 and not ok) fail, count(*) filter (where marker = 0) total,
+ count(distinct batch) batches, max(marker) = 1 ended, max(t) - coalesce(lag(max(t)) over (order by cycle), min(min(t)) over ()) elapsed
+ from (select q.*, marker = 0 and fetched and k.cam is not null and not exists (select 1 from fx_free_flow f join fx_camera_edges e using (edge_id) where e.cam = q.cam and f.speed_kph = 0) ok,
+  c.cycle from ({_QUEUE}) q left join known k using (cam)
+  join (select batch, coalesce(sum(ended) over (order by batch rows between unbounded preceding and 1 preceding), 0)::bigint cycle
+   from (select batch, max(marker) ended from ({_QUEUE}) group by batch)) c using (batch))
+ group by cycle""", "fx_observations known fx_free_flow fx_camera_edges"))
+def cycle_stats_marked(spark, sf_dir):
+    """Cycles of a queue that hold markers now and then, over batches of a hundred ids."""
+    seen = fx.observations(spark, sf_dir)
+    ids = seen.selectExpr("event_id", "cam", "t", "fetched", "0 marker", "cast(cam as string) item")
+    markers = seen.filter("batch_id % 5 = 2").groupBy("batch_id").agg(F.max("t").alias("t")).selectExpr("-batch_id event_id", "t", "1 marker", f"'{K.CYCLE_SENTINEL}' item")
+    queue = ids.unionByName(markers, allowMissingColumns=True)
+    failing = metrics.failing_cameras(fx.camera_edges(spark, sf_dir), fx.free_flow(spark, sf_dir))
+    return report.marked_cycle_stats(queue, ["t", "marker", "event_id"], fx.cameras(spark, sf_dir).filter("known"), failing, stretch=7)
+
+
 @query(sql("""select batch_id, count(*) n_ids, batch_id%2=0 sentinel from fx_observations group by batch_id""", "fx_observations"))
 def drop_sentinel(spark, sf_dir):
     seen = fx.observations(spark, sf_dir)
@@ -340,8 +377,11 @@ def low_frame_preview(spark, sf_dir):
  cast(cam as varchar) "cameraId", round_even(occ * 100, 0) / 100 "preciseOccupancy", round_even(meu * 100, 0) / 100 meu,
  round_even(twf * 100, 0) / 100 twf from weighted""", "weighted"))
 def sink_history_log(spark, sf_dir):
+    """Two batches appended, the second one twice, as after a failure."""
     path = scratch_path(spark, "history")
-    sinks.append_history(_weighted(spark, sf_dir).withColumn("t", F.col("t") + EPOCH_SHIFT), path)
+    rows = materialize(_weighted(spark, sf_dir).withColumn("t", F.col("t") + EPOCH_SHIFT))
+    for batch, part in ((0, "event_id % 2 = 0"), (1, "event_id % 2 = 1"), (1, "event_id % 2 = 1")):
+        sinks.append_history(rows.filter(part), path, "history", batch)
     return sinks.read_history(spark, path)
 
 
@@ -437,8 +477,23 @@ def speed_status_batch_mode(spark, sf_dir):
 
 @query(speeds_sql("select edge_id, event_id, t, prev_speed, prev_status, coalesce(prev_t, -1) prev_t from speeds"))
 def prev_state_asof(spark, sf_dir):
-    found = edge_state.prev_state_asof(_speeds(spark, sf_dir))
-    return found.withColumn("prev_t", F.coalesce("prev_t", F.lit(-1).cast("bigint")))
+    speeds = materialize(_speeds(spark, sf_dir))
+    found = edge_state.prev_state_asof(speeds, speeds)
+    return found.select("edge_id", "event_id", "t", "prev_speed", "prev_status", F.coalesce("prev_t", F.lit(-1).cast("bigint")).alias("prev_t"))
+
+
+@query(speeds_sql("""select p.edge_id, p.t, case when p.t - h.t < 1200 then h.speed end speed, case when p.t - h.t < 1200 then h.status end status,
+ coalesce(case when p.t - h.t < 1200 then h.t end, -1) state_t from (
+  select e.edge_id, g.t from (select distinct edge_id from fx_camera_edges) e,
+   (select unnest(range((select min(t) - 100 from edge_obs), (select max(t) + 1500 from edge_obs), 333)) t) g) p
+ asof left join (select * from speeds qualify row_number() over (partition by edge_id, t order by event_id desc) = 1) h on p.edge_id = h.edge_id and p.t >= h.t""", "series", "fx_camera_edges edge_obs"))
+def state_asof_probes(spark, sf_dir):
+    """Stored state of every edge at moments of a fixed rhythm, most of which have no observation."""
+    low, high = _processed(spark, sf_dir).agg(F.min("t"), F.max("t")).first()
+    edges = fx.camera_edges(spark, sf_dir).select("edge_id").distinct()
+    probes = edges.select("edge_id", F.lit(None).cast("bigint").alias("event_id"), F.explode(F.sequence(F.lit(low - 100), F.lit(high + 1499), F.lit(333).cast("bigint"))).alias("t"))
+    found = edge_state.prev_state_asof(probes, materialize(_speeds(spark, sf_dir)))
+    return found.select("edge_id", "t", F.col("prev_speed").alias("speed"), F.col("prev_status").alias("status"), F.coalesce("prev_t", F.lit(-1).cast("bigint")).alias("state_t"))
 
 
 @query(speeds_sql("select edge_id, event_id, t, prev_status from_status, status to_status from speeds where prev_status <> status"))

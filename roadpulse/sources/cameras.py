@@ -8,12 +8,16 @@ from pyspark.sql import functions as F
 from roadpulse import constants as K
 from roadpulse import schemas
 from roadpulse.functions.scalars import col
+from roadpulse.operators.ordinal import file_position
+
+# Where a row was read.
+FILE_PLACE = ("_metadata.file_path as file", "_metadata.file_block_start as split")
 
 
 def read_cameras(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """All cameras with their position; files without an ``ordinal`` field keep file order."""
+    """All cameras with their position; files without an ``ordinal`` field keep file order, several files that of their paths."""
     raw = spark.read.schema(schemas.CAMERA).option("multiLine", multi_line).json(path)
-    return raw.withColumn("ordinal", F.coalesce("ordinal", F.monotonically_increasing_id()))
+    return file_position(raw.selectExpr("*", *FILE_PLACE), F.col("ordinal"))
 
 
 def active_cameras(cameras: DataFrame) -> DataFrame:

@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 
 from roadpulse import constants as K
 from roadpulse import schemas
+from roadpulse.operators.ordinal import file_position
+from roadpulse.sources.cameras import FILE_PLACE
 
 
 def read_free_flow(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Free-flow speed per edge; when an edge is listed twice the later entry wins."""
     raw = spark.read.schema(schemas.FREE_FLOW).option("multiLine", multi_line).json(path)
-    raw = raw.withColumn("ordinal", F.coalesce("ordinal", F.monotonically_increasing_id()))
+    raw = file_position(raw.selectExpr("*", *FILE_PLACE), F.col("ordinal"))
     return raw.groupBy("edge_id").agg(F.max_by("speed_kph", "ordinal").alias("speed_kph"))
 
 

@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.operators.raster import CAMERA
@@ -89,7 +89,7 @@ def occupancy(frames: DataFrame, mask: RoadMask) -> DataFrame:
     return rows.select(*frames.columns, "has_mask", "runs").mapInArrow(measure, schema)
 
 
-def load(coefficients: DataFrame):
+def load(coefficients: DataFrame) -> Column:
     """Column: sum of unit weights of ``boxes``; summed as decimals, so their order does not matter."""
     weights = {r["cls"]: r["coef"] for r in coefficients.select("cls", F.col("coef").cast("decimal(10,3)").alias("coef")).collect()}  # one row per vehicle class
     total = F.lit(0).cast("decimal(20,3)")
@@ -100,6 +100,9 @@ def load(coefficients: DataFrame):
 
 def measured(frames: DataFrame, mask: RoadMask, coefficients: DataFrame) -> DataFrame:
     """``frames`` with ``meu`` and ``occ`` in place of ``boxes``; a frame whose ``boxes`` are null has none."""
-    boxes = F.coalesce("boxes", F.array().cast(frames.schema["boxes"].dataType))
-    rows = frames.withColumn("boxes", boxes).withColumn("meu", load(coefficients))
+    rows = frames.withColumn("boxes", boxes_or_none(frames)).withColumn("meu", load(coefficients))
     return occupancy(rows, mask)
+
+
+def boxes_or_none(frames: DataFrame) -> Column:
+    return F.coalesce("boxes", F.array().cast(frames.schema["boxes"].dataType))

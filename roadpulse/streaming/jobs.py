@@ -8,13 +8,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from roadpulse.operators.accident import alert_records
 from roadpulse.operators.edge_state import edge_series
+from roadpulse.operators.raster import CAMERA, heatmap
+from roadpulse.operators.report import cycle_window
 from roadpulse.plans.traffic import RoadMask
-from roadpulse.sources.sinks import alert_json, drop_versions, upsert_latest
+from roadpulse.sources.sinks import append_alerts, append_rows, upsert_latest
 from roadpulse.streaming import frame_rows, state
 
 WATERMARK_SECONDS = 60
-# Versions of a state table that are kept; the last but one serves a replayed batch.
-STATE_VERSIONS = 5
 
 
 def file_stream(spark: SparkSession, path: str, schema: str, files_per_batch: int) -> DataFrame:
@@ -53,7 +53,6 @@ def _speeds_sink(speeds: DataFrame, out: str, published: str | None, cleared: st
         if published is not None:
             newest = F.max_by(F.struct("speed", F.col("clock").alias("t"), "status"), F.struct("clock", "t", "event_id"))
             upsert_latest(rows.groupBy("edge_id").agg(newest.alias("s")).select("edge_id", "s.*"), published, batch_id, "edge_id", "t")
-            drop_versions(batch.sparkSession, published, keep=STATE_VERSIONS)
         batch.unpersist()
 
     writer = speeds.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", checkpoint)
@@ -94,18 +93,17 @@ def stream_accident_alerts(series: DataFrame, out: str, checkpoint: str, every:
 def stream_alert_records(
     series: DataFrame, camera_edges: DataFrame, cameras: DataFrame, out: str, checkpoint: str, every: int | None = None
 ) -> StreamingQuery:
-    """Published alert records from a stream of processed frames, as JSON in ``out``/batch=N, rewritten on replay."""
+    """Published alert records from a stream of processed frames, as JSON in ``out``; a replayed micro-batch counts once."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        records = alert_records(batch.filter("fires"), camera_edges, cameras)
-        alert_json(records).write.mode("overwrite").text(f"{out}/batch={batch_id}")
+        append_alerts(alert_records(batch.filter("fires"), camera_edges, cameras), out, "stream", batch_id)
 
     fired = state.accident_alerts(with_event_time(series))
     return cycle_trigger(fired.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint), every).start()
 
 
-def stream_calibration(frame_loads: DataFrame, out: str, checkpoint: str, every: int | None = None) -> StreamingQuery:
-    """Running frame count and largest load per camera, kept as a versioned table."""
+def stream_camera_stats(frame_loads: DataFrame, out: str, checkpoint: str, every: int | None = None) -> StreamingQuery:
+    """Running frame count and largest load per camera, kept as a published table."""
     stats = frame_loads.groupBy("cam").agg(F.count(F.lit(1)).alias("frames"), F.max("meu").alias("meu_max"))
     writer = stats.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(
         lambda batch, batch_id: upsert_latest(batch, out, batch_id, "cam", "frames")
@@ -113,6 +111,42 @@ def stream_calibration(frame_loads: DataFrame, out: str, checkpoint: str, every:
     return cycle_trigger(writer, every).start()
 
 
+def stream_calibration(frames: DataFrame, coefficients: DataFrame, gathered: str, run: str, checkpoint: str, every: int | None = None) -> StreamingQuery:
+    """Gathers what calibration needs from whole frames (schemas.FRAME): heat, frame counts and largest loads.
+
+    Heat adds up, so each micro-batch must count once: it leaves only its own sums, in a folder of its own, and the ledger
+    of ``run`` keeps a replayed one out. ``jobs.finish_calibration`` makes masks and limits of them.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        boxes = batch.select(*CAMERA, F.inline("boxes"))
+        append_rows(heatmap(boxes), f"{gathered}/heat", run, batch_id)
+        loads = batch.withColumn("meu", frame_rows.load(coefficients))
+        stats = loads.groupBy(*CAMERA).agg(F.count(F.lit(1)).alias("frames"), F.max("meu").alias("meu_max"))
+        append_rows(stats, f"{gathered}/stats", run, batch_id)
+        batch.unpersist()
+
+    writer = frames.withColumn("boxes", frame_rows.boxes_or_none(frames)).writeStream.foreachBatch(write)
+    return cycle_trigger(writer.option("checkpointLocation", checkpoint), every).start()
+
+
+def stream_cycle_window(rows: DataFrame, out: str, checkpoint: str, every: int | None = None) -> StreamingQuery:
+    """Frames per tumbling cycle, each written once when the watermark has passed its end.
+
+    Rows of a cycle that is written already are dropped; ``dropped_rows`` tells how many.
+    """
+    return _append(cycle_window(with_event_time(rows)), out, checkpoint, every)
+
+
+def dropped_rows(query: StreamingQuery) -> int:
+    """Rows that a query's stateful operators dropped as late, over its last hundred micro-batches.
+
+    Aggregation meets rows that a task has summed up already, so several late rows of a window may count as one.
+    """
+    return sum(o["numRowsDroppedByWatermark"] for p in query.recentProgress for o in p["stateOperators"])
+
+
 def with_event_time(rows: DataFrame) -> DataFrame:
     return rows.withColumn("ts", F.timestamp_seconds("t")).withWatermark("ts", f"{WATERMARK_SECONDS} seconds")
 

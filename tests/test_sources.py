@@ -112,23 +112,78 @@ def test_zero_free_flow_stops_a_camera_at_that_edge(spark):
     assert tuple(stats) == (0, 1, 3, 4, 4)
 
 
-def test_latest_version_ignores_unfinished_folders(spark, tmp_path):
+def test_readers_see_whole_versions(spark, tmp_path):
     path = str(tmp_path / "table")
     assert sinks.latest_version(spark, path) is None
     rows = spark.createDataFrame([("a", 1, 5.0), ("b", 2, 6.0)], "k string, t long, v double")
     sinks.upsert_latest(rows, path, 0, "k", "t")
     sinks.upsert_latest(spark.createDataFrame([("a", 3, 7.0)], rows.schema), path, 1, "k", "t")
     sinks.upsert_latest(spark.createDataFrame([("a", 3, 7.0)], rows.schema), path, 1, "k", "t")
-    (tmp_path / "table" / "version=2").mkdir()
     assert sinks.latest_version(spark, path) == 1 and sinks.latest_version(spark, path, before=1) == 0
-    assert rows_of(sinks.read_version(spark, path, 1).select("k", "t", "v"), "k") == [("a", 3, 7.0), ("b", 2, 6.0)]
+    want = [("a", 3, 7.0), ("b", 2, 6.0)]
+    assert rows_of(sinks.read_version(spark, path, 1).select("k", "t", "v"), "k") == want
+    # a writer that fails with its data half done leaves the record, and so the table, as it was
+    broken = rows.withColumn("v", F.when(F.col("k") == "b", F.raise_error(F.lit("stop")).cast("double")).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="stop"):
+        sinks.publish_version(broken, path, 2)
+    assert rows_of(sinks.read_version(spark, path, sinks.latest_version(spark, path)).select("k", "t", "v"), "k") == want
+    # a record that is just being rewritten leaves the other one
+    sinks.publish_version(rows, path, 2)
+    for name in ("record-0", "record-1"):
+        held = tmp_path / "table" / name
+        held.rename(tmp_path / "held")
+        assert sinks.latest_version(spark, path) in (1, 2)
+        (tmp_path / "held").rename(held)
+
+
+def test_old_versions_make_room(spark, tmp_path):
+    path = str(tmp_path / "table")
+    for version in range(12):
+        sinks.publish_version(spark.range(version, version + 1), path, version)
+    folders = sorted(p.name for p in (tmp_path / "table").iterdir() if p.name.startswith("data"))
+    assert len(folders) == sinks.KEPT_VERSIONS + 1
+    kept = range(12 - sinks.KEPT_VERSIONS, 12)
+    assert [sinks.read_version(spark, path, v).first().id for v in kept] == list(kept)
+
+
+def test_a_batch_is_appended_once(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    put = lambda batch, first, app="a": sinks.append_rows(spark.range(first, first + 3), path, app, batch)
+    assert [put(0, 0), put(1, 10), put(1, 10), put(0, 0), put(2, 20), put(0, 100, "b")] == [True, True, False, False, True, True]
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [0, 1, 2, 10, 11, 12, 20, 21, 22, 100, 101, 102]
+    # a batch whose data came through but not its entry in the ledger is written over
+    sinks.append_once(spark, path, "a", 3, lambda folder: spark.range(5).write.mode("overwrite").parquet(folder))
+    sinks.write_record(spark, f"{path}.ledger/a", {"batch": 2})
+    assert put(3, 30) and spark.read.parquet(f"{path}/app=a").count() == 12
+
+
+def test_positions_follow_paths_and_splits(spark, tmp_path):
+    lines = {f"f{i}/x.json": [f"{i}-{k}" for k in range(n)] for i, n in enumerate((3, 400, 1, 50))}
+    for name, ids in lines.items():
+        (tmp_path / "in" / name).parent.mkdir(parents=True)
+        (tmp_path / "in" / name).write_text("".join(json.dumps({"cam_id": c, "description": "d" * 50}) + "\n" for c in ids))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("2048b", before):  # files cut into many splits, and many files in one partition
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            read = cam_src.read_cameras(spark, str(tmp_path / "in" / "*")).collect()
+            assert [r.cam_id for r in sorted(read, key=lambda r: r.ordinal)] == [c for ids in lines.values() for c in ids]
+            assert sorted(r.ordinal for r in read) == list(range(454))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_last_free_flow_of_several_files_wins(spark, tmp_path):
+    for i, speed in enumerate((30.0, 40.0, 50.0)):
+        (tmp_path / f"{i}.json").write_text("".join(json.dumps({"edge_id": e, "speed_kph": speed + (e == "pad")}) + "\n" for e in ["a"] + ["pad"] * (300 if i == 0 else 1)))
+    assert rows_of(dim.read_free_flow(spark, str(tmp_path / "*.json")), "edge_id") == [("a", 50.0), ("pad", 51.0)]
 
 
 def test_alert_text_keeps_non_ascii(spark, tmp_path):
     edges = spark.createDataFrame([(1, 1, "20"), (1, 0, "30"), (1, 2, None)], "cam long, ord int, edge_id string")
     cameras = spark.createDataFrame([(1, "Lối Gió Mát")], "cam long, description string")
     alerts = spark.createDataFrame([(1, 9, "human_incident", 0.81249)], "cam long, t long, class_name string, conf double")
-    sinks.append_alerts(accident.alert_records(alerts, edges, cameras), str(tmp_path / "alerts"))
+    sinks.append_alerts(accident.alert_records(alerts, edges, cameras), str(tmp_path / "alerts"), "test", 0)
     line = spark.read.text(str(tmp_path / "alerts")).first().value
     assert "Lối Gió Mát" in line
     assert json.loads(line) == {"camId": "1", "edgeIds": [30, 20], "className": "human_incident", "confidence": 0.812, "ts": 9, "location": "Lối Gió Mát"}

@@ -145,6 +145,53 @@ def test_alert_stream_equals_batch(spark, tmp_path):
         times[r.cam] = r.t
 
 
+def test_streamed_calibration_counts_each_micro_batch_once(spark, tmp_path):
+    from roadpulse.plans import jobs as batch_jobs
+
+    rng = random.Random(9)
+    frames, boxes = [], []
+    for i in range(90):
+        frames.append((i % 3, i, 10 * i, 30, 50))
+        for _ in range(rng.randint(0, 5)):
+            x, y = rng.uniform(-5, 45), rng.uniform(-5, 25)
+            boxes.append((i, i % 3, 30, 50, rng.randint(0, 4), x, y, x + rng.uniform(0, 30), y + rng.uniform(0, 20)))
+    frame_df = spark.createDataFrame(frames, "cam long, frame_id long, t long, img_h int, img_w int")
+    box_df = spark.createDataFrame(boxes, "frame_id long, cam long, img_h int, img_w int, cls int, x1 double, y1 double, x2 double, y2 double")
+    held = box_df.groupBy("frame_id").agg(F.collect_list(F.struct("cls", F.lit(0.9).alias("conf"), "x1", "y1", "x2", "y2")).alias("boxes"))
+    whole = frame_df.join(held, "frame_id", "left").select("cam", "frame_id", "t", "img_h", "img_w", "boxes")
+    weights = dim.default_coefficients(spark)
+    place = lambda n: str(tmp_path / n)
+    for version, part in enumerate(["t < 400", "t >= 400"]):
+        own = box_df.join(frame_df.filter(part).select("frame_id"), "frame_id", "left_semi")
+        batch_jobs.calibration_job(frame_df.filter(part), own, weights, place("mask"), place("limits"), version)
+        whole.filter(part).repartition(2).write.parquet(place(f"in{version}"))
+        for attempt in range(2):  # the last micro-batch is replayed, and so is the end of the run
+            stream = jobs.file_stream(spark, place(f"in{version}"), schemas.FRAME, 1)
+            jobs.stream_calibration(stream, weights, place("gathered"), f"run{version}", place(f"progress{version}")).awaitTermination()
+            report = batch_jobs.finish_calibration(spark, place("gathered"), f"run{version}", place("mask2"), place("limits2"), version).first()
+            if not attempt:
+                replay_last(tmp_path / f"progress{version}")
+        assert (report.n_low, report.preview) == (3, "0, 1, 2")
+    for name, columns in (("mask/runs", ["cam", "y", "xs", "xe"]), ("mask/heatmap", ["cam", "y", "xs", "xe", "hits"]), ("limits", ["cam", "meu_max"])):
+        want = as_set(sinks.read_version(spark, place(name), 1), columns)
+        assert want and as_set(sinks.read_version(spark, place(name.replace("mask", "mask2").replace("limits", "limits2")), 1), columns) == want
+
+
+def test_late_rows_of_a_cycle_are_dropped_and_counted(spark, tmp_path):
+    source, out, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+
+    def run(*times):
+        write_slice(spark.createDataFrame([(i, 1, t, 0.0, 0.0) for i, t in enumerate(times)], schemas.OBSERVATION), source)
+        query = jobs.stream_cycle_window(jobs.file_stream(spark, source, schemas.OBSERVATION, 1), out, progress)
+        query.awaitTermination()
+        return query
+
+    run(1000, 1019, 1020, 1100)  # the watermark stands at 1040: two cycles are closed
+    assert rows_of(spark.read.parquet(out).select("window_start", "n_frames"), "window_start") == [(1000, 2), (1020, 1)]
+    assert jobs.dropped_rows(run(1005, 1021, 1041, 1130)) == 2
+    assert rows_of(spark.read.parquet(out).select("window_start", "n_frames"), "window_start") == [(1000, 2), (1020, 1), (1040, 1)]
+
+
 def test_cycle_window_on_a_stream(spark, tmp_path):
     from roadpulse.operators.report import cycle_window
 
