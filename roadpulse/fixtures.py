@@ -107,10 +107,16 @@ def images(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def state_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "events").selectExpr(
+    """Stored states of all shapes: with and without status, signs, exponents, blanks, further parts, and broken ones."""
+    rows = _table(spark, sf_dir, "events").selectExpr(
+        "event_id", "cast(round(value*100) as bigint) % 1000 tenths", f"{_MICROS} div 1000000 ts"
+    )
+    return rows.selectExpr("event_id", "tenths", "ts", "concat(tenths div 10, '.', tenths % 10) speed").selectExpr(
         "event_id",
-        "case event_id%7 when 0 then '41.5:1700000000:RED' when 1 then '41.5:1700000000' when 2 then"
-        " '41.5:1700000000:JAM' when 3 then 'x:1:RED' when 4 then '41.5' when 5 then '' end raw",
+        "case event_id%11 when 0 then concat(speed, ':', ts, ':RED') when 1 then concat(speed, ':', ts) when 2 then concat(speed, ':', ts, ':JAM')"
+        " when 3 then concat('x', speed, ':', ts, ':RED') when 4 then speed when 5 then '' when 6 then concat('-', speed, ':', ts, ':GREEN')"
+        " when 7 then concat('+', speed, ':x', ts, ':YELLOW') when 8 then concat(tenths, 'e1:', ts, ':GREEN:more')"
+        " when 9 then concat(' ', speed, ' :', ts, ':YELLOW') end raw",
     )
 
 
@@ -156,7 +162,11 @@ select doc_id, case when doc_id%50=7 then ''::blob when doc_id%4 in (0,3) then u
  || encode(text) end content,
  if(doc_id%31=5, 'text/html', if(doc_id%4=2, 'image/png', 'image/jpeg')) content_type from documents""",
     "fx_state_strings": """
-select event_id, case event_id%7 when 0 then '41.5:1700000000:RED' when 1 then '41.5:1700000000' when 2 then '41.5:1700000000:JAM'
- when 3 then 'x:1:RED' when 4 then '41.5' when 5 then '' end raw from events""",
+select event_id, tenths, ts, case event_id%11 when 0 then concat(speed, ':', ts, ':RED') when 1 then concat(speed, ':', ts) when 2 then concat(speed, ':', ts, ':JAM')
+ when 3 then concat('x', speed, ':', ts, ':RED') when 4 then speed when 5 then '' when 6 then concat('-', speed, ':', ts, ':GREEN')
+ when 7 then concat('+', speed, ':x', ts, ':YELLOW') when 8 then concat(tenths, 'e1:', ts, ':GREEN:more')
+ when 9 then concat(' ', speed, ' :', ts, ':YELLOW') end raw
+from (select *, concat(tenths // 10, '.', tenths % 10) speed from (
+ select event_id, cast(round(value*100) as bigint) % 1000 tenths, epoch_us(ts) // 1000000 ts from events))""",
     "fx_coefficients": "select * from (values (0,1.0::double),(1,3.236::double),(2,8.568::double),(3,10.0::double)) v(cls, coef)",
 }

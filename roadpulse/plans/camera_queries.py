@@ -211,7 +211,8 @@ def incident_streak(spark, sf_dir):
 
 @query(alerts_sql("select cam, t, event_id, class_name, conf, streak from alerts where fires"))
 def alert_cooldown(spark, sf_dir):
-    alerts = accident.alert_cooldown(accident.incident_streak(_incident_series(spark, sf_dir)))
+    series = _incident_series(spark, sf_dir)
+    alerts = accident.alert_cooldown(accident.incident_streak(series), counted=series)
     return alerts.select("cam", "t", "event_id", "class_name", "conf", "streak")
 
 

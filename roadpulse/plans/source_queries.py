@@ -231,8 +231,9 @@ def speed_code(spark, sf_dir):
     )
 
 
-@query(sql("""select event_id, case when event_id%7 in (0,1,2) then 41.5::double end speed,
- case when event_id%7 in (0,1,2) then 1700000000 else -1 end::bigint ts, case when event_id%7=0 then 'RED' end status from fx_state_strings""", "fx_state_strings"))
+@query(sql("""select event_id, case when event_id%11 in (0,1,2,7,9) then tenths / 10.0::double when event_id%11 = 6 then -(tenths / 10.0::double)
+ when event_id%11 = 8 then tenths * 10.0::double end speed, case when event_id%11 in (0,1,2,6,8,9) then ts else -1 end::bigint ts,
+ case event_id%11 when 0 then 'RED' when 6 then 'GREEN' when 7 then 'YELLOW' when 8 then 'GREEN' when 9 then 'YELLOW' end status from fx_state_strings""", "fx_state_strings"))
 def parse_state(spark, sf_dir):
     return fx.state_strings(spark, sf_dir).select("event_id", S.parse_state("raw").alias("s")).select(
         "event_id", "s.speed", F.coalesce("s.ts", F.lit(-1).cast("bigint")).alias("ts"), "s.status"

@@ -87,7 +87,7 @@ def stream_traffic(
 
 def stream_accident_alerts(series: DataFrame, out: str, checkpoint: str, every: int | None = None) -> StreamingQuery:
     """Streak and alert flag for every processed frame of a stream."""
-    return _append(state.accident_alerts(with_event_time(series)), out, checkpoint, every)
+    return _append(state.accident_alerts(series, WATERMARK_SECONDS), out, checkpoint, every)
 
 
 def stream_alert_records(
@@ -98,7 +98,7 @@ def stream_alert_records(
     def write(batch: DataFrame, batch_id: int) -> None:
         append_alerts(alert_records(batch.filter("fires"), camera_edges, cameras), out, "stream", batch_id)
 
-    fired = state.accident_alerts(with_event_time(series))
+    fired = state.accident_alerts(series, WATERMARK_SECONDS)
     return cycle_trigger(fired.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint), every).start()
 
 

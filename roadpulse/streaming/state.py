@@ -7,14 +7,13 @@ result. (A time to live in processing time would expire differently on every rep
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
 from roadpulse import constants as K
@@ -22,30 +21,28 @@ from roadpulse.operators.accident import cooldown_step, streak_step
 from roadpulse.operators.edge_state import smooth_step
 
 
-def _folder(step: Callable, time: str, tie: str, inputs: list[str], kept: list[str], outputs: list[str], ttl: int):
-    """Group function: a key's rows of one micro-batch in (time, tie) order, going on from the stored state.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Rows of one key that are turned into one output batch.
+CHUNK_ROWS = 20_000
+ALERT_OUTPUT = "cam bigint, t bigint, event_id bigint, class_name string, conf double, hit boolean, streak bigint, fires boolean"
+EDGE_OUTPUT = (
+    "edge_id string, t bigint, event_id bigint, prev_speed double, prev_status string, prev_t bigint, ema double,"
+    " speed double, status string, clock bigint, cleared boolean"
+)
 
-    Arrival order within a micro-batch is not defined, so its rows are sorted; the rate options of
-    the source bound their number.
-    """
 
-    def fold(key: tuple, batches: Iterator[pd.DataFrame], group: GroupState) -> Iterator[pd.DataFrame]:
-        if group.hasTimedOut:
-            group.remove()
-            return
-        parts = list(batches)
-        rows = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-        rows = rows.iloc[np.lexsort((rows[tie].to_numpy(), rows[time].to_numpy()))]
-        state = group.get if group.exists else None
-        results = []
-        for t, *values in zip(*(rows[c].tolist() for c in [time, *inputs])):
-            state, out = step(state, t, *values)
-            results.append(out)
-        group.update(state)
-        group.setTimeoutTimestamp(max((int(rows[time].iloc[-1]) + ttl) * 1000, group.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({c: rows[c].to_numpy() for c in kept} | dict(zip(outputs, map(list, zip(*results)))))
-
-    return fold
+def use_rocksdb(spark: SparkSession) -> None:
+    """State of new queries goes to RocksDB, on each executor's disk, with changes uploaded to the checkpoint folder."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+
+
+def _millis(seconds: int) -> int:
+    """Event time of a moment in the data. Spark's first watermark is 1970 itself and drops rows not after it, so times count from a second later."""
+    return (seconds + 1) * 1000
+
+
+def _with_watermark(rows: DataFrame, lateness: int) -> DataFrame:
+    return rows.withColumn("ts", F.timestamp_seconds(F.col("t") + 1)).withWatermark("ts", f"{lateness} seconds")
 
 
 def alert_step(state: tuple | None, t: int, hit: bool) -> tuple[tuple, tuple]:
@@ -59,34 +56,55 @@ def alert_step(state: tuple | None, t: int, hit: bool) -> tuple[tuple, tuple]:
     return (hits, last_hit, last_alert), (streak, fires)
 
 
-def accident_alerts(series: DataFrame) -> DataFrame:
-    """Streak of every processed frame of a stream and whether it raises an alert."""
-    kept = ["cam", "t", "event_id", "class_name", "conf", "hit"]
-    added = StructType.fromDDL("streak bigint, fires boolean")
-    fold = _folder(alert_step, "t", "event_id", ["hit"], kept, added.fieldNames(), K.ALERT_COOLDOWN)
-    return series.select("ts", *kept).groupBy("cam").applyInPandasWithState(
-        fold, StructType([series.schema[c] for c in kept] + list(added)),
-        StructType.fromDDL("hits bigint, last_hit bigint, last_alert bigint"), "append", GroupStateTimeout.EventTimeTimeout,
-    )
+class AlertProcessor(StatefulProcessor):
+    """Streak and alerts of one camera.
 
+    State: (hits in a row, time of the last hit, time of the last alert, pending timer). Rows of a micro-batch are put
+    in order as in ``EdgeProcessor``. The timer removes the state once neither streak nor cooldown can matter.
+    """
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-# Rows of one edge that are turned into one output batch.
-CHUNK_ROWS = 20_000
-EDGE_OUTPUT = (
-    "edge_id string, t bigint, event_id bigint, prev_speed double, prev_status string, prev_t bigint, ema double,"
-    " speed double, status string, clock bigint, cleared boolean"
-)
+    def __init__(self):
+        self.state_schema = StructType.fromDDL("hits bigint, last_hit bigint, last_alert bigint, timer bigint")
 
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("camera", self.state_schema)
 
-def use_rocksdb(spark: SparkSession) -> None:
-    """State of new queries goes to RocksDB, on each executor's disk, with changes uploaded to the checkpoint folder."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        parts = [[b[c].to_numpy() for c in ("t", "event_id", "hit", "class_name", "conf")] for b in rows]
+        time, tie, hit, name, conf = (np.concatenate(c) for c in zip(*parts))
+        order = np.lexsort((tie, time))
+        held = self.state.get()
+        state = None if held is None else tuple(held[:3])
+        for start in range(0, len(order), CHUNK_ROWS):
+            own = order[start : start + CHUNK_ROWS]
+            found = []
+            for i in own.tolist():
+                state, out = alert_step(state, int(time[i]), bool(hit[i]))
+                found.append(out)
+            yield pd.DataFrame({
+                "cam": key[0], "t": time[own], "event_id": tie[own], "class_name": name[own], "conf": conf[own], "hit": hit[own],
+                "streak": [f[0] for f in found], "fires": [f[1] for f in found],
+            })
+        if held is not None:
+            self.handle.deleteTimer(held[3])
+        timer = _millis(int(time[order[-1]]) + K.ALERT_COOLDOWN)
+        self.handle.registerTimer(timer)
+        self.state.update((*state, timer))
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.state.clear()
+        yield pd.DataFrame({c: [] for c in ("cam", "t", "event_id", "class_name", "conf", "hit", "streak", "fires")})
 
-def _millis(seconds: int) -> int:
-    """Event time of a moment in the data. Spark's first watermark is 1970 itself and drops rows not after it, so times count from a second later."""
-    return (seconds + 1) * 1000
+    def close(self) -> None:
+        pass
+
+
+def accident_alerts(series: DataFrame, lateness: int) -> DataFrame:
+    """Streak of every processed frame of a stream and whether it raises an alert; later rows are dropped."""
+    use_rocksdb(series.sparkSession)
+    rows = _with_watermark(series, lateness).select("ts", "cam", "t", "event_id", "class_name", "conf", "hit")
+    return rows.groupBy("cam").transformWithStateInPandas(AlertProcessor(), ALERT_OUTPUT, "Append", "EventTime")
 
 
 class EdgeProcessor(StatefulProcessor):
@@ -171,8 +189,7 @@ class EdgeProcessor(StatefulProcessor):
 def edge_speeds(series: DataFrame, mode: str, lateness: int) -> DataFrame:
     """Speeds and cleared rows of a stream of edge observations; those ``lateness`` seconds behind the newest one are dropped."""
     use_rocksdb(series.sparkSession)
-    rows = series.withColumn("ts", F.timestamp_seconds(F.col("t") + 1)).withWatermark("ts", f"{lateness} seconds")
-    rows = rows.select("ts", "edge_id", "t", "event_id", "raw_speed", "free_flow")
+    rows = _with_watermark(series, lateness).select("ts", "edge_id", "t", "event_id", "raw_speed", "free_flow")
     return rows.groupBy("edge_id").transformWithStateInPandas(
         EdgeProcessor(mode == "batch"), EDGE_OUTPUT, "Append", "EventTime"
     )
