@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,10 +26,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from roadpulse.llm.common import stored, text_slices, tokenizer_path
+from roadpulse.llm.token_files import LETTERS, POINTS
 
 VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 MARK = "▁"
-TABLE_CHUNKS = 300_000
+TABLE_CHUNKS = 200_000
+# Bytes of text whose tokens are laid out together; a token takes some two hundred bytes meanwhile.
+SLICE_BYTES = 400_000
 LONG_CHUNK = 64
 # Id pairs sent to every task; a pair is among them if it takes part in more than 1 / COMMON_PAIRS of all (document, pair).
 COMMON_PAIRS = 200_000
@@ -37,6 +41,7 @@ LARGE_GROUP = 4096
 # A place between two tokens of either side: before a single blank between characters that are neither blanks nor marks.
 _BORDER = re.compile(rf"(?<=[^\s{MARK}])(?=[ \n][^\s{MARK}])")
 _BYTE = re.compile("<0x([0-9A-F]{2})>")
+_SIMPLE = re.compile(r"[ \n]\S*")
 
 SPANS = {"a_ids": "int", "a_ends": "int", "b_ids": "int", "b_ends": "int", "overlap_a": "int", "overlap_b": "int", "a_groups": "int", "b_groups": "int"}
 
@@ -75,58 +80,98 @@ class TokenTable:
             byte = _BYTE.fullmatch(piece)
             self.bytes_b.append(bytes([int(byte[1], 16)]) if byte else piece.replace(MARK, " ").encode())
         self.size_a, self.size_b = (np.array(list(map(len, v)), np.int64) for v in (self.bytes_a, self.bytes_b))
+        # Ids are held as bytes.
+        self.code = "H" if max(len(self.size_a), len(self.size_b)) <= 2**16 else "I"
+        self.type = np.dtype(self.code)
         (self.line,) = self.encode_a(["\n"])[0]
-        self.mark = self.b.piece_to_id(MARK)
+        self.merge = self.a.model.tokenize
+        self.letter_of = {b: c for c, b in letters.items()}
         self.clear()
 
     def clear(self) -> None:
         self.place: dict[str, int] = {}
-        self.ids_a: list[list[int]] = []
-        self.ids_b: list[list[int]] = []
+        self.merged: dict[str, bytes] = {}
+        self.ids_a: list[bytes] = []
+        self.ids_b: list[bytes] = []
         self.good: list[bool] = []
         self.long: list[str] = []
 
     def encode_a(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _bulk(self, chunks: list[str], glue: str) -> list[list[int]]:
-        """Ids of chunks without inner line ends, encoded together; a line end before each marks where it begins."""
-        out = []
+    def _bulk(self, chunks: list[str], glue: str) -> list[bytes]:
+        """Ids of chunks without inner white space, encoded together; a line end before each marks where it begins."""
+        out, keep = [], 1 if glue else 0
         for start in range(0, len(chunks), 2048):
             part = chunks[start : start + 2048]
-            flat = np.array(self.encode_a([glue + glue.join(part)])[0], np.int64)
+            flat = np.array(self.encode_a([glue + glue.join(part)])[0], self.type)
             cuts = [*np.flatnonzero(flat == self.line).tolist(), len(flat)]
-            flat = flat.tolist()
-            keep = 0 if not glue else 1
-            out += [flat[a + keep : b] for a, b in zip(cuts, cuts[1:], strict=False)]
+            raw, size = flat.tobytes(), flat.itemsize
+            out += [raw[(a + keep) * size : b * size] for a, b in zip(cuts, cuts[1:])]
         return out
 
+    def _words(self, chunks: list[str]) -> list[bytes]:
+        """First side's ids of blank + word chunks: plain letters go straight to the merges, as do points behind them."""
+        out, rest = [b""] * len(chunks), []
+        for i, chunk in enumerate(chunks):
+            head = chunk.rstrip(POINTS)
+            if LETTERS.fullmatch(head, 1) is None:
+                rest.append(i)
+                continue
+            letters, points = self.merged.get(head), self.merged.get(chunk[len(head) :])
+            if letters is None:
+                letters = self.merged[head] = self._merge(head)
+            if points is None:
+                points = self.merged[chunk[len(head) :]] = self._merge(chunk[len(head) :])
+            out[i] = letters + points
+        for i, ids in zip(rest, self._bulk([chunks[i] for i in rest], "\n"), strict=True):
+            out[i] = ids
+        return out
+
+    def _merge(self, part: str) -> bytes:
+        """Ids of one pre-token; in the vocabulary's spelling of bytes printable ASCII stands for itself."""
+        if part.isascii() and " " not in part[1:]:
+            spelled = self.letter_of[32] + part[1:] if part[:1] == " " else part
+        else:
+            spelled = "".join(map(self.letter_of.__getitem__, part.encode()))
+        return array(self.code, [t.id for t in self.merge(spelled)]).tobytes() if part else b""
+
     def add(self, chunks: list[str]) -> None:
         """Brings new chunks in."""
-        simple = [c for c in chunks if not any(map(str.isspace, c[1:]))]
+        simple, odd = [], []
+        for c in chunks:
+            (simple if _SIMPLE.fullmatch(c) else odd).append(c)
         spaced, lined = [c for c in simple if c[0] == " "], [c for c in simple if c[0] != " "]
-        odd = [c for c in chunks if any(map(str.isspace, c[1:]))]
         order = spaced + lined + odd
-        ids_a = self._bulk(spaced, "\n") + self._bulk(lined, "") + (self.encode_a(odd) if odd else [])
+        ids_a = self._words(spaced) + self._bulk(lined, "") + [array(self.code, i).tobytes() for i in (self.encode_a(odd) if odd else [])]
         # The library puts the mark for the blank cut off a chunk; before a line end it stands alone and is taken away.
         ids_b = self.b.encode([c[1:] if c[0] == " " else c for c in order], num_threads=1) if order else []
+        ids_b = [array(self.code, i if c[0] == " " else i[1:]).tobytes() for c, i in zip(order, ids_b)]
+        # Compared all at once; only when some chunk isn't spelled as it is are they looked at alone.
+        every = "".join(order).encode()
+        flat_a, flat_b = (np.frombuffer(b"".join(ids), self.type).tolist() for ids in (ids_a, ids_b))
+        good = b"".join(map(self.bytes_a.__getitem__, flat_a)) == every == b"".join(map(self.bytes_b.__getitem__, flat_b))
         for chunk, a, b in zip(order, ids_a, ids_b, strict=True):
-            b = b if chunk[0] == " " else b[1:]
-            self.place[chunk] = len(self.ids_a)
             if len(chunk) > LONG_CHUNK:
                 self.long.append(chunk)
+            self.place[chunk] = len(self.ids_a)
             self.ids_a.append(a)
             self.ids_b.append(b)
-            raw = chunk.encode()
-            self.good.append(b"".join([self.bytes_a[i] for i in a]) == raw and b"".join([self.bytes_b[i] for i in b]) == raw)
+            self.good.append(good or self._spells(chunk, a, b))
+
+    def _spells(self, text: str, *sides: bytes) -> bool:
+        """Whether the ids of both sides stand for the bytes of ``text``."""
+        spelled = [b"".join(map(names.__getitem__, np.frombuffer(ids, self.type).tolist())) for names, ids in zip((self.bytes_a, self.bytes_b), sides)]
+        return all(s == text.encode() for s in spelled)
 
     def look_up(self, split: list[list[str]]) -> list[np.ndarray]:
         """Places of the chunks of each text."""
         words = set().union(*split)
         new = [c for c in words if c not in self.place]
         if len(self.ids_a) + len(new) > TABLE_CHUNKS:
+            merged = self.merged if len(self.merged) <= TABLE_CHUNKS else {}
             self.clear()
-            new = list(words)
+            self.merged, new = merged, list(words)
         self.add(new)
         return [np.fromiter(map(self.place.__getitem__, chunks), np.int64, len(chunks)) for chunks in split]
 
@@ -134,24 +179,22 @@ class TokenTable:
         """Long chunks stay for the slice that holds them only, so that the table's memory is bounded."""
         for chunk in self.long:
             at = self.place.pop(chunk)
-            self.ids_a[at], self.ids_b[at] = [], []
+            self.ids_a[at], self.ids_b[at] = b"", b""
         self.long = []
 
     def joined(self, places: np.ndarray, text: str) -> bool:
         """Whether both sides spell a text's bytes, for a text with chunks that they don't."""
-        a = b"".join(self.bytes_a[i] for p in places.tolist() for i in self.ids_a[p])
-        b = b"".join(self.bytes_b[i] for p in places.tolist() for i in self.ids_b[p])
-        return a == b == (" " + text).encode()
+        return self._spells(" " + text, *(b"".join(held[p] for p in places.tolist()) for held in (self.ids_a, self.ids_b)))
 
 
-def _gather(lists: list[list[int]], places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Items of the lists at ``places`` one after another, and how many each has."""
+def _gather(held: list[bytes], kind: np.dtype, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids held at ``places`` one after another, and how many each place has."""
     used, inverse = np.unique(places, return_inverse=True)
-    own = [lists[i] for i in used.tolist()]
-    sizes = np.fromiter(map(len, own), np.int64, len(own))
-    flat = np.fromiter((i for one in own for i in one), np.int64, int(sizes.sum()))
+    own = [held[i] for i in used.tolist()]
+    sizes = np.fromiter(map(len, own), np.int64, len(own)) // kind.itemsize
+    flat = np.frombuffer(b"".join(own), kind)
     starts, counts = (np.cumsum(sizes) - sizes)[inverse], sizes[inverse]
-    return flat[np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())], counts
+    return flat[np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())].astype(np.int64), counts
 
 
 def covering(starts: np.ndarray, docs: np.ndarray, other_starts: np.ndarray, other_docs: np.ndarray) -> np.ndarray:
@@ -261,7 +304,7 @@ def align(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path_a: s
         table = TokenTable(path_a, path_b)
         base = len(table.size_b)
         for batch in batches:
-            for start, part in text_slices(batch.column("text")):
+            for start, part in text_slices(batch.column("text"), SLICE_BYTES):
                 texts, n = part.to_pylist(), len(part)
                 places = table.look_up([chunks_of(t) if t else [] for t in texts])
                 good = np.array(table.good, bool)
@@ -269,7 +312,7 @@ def align(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path_a: s
                 for i in bad:
                     places[i] = places[i][:0]
                 held, doc = np.concatenate(places), np.repeat(np.arange(n), list(map(len, places)))
-                (a, n_a), (b, n_b) = _gather(table.ids_a, held), _gather(table.ids_b, held)
+                (a, n_a), (b, n_b) = _gather(table.ids_a, table.type, held), _gather(table.ids_b, table.type, held)
                 found = Aligned(a, np.repeat(doc, n_a), table.size_a, b, np.repeat(doc, n_b), table.size_b)
                 spelled = [hashlib.sha256(s).hexdigest() if s else "" for s in found.spelled(n)]
                 owner, pair, times = found.links(base)

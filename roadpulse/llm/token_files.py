@@ -46,8 +46,9 @@ TABLE_CHUNKS = 1_000_000
 LONG_CHUNK = 64
 SMALL_ROWS = 100_000
 _BREAK = "\x00"
-_POINTS = ".,;:!?()[]{}\"*-_/|$%&#@+=<>~^"
-_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+POINTS = ".,;:!?()[]{}\"*-_/|$%&#@+=<>~^"
+# Words whose pre-tokens are known without the library: letters that no normalisation changes but for capitals, then points.
+LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 _OTHER_BYTES = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
 # Characters of a byte-level vocabulary: printable Latin-1 for itself, the other bytes in order from 256.
 _BYTE_LETTERS = [chr(256 + _OTHER_BYTES.index(b)) if b in _OTHER_BYTES else chr(b) for b in range(256)]
@@ -79,8 +80,8 @@ class WordIds:
 
     def plain(self, word: str) -> bytes | None:
         """Ids of a word of plain letters and punctuation behind, else None."""
-        head = word.rstrip(_POINTS)
-        if _LETTERS.fullmatch(head) is None:
+        head = word.rstrip(POINTS)
+        if LETTERS.fullmatch(head) is None:
             return None
         lower, tail = head.lower(), word[len(head) :]
         found, end = self.letters.get(lower), self.tails.get(tail)

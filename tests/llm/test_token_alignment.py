@@ -91,7 +91,8 @@ def test_chunks_give_the_libraries_tokens(models):
     b = table.b.encode(texts)
     for text, places, one, two in zip(texts, table.look_up([A.chunks_of(t) for t in texts]), a, b):
         assert "".join(A.chunks_of(text)) == " " + text
-        assert [i for p in places for i in table.ids_a[p]] == one and [i for p in places for i in table.ids_b[p]] == two
+        ids = [[i for p in places for i in np.frombuffer(held[p], table.type)] for held in (table.ids_a, table.ids_b)]
+        assert ids == [one, two]
 
 
 def test_equals_brute_force(spark, odd_docs, no_docs, models, monkeypatch):
