@@ -68,7 +68,8 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Mail and network addresses, which the edits of the token query mask.
-ADDRESS = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+|\b[0-9]{1,3}(?:\.[0-9]{1,3}){3}\b"
+# The group over and over must not be given back, or long addresses overflow the stack of Java's matcher.
+ADDRESS = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)++|\b[0-9]{1,3}(?:\.[0-9]{1,3}){3}\b"
 
 
 @query()
@@ -114,7 +115,7 @@ _SPANS = """
  select doc_id, {kind} kind, m,
   list_sum(list_transform(p[:i], lambda v: length(v)))::bigint + coalesce(list_sum(list_transform(ms[:i - 1], lambda v: length(v))), 0)::bigint s
  from (select doc_id, ms, p, unnest(ms) m, generate_subscripts(ms, 1) i from (
-  select doc_id, regexp_extract_all(t, {pattern}) ms, string_split_regex(t, {pattern}) p from texts where regexp_matches(t, {pattern}))))"""
+  select doc_id, regexp_extract_all({text}, {pattern}) ms, string_split_regex({text}, {pattern}) p from texts where regexp_matches({text}, {pattern}))))"""
 
 
 def _sql(text: str) -> str:
@@ -122,26 +123,31 @@ def _sql(text: str) -> str:
 
 
 def _secrets_sql() -> str:
-    # RE2 has neither look-ahead nor back-references, so those rules are spelled out.
+    # RE2 has no possessive groups and no back-references, so those rules are spelled out.
+    repeated = "|".join(f"[{c}]{{8}}" for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-")
     assign = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
     parts = [
-        _SPANS.format(name=name, kind=kind, pattern=_sql(pattern))
-        for kind, (name, pattern) in enumerate((("a", assign), ("k", secret_scan.ACCESS), ("h", secret_scan.HEX), ("c", secret_scan.CANDIDATE)))
+        _SPANS.format(name=name, kind=kind, pattern=_sql(pattern), text=text)
+        for kind, (name, pattern, text) in enumerate((("a", assign, "t"), ("k", secret_scan.ACCESS, "t"), ("h", secret_scan.HEX, "t"), ("c", secret_scan.CANDIDATE, "b")))
     ]
+    blank = f"regexp_replace(coalesce(text, ''), {_sql(repeated)}, '        ', 'g')"
+    for word in secret_scan.WORDS:
+        blank = f"regexp_replace({blank}, '(?i){word}', '{' ' * len(word)}', 'g')"
+    limits = [bits for _, bits in secret_scan.CLASSES]
     return f"""
-with texts as (select doc_id, coalesce(text, '') t from documents), {','.join(parts)},
+with texts as (select doc_id, coalesce(text, '') t, {blank} b from documents), {','.join(parts)},
 base as (
  select doc_id, s, kind, s + length(m) e from (
   select * from a where length(regexp_extract(m, {_sql(assign)}, 1)) >= 6 union all select * from k union all select * from h)),
 cand as (
  select c.doc_id, c.s, c.m, c.s + length(c.m) e,
-  case when regexp_matches(m, '^[0-9a-fA-F]+$') then 3.05 when regexp_matches(m, '^[a-z0-9]+$|^[A-Z0-9]+$') then 3.55 else 3.95 end lim
- from c where regexp_matches(m, '[0-9]') and regexp_matches(m, '[A-Za-z]')
-  and not regexp_matches(m, {_sql("|".join(f"(?:{p})" for p in secret_scan.ALLOWED if chr(92) + "1" not in p))})
-  and not exists (select 1 from (select unnest(string_split(m, '')) x) where contains(m, repeat(x, 8)))
+  case when regexp_matches(m, '^[0-9]+$|^[a-z]+$|^[A-Z]+$') then 9.0 when regexp_matches(m, '^[0-9a-fA-F]+$') then {limits[1]} when regexp_matches(m, '^[a-z0-9]+$|^[A-Z0-9]+$') then {limits[3]}
+   when regexp_matches(m, '[0-9]') then {limits[4]} else {limits[5]} end lim
+ from c where (regexp_matches(m, '[0-9]') or least(length(regexp_replace(m, '[^A-Z]', '', 'g')), length(regexp_replace(m, '[^a-z]', '', 'g'))) >= {secret_scan.MIXED})
+  and not regexp_matches(m, {_sql(secret_scan.ALLOWED[0])}) and not regexp_matches(m, '^/?([A-Za-z]+/)+[A-Za-z]*$')
   and not exists (select 1 from base b where b.doc_id = c.doc_id and b.s < c.s + length(c.m) and c.s < b.e)),
 windows as (select doc_id, s, e, lim, i, unnest(string_split(substr(m, i, {secret_scan.WINDOW}), '')) x
- from (select *, unnest(range(1, length(m) - {secret_scan.WINDOW} + 2)) i from cand)),
+ from (select *, unnest(range(1, length(m) - {secret_scan.WINDOW} + 2)) i from cand where lim < 9)),
 more as (
  select distinct doc_id, s, 3 kind, e from (
   select doc_id, s, e, i, lim, log2({secret_scan.WINDOW}) - sum(n * log2(n)) / {secret_scan.WINDOW} bits
