@@ -28,8 +28,15 @@ BLOCK_ROWS, BLOCK_QUERIES = 4096, 2048
 SEED = 11
 
 
-def unit(vectors: np.ndarray) -> np.ndarray:
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Each vector times a power of two that brings its largest component near one, so that no square over- or underflows."""
     vectors = vectors.astype(np.float64)
+    _, power = np.frexp(np.abs(vectors).max(axis=1, keepdims=True))
+    return np.ldexp(vectors, -power)
+
+
+def unit(vectors: np.ndarray) -> np.ndarray:
+    vectors = scaled(vectors)
     return vectors / np.maximum(np.sqrt((vectors * vectors).sum(1, keepdims=True)), 1e-300)
 
 
@@ -97,7 +104,7 @@ def search_block(data: dict[str, np.ndarray], queries: np.ndarray, centroid: np.
     for a in range(0, len(q), 100_000):
         qa, va = q[a : a + 100_000], v[a : a + 100_000]
         # Row by row, so equal vectors get equal scores wherever they stand.
-        left, right = queries[qa].astype(np.float64), data["vectors"][va].astype(np.float64)
+        left, right = scaled(queries[qa]), scaled(data["vectors"][va])
         score = (left * right).sum(1) / (np.sqrt((left * left).sum(1)) * np.sqrt((right * right).sum(1)))
         out.append(np.rec.fromarrays([qa, va, score, data["first"][va]], names="q,v,s,i"))
     found = np.concatenate(out)
@@ -156,22 +163,16 @@ def nearest(vectors: DataFrame, every: int, k: int = 5, vec_id: str = "vec_id",
 
     coded = stored(different.mapInPandas(deal, "cell int, first bigint, v array<double>, code binary, length double, inner double"), "codes")
 
-    def look(batches):
+    def look(low: int, high: int, batches):
+        """Each query with the cells at places ``low`` to ``high - 1`` in order of nearness."""
         centroids, _ = shared.value
         for batch in batches:
             if len(batch):
                 near = unit(np.stack(batch["v"].to_numpy())) @ centroids.T
-                best = np.argpartition(-near, min(probes, near.shape[1]) - 1, axis=1)[:, :probes]
+                best = np.argsort(-near, axis=1, kind="stable")[:, low:high]
                 yield pd.DataFrame({"q": np.repeat(batch["q"].to_numpy(), best.shape[1]), "v": batch["v"].repeat(best.shape[1]), "cell": best.ravel().astype("int32")})
 
     queries = asked.select("g").distinct().join(different, "g").select(F.col("first").alias("q"), "v")
-    sent = queries.mapInPandas(look, "q bigint, v array<double>, cell int")
-    sizes = coded.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("parts"))
-    loads = sent.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK_QUERIES).cast("int").alias("loads"))
-    plan = stored(sizes.join(loads, "cell"), "plan")
-    left = coded.join(plan, "cell").withColumn("part", F.pmod(F.xxhash64("first"), "parts").cast("int")).withColumn("load", F.explode(F.sequence(F.lit(0), F.col("loads") - 1)))
-    right = sent.join(plan, "cell").withColumn("load", F.pmod(F.xxhash64("q"), "loads").cast("int")).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-
     def run(key, data: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         centroids, turn = shared.value
         if not len(data) or not len(asked):
@@ -185,7 +186,26 @@ def nearest(vectors: DataFrame, every: int, k: int = 5, vec_id: str = "vec_id",
         return pd.DataFrame([(ids[q], names[v], s) for q, v, s in found], columns=["q", "first", "score"])
 
     groups = ["cell", "part", "load"]
-    pairs = left.select(*groups, "first", "v", "code", "length", "inner").groupBy(*groups).cogroup(right.select(*groups, "q", "v").groupBy(*groups)).applyInPandas(run, "q bigint, first bigint, score double")
+    sizes = coded.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("parts"))
+
+    def search(some: DataFrame, low: int, high: int) -> DataFrame:
+        """(q, first, score) of the best vectors of those cells for each query."""
+        sent = some.mapInPandas(lambda batches: look(low, high, batches), "q bigint, v array<double>, cell int")
+        loads = sent.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK_QUERIES).cast("int").alias("loads"))
+        plan = stored(sizes.join(loads, "cell"), "plan")
+        left = coded.join(plan, "cell").withColumn("part", F.pmod(F.xxhash64("first"), "parts").cast("int")).withColumn("load", F.explode(F.sequence(F.lit(0), F.col("loads") - 1)))
+        right = sent.join(plan, "cell").withColumn("load", F.pmod(F.xxhash64("q"), "loads").cast("int")).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        pairs = left.select(*groups, "first", "v", "code", "length", "inner").groupBy(*groups).cogroup(right.select(*groups, "q", "v").groupBy(*groups)).applyInPandas(run, "q bigint, first bigint, score double")
+        return stored(pairs, "pairs")
+
+    # A query whose cells hold too few rows looks into four times as many, until it has enough or has seen all.
+    pairs, reach, held = search(queries, 0, probes), probes, different.join(ids, "g").select("first", F.size("ids").alias("n"))
+    while reach < len(centroids):
+        got = pairs.join(held, "first").groupBy("q").agg(F.sum("n").alias("n"))
+        short = stored(queries.join(got, "q", "left").filter(F.coalesce("n", F.lit(0)) < k + 1).select("q", "v"), "short")
+        if short.isEmpty():
+            break
+        pairs, reach = pairs.unionByName(search(short, reach, 4 * reach)), 4 * reach
     top = Window.partitionBy("q").orderBy(F.desc("score"), "first")
     best = pairs.withColumn("n", F.row_number().over(top)).filter(F.col("n") <= k + 1).select("q", "first", "score")
     # From different vectors back to rows, for every query with that vector.

@@ -8,6 +8,7 @@ own until none is. Exact sums per range then place every row on the line of all
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count as count_from
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,7 @@ ROW_BYTES = 8
 RANGES_PER_SHARD = 8
 RANGE_ROWS = 2_000_000
 SAMPLES_PER_RANGE = 64
+SEED = 7
 # A range is overfull beyond this many times the mean.
 OVERFULL = 2.0
 # A group of equal texts up to this share of a shard isn't cut at a shard's border.
@@ -31,19 +33,23 @@ WHOLE_GROUP = 0.02
 KEY = ("h", "k", "u")
 
 
-def _splitters(rows: DataFrame, amount: int, parts: int) -> list[tuple[int, int, int]]:
-    """Keys that cut ``rows`` into about ``parts`` ranges of equal weight, from a weighted sample of bounded size."""
-    step = max(1.0, amount / (parts * SAMPLES_PER_RANGE))
-    chosen = rows.filter(F.rand(7) < F.col("weight") / step).select(*KEY, F.greatest("weight", F.lit(step)).alias("w"))
-    keys = sorted((r["h"], r["k"], r["u"], r["w"]) for r in chosen.collect())
+def _quantiles(keys: list[tuple[int, int, int, float]], parts: int) -> list[tuple[int, int, int]]:
+    """Keys that cut a weighted sample into ``parts`` stretches of about equal weight."""
     total, out, run = sum(k[3] for k in keys), [], 0.0
-    for h, k, u, w in keys:
+    for h, k, u, w in sorted(keys):
         if run + w >= total * (len(out) + 1) / parts and len(out) < parts - 1:
             out.append((h, k, u))
         run += w
     return sorted(set(out))
 
 
+def _splitters(rows: DataFrame, amount: float, parts: int, seed: int) -> list[tuple[int, int, int]]:
+    """Keys that cut ``rows`` into about ``parts`` ranges of equal weight, from a weighted sample of bounded size."""
+    step = amount / (parts * SAMPLES_PER_RANGE)
+    chosen = rows.filter(F.rand(seed) < F.col("weight") / step).select(*KEY, F.greatest("weight", F.lit(step)).alias("w"))
+    return _quantiles([(r["h"], r["k"], r["u"], r["w"]) for r in chosen.collect()], parts)
+
+
 def _ranged(rows: DataFrame, splitters: list[tuple[int, int, int]]) -> DataFrame:
     """``rows`` with ``range``: how many splitters are not above the key."""
     table = np.array(splitters, np.int64).reshape(-1, 3)
@@ -84,30 +90,33 @@ def shard(docs: DataFrame, shards: int = SHARDS, doc_id: str = "doc_id", text: s
     # Bytes and rows count alike, so a range is bounded in both.
     parts = max(shards * RANGES_PER_SHARD, -(-count // RANGE_ROWS))
     weighed = rows.withColumn("weight", F.col("size") / F.lit(float(total)) + F.lit(1.0 / count))
-    splitters = _splitters(weighed, 2.0, parts) if count > parts else []
+    splitters = _splitters(weighed, 2.0, parts, SEED) if count > parts else []
     limit = OVERFULL * 2.0 / parts
-    while True:
+    for turn in count_from(1):
         ranged = _ranged(weighed, splitters)
         sums = {r["range"]: r for r in ranged.groupBy("range").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("b"), F.sum("weight").alias("w")).collect()}
         overfull = [i for i, r in sums.items() if r["w"] > limit and r["n"] > 2 * SAMPLES_PER_RANGE]
+        if not overfull:
+            break
         more: set[tuple[int, int, int]] = set()
         for i in overfull:  # at most `parts / OVERFULL` of them
-            more.update(_splitters(ranged.filter(F.col("range") == i), sums[i]["w"], -(-sums[i]["w"] * parts // 2.0)))
-        if not more - set(splitters):
-            break
+            own = ranged.filter(F.col("range") == i)
+            found = set(_splitters(own, sums[i]["w"], int(-(-sums[i]["w"] * parts // 2.0)), SEED + turn)) - set(splitters)
+            if not found:  # the sample told nothing new: some rows of the range at random, whose keys all differ
+                drawn = own.orderBy(F.rand(SEED + turn)).limit(SAMPLES_PER_RANGE).select(*KEY).collect()
+                found = set(_quantiles([(r["h"], r["k"], r["u"], 1.0) for r in drawn], 2)) - set(splitters)
+            more |= found
         splitters = sorted({*splitters, *more})
-    before_rows, before_bytes, seen_rows, seen_bytes = {}, {}, 0, 0
+    before, seen_rows, seen_bytes = [], 0, 0
     for i in sorted(sums):
-        before_rows[i], before_bytes[i] = seen_rows, seen_bytes
+        before.append((i, seen_rows, seen_bytes))
         seen_rows, seen_bytes = seen_rows + sums[i]["n"], seen_bytes + sums[i]["b"]
-
-    def of_range(values: dict[int, int]):
-        return F.get(F.array(*[F.lit(values.get(i, 0)).cast("bigint") for i in range(len(splitters) + 1)]), F.col("range"))
+    of_range = docs.sparkSession.createDataFrame(before, "range int, before_rows bigint, before_bytes bigint")
 
     inside = Window.partitionBy("range").orderBy(*KEY).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = ranged.select(
-        "doc_id", "size", "text_crc32", "h", (of_range(before_rows) + F.count(F.lit(1)).over(inside) - 1).alias("place"),
-        (of_range(before_bytes) + F.sum("size").over(inside)).alias("through"),
+    placed = ranged.select("doc_id", "size", "text_crc32", "h", "range", F.count(F.lit(1)).over(inside).alias("n"), F.sum("size").over(inside).alias("b"))
+    placed = placed.join(F.broadcast(of_range), "range").select(  # one row per range
+        "doc_id", "size", "text_crc32", "h", (F.col("before_rows") + F.col("n") - 1).alias("place"), (F.col("before_bytes") + F.col("b")).alias("through"),
     )
     middle = 2 * F.col("through") - F.col("size")
     placed = placed.withColumn("shard", F.least(F.expr(f"{shards}").cast("bigint") * middle / F.lit(2 * total), F.lit(shards - 1)).cast("int"))

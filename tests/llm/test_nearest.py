@@ -66,3 +66,20 @@ def test_copies_and_odd_rows(spark):
     assert N.nearest(docs.filter("vec_id in (1, 2)"), every=10).count() == 0
     few = N.nearest(docs.filter("vec_id in (10, 11)"), every=10).collect()
     assert [(r["query_id"], r["vec_id"]) for r in few] == [(10, 11)]
+
+
+def test_every_query_gets_its_neighbours(spark):
+    """Tiny clusters whose cells hold too few rows, and norms whose squares over- or underflow."""
+    rnd = np.random.default_rng(8)
+    centers = rnd.standard_normal((120, 16))
+    rows = [(c, i) for c in range(60) for i in range(200)] + [(c, i) for c in range(60, 120) for i in range(2)]
+    vectors = [(centers[c] + 0.05 * rnd.standard_normal(16)) * 10.0 ** (n % 5 * 100 - 200) for n, (c, _) in enumerate(rows)]
+    docs = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<double>").repartition(4)
+    found = N.nearest(docs, every=20, k=5).collect()
+    want = brute(np.arange(len(rows)), np.stack([v / np.abs(v).max() for v in vectors]), 20, 5)
+    per_query = {}
+    for r in found:
+        per_query.setdefault(r["query_id"], []).append(r["rank"])
+    assert len(per_query) == len(want) and all(sorted(v) == [1, 2, 3, 4, 5] for v in per_query.values())
+    assert all(-1.000001 <= r["score"] <= 1.000001 for r in found)
+    assert recall(found, want) >= 0.95

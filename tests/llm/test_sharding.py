@@ -37,6 +37,28 @@ def test_hot_group_is_divided(spark, monkeypatch, samples):
     assert max(loads) < 1.06 * sum(loads) / 24 and min(loads) > 0.94 * sum(loads) / 24
 
 
+def test_ranges_come_from_the_sample(spark, monkeypatch):
+    """About as many ranges as wanted, none overfull, and the tasks' shares are alike, with a third of all rows in one text."""
+    docs = [(i, prose(1, 30)) for i in range(2000)] + [(10_000 + i, prose(i, 20 + i % 60)) for i in range(4000)]
+    taken = []
+    ranged = sharding._ranged
+
+    def watched(rows, splitters):
+        out = ranged(rows, splitters)
+        taken.append(out)
+        return out
+
+    monkeypatch.setattr(sharding, "_ranged", watched)
+    monkeypatch.setattr(sharding, "SAMPLES_PER_RANGE", 8)
+    sharding.shard(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(4)).count()
+    found = taken[-1].groupBy("range").agg({"*": "count", "weight": "sum"}).collect()
+    wanted = 24 * sharding.RANGES_PER_SHARD
+    assert len(found) >= 0.8 * wanted
+    weights, rows = sorted(r["sum(weight)"] for r in found), sorted(r["count(1)"] for r in found)
+    assert all(r["sum(weight)"] <= sharding.OVERFULL * 2.0 / wanted or r["count(1)"] <= 16 for r in found)
+    assert rows[-1] <= 4 * rows[len(rows) // 2] and weights[-1] <= 4 * weights[len(weights) // 2]
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     check(sharding.shard(odd_docs), [(r["doc_id"], r["text"]) for r in odd_docs.collect()])
     empty = sharding.shard(no_docs)
