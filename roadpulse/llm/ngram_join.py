@@ -33,6 +33,7 @@ BANDS, ROWS = 32, 5
 HASHES = BANDS * ROWS
 TOLERANCE = 1e-6
 STEP = 32
+REMEMBERED_TEXTS = 200_000
 BLOCK_TEXTS = 256
 BLOCK_SHINGLES = 500_000
 
@@ -204,15 +205,28 @@ def likely_edges(candidates: DataFrame) -> DataFrame:
 
 
 def shingle_sets(texts: DataFrame) -> DataFrame:
-    """(text_id, set): the different shingle hashes of rows (text_id, text), sorted, eight bytes each."""
+    """(text_id, set): the different shingle hashes of rows (text_id, text), sorted, eight bytes each.
+
+    A task makes the set of a text once, however many copies it meets, as long as it remembers the text.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        word = byte_class(letters_only=False)
+        word, met = byte_class(letters_only=False), set()
         for batch in batches:
-            for first, part in text_slices(batch.column("text")):
+            fresh = []
+            for i, text_id in enumerate(batch.column("text_id").to_pylist()):
+                if text_id not in met:
+                    fresh.append(i)
+                    met.add(text_id)
+            if len(met) > REMEMBERED_TEXTS:
+                met = set()
+            if not fresh:
+                continue
+            ids, texts = (batch.column(c).take(pa.array(fresh, pa.int64())) for c in ("text_id", "text"))
+            for first, part in text_slices(texts):
                 hashes, bounds = shingles(*hash_words(pc.utf8_lower(part), word), WORDS)
                 sets = [np.unique(hashes[a:b]).tobytes() for a, b in zip(bounds, bounds[1:])]
-                yield pa.RecordBatch.from_arrays([batch.column("text_id").slice(first, len(sets)), pa.array(sets, pa.binary())], names=["text_id", "set"])
+                yield pa.RecordBatch.from_arrays([ids.slice(first, len(sets)), pa.array(sets, pa.binary())], names=["text_id", "set"])
 
     return texts.mapInArrow(run, "text_id binary, set binary")
 
@@ -308,12 +322,10 @@ def _linked(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     members = loose.withColumnRenamed("node", "text_id").join(texts, "text_id")
     per_block = [F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)]
     groups = members.groupBy("root").agg(F.greatest(*per_block, F.lit(1)).cast("int").alias("blocks"))
-    members = stored(members.join(groups, "root").select("root", "text_id", "n_rows", "first_copy", "blocks"), "members")
-    # One row of each text in a group, null ids too; a repeated row may come twice, so sets are made one per text.
-    # The filter keeps the texts outside all groups from being shuffled.
-    wanted = members.select("text_id", F.col("first_copy").alias("first"))
-    first = [F.col("text_id") == F.col("wanted_id"), F.col("doc_id").eqNullSafe(F.col("first"))]
-    found = possible(keyed, "text_id", wanted, wanted.count()).join(wanted.withColumnRenamed("text_id", "wanted_id"), first, "left_semi")
+    members = stored(members.join(groups, "root").select("root", "text_id", "n_rows", "blocks"), "members")
+    # Sets are made where the texts are read, of those that the filter lets through, so that no text is ever shuffled.
+    wanted = members.select("text_id")
+    found = possible(keyed.filter("text is not null"), "text_id", wanted, wanted.count())
     sets = shingle_sets(found.select("text_id", "text")).groupBy("text_id").agg(F.max("set").alias("set"))
     spread = in_blocks(members.select("root", "text_id", "n_rows", "blocks"), "root", "blocks")
     order = ["root", "low", "high", "side", "text_id", "n_rows", "set"]

@@ -43,3 +43,23 @@ def test_stages_keep_the_columns_and_odd_rows(spark, odd_docs, no_docs, tmp_path
                 assert out.columns == docs.columns and out.dtypes == docs.dtypes, name
             out.write.parquet(str(tmp_path / f"{case}-{name}"))
             docs = spark.read.parquet(str(tmp_path / f"{case}-{name}"))
+
+
+def test_stages_keep_clashing_columns(spark, tmp_path):
+    """Columns named like those of the operators, in any case, and with odd names, come through every stage as they are."""
+    spark.createDataFrame([(1, "an item that no document holds in any way")], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    extra = ["score", "lang_pred", "Secret_Spans", "base_spans", "decoded", "class_id", "first_copy", "leads", "text_id", "row", "a.b", "with space", "__kept", "__text", "__rows", "item_ids", "Held_Out"]
+    last = ["n_tokens", "TOKEN_IDS", "ids_sha256"]
+    text = "the river runs under a stone bridge and every morning an old miller walks along its bank"
+    rows = [(i, f"{text} {i * 7919} {'x' * i}", "en", "a", 5, *(f"{c}-{i}" for c in extra + last)) for i in range(6)]
+    names = ["doc_id", "text", "lang", "source", "n_chars", *extra, *last]
+    docs = spark.createDataFrame(rows, ", ".join(f"`{c}` {'bigint' if c in ('doc_id', 'n_chars') else 'string'}" for c in names))
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        kept = names if name != "sentencepiece" else names[: -len(last)] + ["n_tokens", "token_ids", "ids_sha256"]
+        assert out.columns == kept, name
+        out.write.parquet(str(tmp_path / name))
+        found = spark.read.parquet(str(tmp_path / name)).collect()
+        assert found, name
+        for r in found:
+            assert [r[5 + i] for i in range(len(extra))] == [f"{c}-{r['doc_id']}" for c in extra], name
