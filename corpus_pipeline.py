@@ -2,42 +2,69 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.llm import decontaminate, language, ngram_join, pieces, secret_scan
 from roadpulse.session import scratch_path
 
 
+# Columns that stages look at; all others are kept under names of their own meanwhile, whatever they are called.
+CORE = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _aside(docs: DataFrame) -> tuple[DataFrame, Callable[..., DataFrame]]:
+    """(``docs`` with its other columns out of the way, function that puts them back and sets the named ones anew)."""
+    names = docs.columns
+    held = [c if c in CORE else f"__kept_{i}" for i, c in enumerate(names)]
+
+    def back(found: DataFrame, **new: Column) -> DataFrame:
+        return found.select(*[new.get(h, F.col(h)).alias(c) for h, c in zip(held, names)])
+
+    return docs.toDF(*held), back
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language, with ``lang`` as found; those without any letter go."""
-    found = language.identify(docs, language.train(docs)).filter(F.col("lang_pred") != language.UNKNOWN)
-    return found.select(*[F.col("lang_pred").alias("lang") if c == "lang" else F.col(c) for c in docs.columns])
+    own, back = _aside(docs)
+    found = language.identify(own, language.train(own)).filter(F.col("lang_pred") != language.UNKNOWN)
+    return back(found, lang=F.col("lang_pred"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of copies and near copies."""
-    return ngram_join.one_per_class(docs)
+    own, back = _aside(docs)
+    return back(ngram_join.one_per_class(own))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no item of the benchmark."""
-    return decontaminate.without_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    own, back = _aside(docs)
+    return back(decontaminate.without_items(own, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with every secret masked and ``n_chars`` brought up to date."""
-    found = secret_scan.find_secrets(docs)
+    own, back = _aside(docs)
+    found = secret_scan.find_secrets(own)
     text = secret_scan.masked(F.col("text"), F.col("secret_spans"))
     changed = F.size("secret_spans") > 0
-    new = {"text": text, "n_chars": F.when(changed, F.length(text).cast("bigint")).otherwise(F.col("n_chars"))}
-    return found.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
+    return back(found, text=text, n_chars=F.when(changed, F.length(text).cast("bigint")).otherwise(F.col("n_chars")))
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their token ids; the text that the ids stand for takes the place of ``text``."""
-    found = pieces.encode_pieces(docs)
-    return found.select(*[F.col("decoded").alias("text") if c == "text" else F.col(c) for c in docs.columns], "n_tokens", "token_ids", "ids_sha256")
+    """Documents with their token ids; the text that the ids stand for takes the place of ``text``.
+
+    ``n_tokens``, ``token_ids`` and ``ids_sha256`` take the place of columns so named in whatever case.
+    """
+    added = ("n_tokens", "token_ids", "ids_sha256")
+    names = [c for c in docs.columns if c.lower() not in added]
+    own, _ = _aside(docs)
+    held = [h for c, h in zip(docs.columns, own.columns) if c in names]
+    found = pieces.encode_pieces(own.select(*held))
+    return found.select(*[F.col("decoded" if h == "text" else h).alias(c) for h, c in zip(held, names)], *added)
 
 
 STAGES = [
