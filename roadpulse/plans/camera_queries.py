@@ -51,7 +51,7 @@ def occupancy_raw(spark, sf_dir):
 def occupancy_precise(spark, sf_dir):
     frames, boxes = _frames_boxes(spark, sf_dir)
     mask = _mask(spark, sf_dir)
-    return raster.occupancy_precise(frames, boxes, mask.runs, mask.cameras).select("frame_id", "cam", "occupancy")
+    return traffic.road_occupancy(frames, boxes, mask).select("frame_id", "cam", "occupancy")
 
 
 @query(sql("""select f.frame_id, coalesce(v.n, 0)::double / (f.img_h * f.img_w)::double * 100 occupancy from fx_frames f

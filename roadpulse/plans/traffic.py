@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from roadpulse import constants as K
 from roadpulse.functions.scalars import greenshields_speed, traffic_weight
-from roadpulse.operators import accident, raster
+from roadpulse.operators import accident, painted, raster
 from roadpulse.operators.metrics import join_thresholds, meu_per_frame
-from roadpulse.session import materialize
+from roadpulse.session import HOT_ROWS, broadcast_if_small, hot_keys, materialize
 
 
 @dataclass(frozen=True)
@@ -28,8 +28,32 @@ def calibrate_mask(frames: DataFrame, detections: DataFrame) -> RoadMask:
     return RoadMask(materialize(runs), materialize(frames.select(*raster.CAMERA).distinct()))
 
 
-def frame_metrics(frames: DataFrame, detections: DataFrame, mask: RoadMask, coefficients: DataFrame) -> DataFrame:
-    """Load and road occupancy of every frame."""
+def frame_metrics(frames: DataFrame, detections: DataFrame, mask: RoadMask, coefficients: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Load and road occupancy of every frame.
+
+    Frames are painted, which shuffles boxes once. Those with over ``hot_rows`` boxes, and all of them when the masks
+    are too many to send to every task, are measured by pixel words, which combine before the shuffle.
+    """
+    roads = painted.collect_roads(mask.runs, mask.cameras)
+    hot = None if roads is None else hot_keys(detections, "frame_id", hot_rows)
+    if roads is not None and hot is None:
+        return painted.painted_metrics(frames, detections, roads, coefficients).withColumnRenamed("occupancy", "occ")
+    if roads is None:
+        return _by_words(frames, detections, mask, coefficients)
+    ids = broadcast_if_small(hot.select("frame_id"))
+    part = lambda df, how: df.join(ids, "frame_id", how)
+    ordinary = painted.painted_metrics(part(frames, "left_anti"), part(detections, "left_anti"), roads, coefficients)
+    crowded = _by_words(part(frames, "left_semi"), part(detections, "left_semi"), mask, coefficients)
+    return ordinary.withColumnRenamed("occupancy", "occ").select(*crowded.columns).unionByName(crowded)
+
+
+def road_occupancy(frames: DataFrame, detections: DataFrame, mask: RoadMask) -> DataFrame:
+    """``frames`` with the percent of road pixels that are covered; measured as in ``frame_metrics``."""
+    none = frames.sparkSession.createDataFrame([], "cls int, coef decimal(10,3)")
+    return frame_metrics(frames, detections, mask, none).withColumnRenamed("occ", "occupancy").drop("meu")
+
+
+def _by_words(frames: DataFrame, detections: DataFrame, mask: RoadMask, coefficients: DataFrame) -> DataFrame:
     loads = meu_per_frame(frames, detections, coefficients)
     return raster.occupancy_precise(loads, detections, mask.runs, mask.cameras).withColumnRenamed("occupancy", "occ")
 

@@ -1,5 +1,7 @@
 """Word and run rasters against dense arrays."""
 
+import random
+
 import numpy as np
 import pytest
 from helpers import rows_of
@@ -135,3 +137,41 @@ def test_mask_of_another_shape_gives_no_occupancy(spark):
     masked = spark.createDataFrame([(1, 4, 4)], shape)
     got = {r.frame_id: r.occupancy for r in raster.occupancy_precise(frames, boxes, runs, masked).collect()}
     assert got == {1: 50.0, 2: None, 3: 25.0}
+
+
+@pytest.mark.parametrize("hot_rows", [10**6, 40, 3])
+def test_painted_frames_equal_words(spark, hot_rows, monkeypatch):
+    """Odd boxes, a crowded frame, an odd shape, missing and empty masks, boxes without a frame; batches that cut frames."""
+    from roadpulse.operators import painted
+    from roadpulse.plans import traffic
+    from roadpulse.sources import dimensions as dim
+
+    rng = random.Random(11)
+    shapes = {0: (40, 70), 1: (40, 70), 2: (30, 130), 3: (40, 70)}
+    frames = [(i, i % 4, *(shapes[i % 4] if i != 9 else (41, 70)), 10 * i) for i in range(80)] + [(12, 0, 40, 70, 121)]
+    odd = [None, float("nan"), float("inf"), -1e300, 1e300, 0.5, 1.5, 2.5]
+    boxes = []
+    for i in [*range(70), *[5] * 60, 500, 501]:
+        for _ in range(rng.randint(0, 5)):
+            sides = [rng.choice(odd) if rng.random() < 0.1 else rng.uniform(-20, 80) for _ in range(4)]
+            boxes.append((i, i % 4, *shapes[i % 4], rng.choice([0, 1, 2, 3, 4, None]), *sides))
+    frame_df = spark.createDataFrame(frames, "frame_id long, cam long, img_h int, img_w int, t long").repartition(3)
+    box_df = spark.createDataFrame(boxes, "frame_id long, cam long, img_h int, img_w int, cls int, x1 double, y1 double, x2 double, y2 double").repartition(5)
+    runs = spark.createDataFrame([(c, 40, 70, y, 5 + c, 50 + y) for c in (0, 1) for y in range(20)], "cam long, img_h int, img_w int, y int, xs int, xe int")
+    mask = traffic.RoadMask(runs, spark.createDataFrame([(c, 40, 70) for c in (0, 1, 3)], "cam long, img_h int, img_w int"))
+    weights = dim.default_coefficients(spark)
+    want = sorted(map(repr, traffic._by_words(frame_df, box_df, mask, weights).collect()))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for size in (before, "7"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            got = traffic.frame_metrics(frame_df, box_df, mask, weights, hot_rows).select("frame_id", "cam", "img_h", "img_w", "t", "meu", "occ")
+            assert sorted(map(repr, got.collect())) == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    monkeypatch.setattr(painted, "MASK_RUNS", 3)
+    assert sorted(map(repr, traffic.frame_metrics(frame_df, box_df, mask, weights).collect())) == want
+    assert traffic.frame_metrics(frame_df.limit(0), box_df, mask, weights).count() == 0
+    monkeypatch.setattr(painted, "MASK_RUNS", 1000)
+    plan = traffic.frame_metrics(frame_df, box_df, mask, weights)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(frame_id") == 1
