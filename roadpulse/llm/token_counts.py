@@ -9,7 +9,7 @@ updates the sums above them.
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -78,29 +78,68 @@ def _safe(text: str, at: int) -> bool:
     return at in (0, len(text)) or (0 < at < len(text) - 1 and text[at] == " " and not text[at - 1].isspace() and not text[at + 1].isspace())
 
 
+def make_edits(text: str, starts: list[int], sums: list[int], edits: list[tuple[int, int, str]], count: Callable[[str], int]) -> tuple[str, list[int], list[int], int]:
+    """(new text, starts, sums, characters re-encoded) after ``text[start:end]`` becomes the new one in each edit.
+
+    Edits are in ascending order and don't overlap. The text is put together once, segments touched by several edits are
+    encoded once, and the sums above all changes are brought up to date together.
+    """
+    pieces, at, ends, shifts = [], 0, [], [0]
+    for start, end, new in edits:
+        pieces += [text[at:start], new]
+        at = end
+        ends.append(end)
+        shifts.append(shifts[-1] + len(new) - (end - start))
+    after, last = "".join([*pieces, text[at:]]), len(starts) - 1
+
+    def moved(place: int) -> int:
+        """Where a border between segments that no edit touches has come to."""
+        return place + shifts[bisect_left(ends, place)]
+
+    # From the segment that holds the character before an edit to the one that holds the character after it, and on to safe borders.
+    regions: list[list[int]] = []
+    for start, end, _ in edits:
+        low, high = bisect_right(starts, max(0, start - 1)) - 1, bisect_right(starts, min(end, max(0, len(text) - 1))) - 1
+        done = regions[-1][1] if regions else -1
+        if high <= done:
+            continue
+        while low > done + 1 and not _safe(after, moved(starts[low])):
+            low -= 1
+        while high < last and not _safe(after, moved(starts[high + 1])):
+            high += 1
+        if regions and low <= done:
+            regions[-1][1] = high
+        else:
+            regions.append([low, high])
+
+    leaves = sums[len(sums) // 2 : len(sums) // 2 + len(starts)]
+    new_starts: list[int] = []
+    new_leaves: list[int] = []
+    changed, kept, encoded, at = [], [], 0, 0
+    for low, high in regions:
+        new_starts += map(moved, starts[at:low])
+        new_leaves += leaves[at:low]
+        left, right = moved(starts[low]), moved(starts[high + 1]) if high < last else len(after)
+        region = after[left:right]
+        cuts = cut(region) if len(region) > 2 * SEGMENT else [0]
+        kept.append(len(cuts) == high - low + 1)
+        changed += range(len(new_leaves), len(new_leaves) + len(cuts))
+        new_starts += (left + c for c in cuts)
+        new_leaves += (count(region[a:b]) for a, b in zip(cuts, [*cuts[1:], len(region)]))
+        encoded, at = encoded + len(region), high + 1
+    new_starts += map(moved, starts[at:])
+    new_leaves += leaves[at:]
+    # Leaves that keep their places need no new tree.
+    if all(kept) and len(changed) * len(sums).bit_length() < len(sums):
+        for i in changed:
+            set_leaf(sums, i, new_leaves[i])
+        return after, new_starts, sums, encoded
+    return after, new_starts, build_sums(new_leaves), encoded
+
+
 def apply_edit(text: str, starts: list[int], sums: list[int], start: int, end: int, new: str, count: Callable[[str], int]) -> tuple[str, list[int], list[int], int]:
     """(new text, starts, sums, characters re-encoded) after ``text[start:end]`` becomes ``new``."""
-    after = text[:start] + new + text[end:]
-    shift = len(new) - (end - start)
-    # Segments from the one that holds the character before the edit to the one that holds the character after it.
-    low, high = bisect_right(starts, max(0, start - 1)) - 1, bisect_right(starts, min(end, max(0, len(text) - 1))) - 1
-    while low > 0 and not _safe(after, starts[low]):
-        low -= 1
-    while high < len(starts) - 1 and not _safe(after, starts[high + 1] + shift):
-        high += 1
-    left = starts[low]
-    right = starts[high + 1] + shift if high < len(starts) - 1 else len(after)
-    region = after[left:right]
-    pieces = cut(region) if len(region) > 2 * SEGMENT else [0]
-    counts = [count(region[a:b]) for a, b in zip(pieces, [*pieces[1:], len(region)])]
-    moved = [*starts[:low], *(left + p for p in pieces), *(s + shift for s in starts[high + 1 :])]
-    if len(counts) == high - low + 1:
-        for i, n in enumerate(counts):
-            set_leaf(sums, low + i, n)
-    else:  # the number of leaves has changed, so later ones move; their counts stay
-        leaves = sums[len(sums) // 2 : len(sums) // 2 + len(starts)]
-        sums = build_sums([*leaves[:low], *counts, *leaves[high + 1 :]])
-    return after, moved, sums, len(region)
+    return make_edits(text, starts, sums, [(start, end, new)], count)
 
 
 def count_tokens(docs: DataFrame, text: str = "text", vocabulary: str | None = None) -> DataFrame:
@@ -139,23 +178,25 @@ def apply_edits(counted: DataFrame, edits: str = "edits", text: str = "text", vo
     schema = replaced(rows, n_edits=F.lit(0), n_reencoded=F.lit(0).cast("bigint")).schema
 
     def edited(value: str | None, starts: list[int], sums: list[int], wanted: list[dict] | None, count: Callable[[str], int]) -> tuple:
-        made = encoded = 0
         usable = [] if value is None else [e for e in wanted or () if e and None not in e.values() and 0 <= e["start"] <= e["end"] <= len(value)]
-        limit = len(value or "")
+        limit, chosen = len(value or ""), []
         for e in sorted(usable, key=lambda e: (e["start"], e["end"]), reverse=True):
             if e["end"] <= limit:
-                value, starts, sums, n = apply_edit(value, starts, sums, e["start"], e["end"], e["text"], count)
-                limit, made, encoded = e["start"], made + 1, encoded + n
-        return value, sums[0], starts, sums, made, encoded
+                chosen.append((e["start"], e["end"], e["text"]))
+                limit = e["start"]
+        encoded = 0
+        if chosen:
+            value, starts, sums, encoded = make_edits(value, starts, sums, chosen[::-1], count)
+        return value, sums[0], starts, sums, len(chosen), encoded
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = load_counter(path)
         for batch in batches:
-            columns = dict(zip(batch.schema.names, batch.columns))
-            rows = zip(*(columns[c].to_pylist() for c in (text, "token_starts", "token_sums", edits)))
-            out = [edited(*row, count) for row in rows]
-            if out:
-                values = list(zip(*out))
+            for start, part in text_slices(batch.column(batch.schema.get_field_index(text))):
+                own = batch.slice(start, len(part))
+                columns = dict(zip(own.schema.names, own.columns))
+                rows = zip(*(columns[c].to_pylist() for c in (text, "token_starts", "token_sums", edits)))
+                values = list(zip(*(edited(*row, count) for row in rows)))
                 types = [columns[text].type, pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int32(), pa.int64()]
                 for name, v, t in zip((text, *COLUMNS, "n_edits", "n_reencoded"), values, types):
                     columns[name] = pa.array(v, t)

@@ -30,6 +30,41 @@ def test_edits_equal_counting_anew():
             assert leaves == [COUNT(text[p:q]) for p, q in zip(starts, [*starts[1:], len(text)])]
 
 
+def test_many_edits_at_once_equal_counting_anew():
+    rnd = random.Random(7)
+    for _ in range(200):
+        text = text_of(rnd, rnd.randrange(0, 3000))
+        starts, sums = C.plant(text, COUNT)
+        places = sorted(rnd.randrange(len(text) + 1) for _ in range(2 * rnd.randrange(0, 30)))
+        edits = [(a, b, text_of(rnd, rnd.choice([0, 1, 3, 300]))) for a, b in zip(places[::2], places[1::2])]
+        edits = [e for i, e in enumerate(edits) if i == 0 or e[0] >= edits[i - 1][1]]
+        want, at = "", 0
+        for a, b, new in edits:
+            want, at = want + text[at:a] + new, b
+        want += text[at:]
+        after, starts, sums, _ = C.make_edits(text, starts, sums, edits, COUNT)
+        leaves = sums[len(sums) // 2 :][: len(starts)]
+        assert after == want and sums[0] == COUNT(want) and sums == C.build_sums(leaves)
+        assert leaves == [COUNT(want[p:q]) for p, q in zip(starts, [*starts[1:], len(want)])]
+
+
+def test_crowded_and_long_texts_take_seconds(spark):
+    """Forty thousand addresses in one text, and one address of a megabyte, which overflowed the matcher's stack."""
+    import time
+
+    from roadpulse.llm.secret_scan import pattern_spans
+
+    texts = [" ".join(f"user{i}@example{i % 7}.org and" for i in range(40_000)), "a@b" + ".c" * 500_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    start = time.time()
+    masks = F.transform(pattern_spans(F.col("text"), Q.ADDRESS), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit("[ADDRESS]").alias("text")))
+    rows = C.apply_edits(C.count_tokens(docs.withColumn("edits", masks))).orderBy("doc_id").collect()
+    assert time.time() - start < 60
+    for r, text in zip(rows, texts):
+        assert r["text"] == re.sub(Q.ADDRESS, "[ADDRESS]", text, flags=re.A) and r["n_tokens"] == COUNT(r["text"])
+        assert r["n_edits"] == (40_000 if r["doc_id"] == 0 else 1) and r["n_reencoded"] <= len(r["text"])
+
+
 def test_small_edits_reencode_little():
     text = "some words and more of them follow here " * 3000
     starts, sums = C.plant(text, COUNT)
