@@ -30,6 +30,10 @@ BLOCK = 1024
 UNKNOWN = "und"
 _COUNT = 28  # bits for a place in the table; phrases ended by a transition stand above
 _SPACE, _OTHER, _PAD = 0, 1, 2
+# Letters that are symbols of their own. Where the samples have more, only the commonest are, and any other letter is
+# spelled by three digits of six bits, so that scripts with thousands of letters keep them all apart.
+LETTERS, COMMON, DIGITS = 250, 186, 64
+_SPELLED = 255
 
 
 @dataclass(frozen=True)
@@ -97,17 +101,28 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
 def symbol_table(alphabet: list[str]) -> np.ndarray:
     """Symbol of each code point: letters of the alphabet in either case, other letters, all else as space."""
     table = np.zeros(0x110000, np.uint8)
+    other = _OTHER if len(alphabet) <= LETTERS else _SPELLED
+    alphabet = alphabet if len(alphabet) <= LETTERS else alphabet[:COMMON]
     own = {c: i + 3 for i, c in enumerate(alphabet)}
     for code in range(0x110000):
         if (c := chr(code)).isalpha():
             low = c.lower()
-            table[code] = own.get(low, _OTHER)
+            table[code] = own.get(low, other)
     return table
 
 
 def encode(symbols: np.ndarray, text: str) -> np.ndarray:
     """Symbols of ``text``, with runs of spaces made one."""
-    codes = symbols[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    codes = symbols[points]
+    spelled = np.flatnonzero(codes == _SPELLED)
+    if len(spelled):
+        letters, which = np.unique(points[spelled], return_inverse=True)
+        low = np.array([ord(chr(c).lower()[0]) for c in letters.tolist()])[which]
+        first = spelled + 2 * np.arange(len(spelled))
+        codes = np.repeat(codes, np.where(codes == _SPELLED, 3, 1))
+        for digit in range(3):
+            codes[first + digit] = 3 + COMMON + (low >> 6 * (2 - digit)) % DIGITS
     return codes[(codes != _SPACE) | np.concatenate(([True], codes[:-1] != _SPACE))] if len(codes) else codes
 
 
@@ -126,9 +141,9 @@ def train(docs: DataFrame, text: str = "text", label: str = "lang") -> LanguageM
     for s in samples.values():
         for c in filter(str.isalpha, s):
             seen[c] = seen.get(c, 0) + 1
-    alphabet = sorted(sorted(seen, key=lambda c: (-seen[c], c))[:250])
-    table = symbol_table(alphabet)
-    width, blocks, roots, bits = len(alphabet) + 3, [], [], []
+    alphabet = sorted(seen, key=lambda c: (-seen[c], c))
+    table = symbol_table(sorted(alphabet) if len(alphabet) <= LETTERS else alphabet)
+    width, blocks, roots, bits = 3 + (len(alphabet) if len(alphabet) <= LETTERS else COMMON + DIGITS), [], [], []
     for s in samples.values():
         symbols = encode(table, s).tolist()
         automaton = suffix_automaton(symbols)

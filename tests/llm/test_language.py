@@ -66,3 +66,19 @@ def test_copies_do_not_shrink_the_sample(spark):
     copies = spark.range(400_000).selectExpr("'the same words over and over' text", "'en' lang")
     docs = copies.unionByName(spark.range(100).selectExpr("concat('another text ', id) text", "'en' lang"))
     assert language.labelled_sample(docs).count() == 101
+
+
+def test_languages_in_a_script_of_thousands_of_letters(spark):
+    """Two languages that use the same three thousand letters in different words."""
+    import random
+
+    rnd = random.Random(5)
+    letters = [chr(0x4E00 + i) for i in range(3000)]
+    words = {name: ["".join(rnd.choice(letters) for _ in range(2)) for _ in range(1500)] for name in ("one", "two")}
+    text = lambda name, n: "".join(rnd.choice(words[name]) + ("，" if rnd.random() < 0.1 else "") for _ in range(n))
+    rows = [(text(name, 150), name) for name in words for _ in range(120)] + [("the river runs under a bridge " * 5, "en")] * 3
+    model = language.train(spark.createDataFrame(rows, "text string, lang string"))
+    asked = [(text(name, 60), name) for name in words for _ in range(100)] + [("a bridge and the river", "en")]
+    found = language.identify(spark.createDataFrame(asked, "text string, want string"), model).collect()
+    assert sum(r["lang_pred"] == r["want"] for r in found) >= 0.98 * len(asked)
+    assert language.encode(model.symbols, "É") .tolist() == language.encode(model.symbols, "é").tolist() and len(language.encode(model.symbols, "é")) == 3
