@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A dimension is broadcast only when it is counted to have at most this many rows.
+# A dimension is broadcast only when it is found to have at most this many rows and bytes.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 256 * 1024 * 1024
 # A key with more rows than this is split over tasks.
 HOT_ROWS = 1_000_000
 
@@ -17,7 +21,7 @@ HOT_ROWS = 1_000_000
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach, taken from ``spark.checkpoint.dir``.
 
-    A temporary folder is made only in local mode, where no such setting exists.
+    A temporary folder is made only in local mode, where no such setting exists; it goes when the process ends.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -27,6 +31,7 @@ def shared_dir(spark: SparkSession) -> str:
             if sc.master != "local" and not sc.master.startswith("local["):
                 raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
             named = tempfile.mkdtemp(prefix="roadpulse-")
+            atexit.register(shutil.rmtree, named, ignore_errors=True)
         sc.setCheckpointDir(named)
         current = sc.getCheckpointDir()
     return current
@@ -43,8 +48,20 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    return df.limit(rows + 1).count() <= rows
+def _bytes(column: Column, kind: T.DataType) -> Column:
+    """About the bytes of a value: its length in text or bytes, or as JSON if it is nested."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(column), F.lit(0)) + 16
+    if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        return F.coalesce(F.octet_length(F.to_json(F.struct(column.alias("v")))), F.lit(0)) + 16
+    return F.lit(8)
+
+
+def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` has at most ``rows`` rows and about ``size`` bytes; no more rows than that are looked at."""
+    width = sum((_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(0))
+    count, total = df.limit(rows + 1).agg(F.count(F.lit(1)), F.sum(width.cast("bigint"))).first()
+    return count <= rows and (total or 0) <= size
 
 
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

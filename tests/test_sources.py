@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.functions import scalars as S
 from roadpulse.operators import accident, edge_state, geometry, metrics, report
-from roadpulse.session import broadcast_if_small, hot_keys
+from roadpulse.session import broadcast_if_small, hot_keys, is_small
 from roadpulse.sources import cameras as cam_src
 from roadpulse.sources import dimensions as dim
 from roadpulse.sources import frames as frame_src
@@ -220,6 +220,8 @@ def test_hot_keys_and_checked_broadcast(spark):
     assert [(r.k, r.key_rows) for r in hot_keys(rows, "k", 59).collect()] == [(0, 60)]
     hinted = lambda df: "hint" in df._jdf.queryExecution().logical().toString().lower()
     assert hinted(broadcast_if_small(rows, 100)) and not hinted(broadcast_if_small(rows, 99))
+    wide = rows.selectExpr("k", "repeat('é', 1000) s", "array(k, k) a", "map('x', k) m", "cast('b' as binary) b", "struct(k) r")
+    assert is_small(wide, 100) and is_small(wide, 100, 230_000) and not is_small(wide, 100, 200_000) and is_small(wide.limit(0), 0, 0)
 
 
 def test_freshness_bound_is_inclusive(spark):
