@@ -5,16 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse import constants as K
 from roadpulse import fixtures as fx
 from roadpulse import schemas
-from roadpulse.functions import scalars as S
-from roadpulse.operators import accident, calibration, edge_state, metrics, raster
+from roadpulse.operators import accident, calibration, metrics, raster
 from roadpulse.operators.boxes import class_label
 from roadpulse.plans import jobs as batch
 from roadpulse.plans import traffic
 from roadpulse.plans.registry import alerts_sql, query, speeds_sql, sql
-from roadpulse.plans.source_queries import _newest, _processed, _series, _speeds, arriving
+from roadpulse.plans.source_queries import _processed, _series, arriving
 from roadpulse.session import materialize, scratch_path
 from roadpulse.sources import dimensions as dim
 from roadpulse.sources import sinks
