@@ -100,12 +100,13 @@ def search_block(data: dict[str, np.ndarray], queries: np.ndarray, centroid: np.
     keep = min(k, lower.shape[1])
     bar = np.partition(lower, lower.shape[1] - keep, axis=1)[:, lower.shape[1] - keep]
     q, v = np.nonzero(near + width >= bar[:, None])
+    # Sums go row by row, so equal vectors get equal scores wherever they stand.
+    asked, held = scaled(queries), scaled(data["vectors"])
+    size_asked, size_held = (np.sqrt((x * x).sum(1)) for x in (asked, held))
     out = []
     for a in range(0, len(q), 100_000):
         qa, va = q[a : a + 100_000], v[a : a + 100_000]
-        # Row by row, so equal vectors get equal scores wherever they stand.
-        left, right = scaled(queries[qa]), scaled(data["vectors"][va])
-        score = (left * right).sum(1) / (np.sqrt((left * left).sum(1)) * np.sqrt((right * right).sum(1)))
+        score = (asked[qa] * held[va]).sum(1) / (size_asked[qa] * size_held[va])
         out.append(np.rec.fromarrays([qa, va, score, data["first"][va]], names="q,v,s,i"))
     found = np.concatenate(out)
     found = found[np.lexsort((found["i"], -found["s"], found["q"]))]
