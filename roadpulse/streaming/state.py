@@ -94,7 +94,7 @@ class AlertProcessor(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.state.clear()
-        yield pd.DataFrame({c: [] for c in ("cam", "t", "event_id", "class_name", "conf", "hit", "streak", "fires")})
+        return iter(())
 
     def close(self) -> None:
         pass
