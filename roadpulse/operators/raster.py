@@ -18,11 +18,13 @@ from pyspark.sql import functions as F
 from roadpulse import constants as K
 from roadpulse.functions.scalars import col
 from roadpulse.operators.boxes import clip_boxes_px
-from roadpulse.session import HOT_ROWS, broadcast_if_small, is_small, split_hot
+from roadpulse.session import HOT_ROWS, broadcast_if_small, is_small, split_hot, tasks_for
 
 CAMERA = ["cam", "img_h", "img_w"]
 # Image rows of road masks that are broadcast: some 2,000 cameras of 500 rows, about 100 bytes each.
 MASK_BROADCAST_ROWS = 1_000_000
+# Boxes that one task covers; sorting them, their bands and their words take about 2 kB a box.
+TASK_BOXES = 200_000
 
 
 def _word_bits(xs: Column, xe: Column, word: Column) -> Column:
@@ -71,7 +73,8 @@ def vehicle_words(detections: DataFrame, hot_rows: int = HOT_ROWS, bucketed: boo
     """Pixels covered by at least one box, per frame, as words.
 
     Boxes of ordinary frames are first brought together by frame, so that only boxes (not their far
-    larger pixel rows) are shuffled and all later grouping by frame stays local. Frames with more than
+    larger pixel rows) are shuffled and all later grouping by frame stays local; the number of tasks follows that of the
+    boxes, so that a task's memory does not grow with them. Frames with more than
     ``hot_rows`` boxes are covered where their boxes lie; their words combine before the shuffle and
     number at most one per word of the image and task. A table ``bucketed`` by frame_id needs no shuffle
     at all.
@@ -79,7 +82,9 @@ def vehicle_words(detections: DataFrame, hot_rows: int = HOT_ROWS, bucketed: boo
     keep = ["frame_id", *CAMERA]
     boxes = clip_boxes_px(detections).select(*keep, "x1", "y1", "x2", "y2")
     ordinary, hot, _ = split_hot(boxes, "frame_id", hot_rows, counted=detections)
-    cover = _cover_bands(ordinary if bucketed else ordinary.repartition("frame_id"), keep)
+    if not bucketed:
+        ordinary = ordinary.repartition(tasks_for(detections, TASK_BOXES), "frame_id")
+    cover = _cover_bands(ordinary, keep)
     return cover if hot is None else cover.unionByName(_cover(hot, keep))
 
 

@@ -72,6 +72,11 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if is_small(df, rows) else df
 
 
+def tasks_for(df: DataFrame, rows: int) -> int:
+    """Partitions that leave a task about ``rows`` rows of ``df``, however many there are; never fewer than the session's."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // rows))
+
+
 def hot_keys(df: DataFrame, key: str, limit: int = HOT_ROWS) -> DataFrame | None:
     """Keys of ``df`` with more than ``limit`` rows and their counts, or None when there are none.
 

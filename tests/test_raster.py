@@ -175,3 +175,21 @@ def test_painted_frames_equal_words(spark, hot_rows, monkeypatch):
     monkeypatch.setattr(painted, "MASK_RUNS", 1000)
     plan = traffic.frame_metrics(frame_df, box_df, mask, weights)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("hashpartitioning(frame_id") == 1
+
+
+def test_tasks_follow_boxes(spark, boxes, monkeypatch):
+    monkeypatch.setattr(raster, "TASK_BOXES", 20)
+    words = raster.vehicle_words(spark.createDataFrame(boxes, BOX))
+    assert words.rdd.getNumPartitions() == len(boxes) // 20
+
+
+def test_occupancy_tasks_follow_boxes(spark, boxes, monkeypatch):
+    monkeypatch.setattr(raster, "TASK_BOXES", 20)
+    table, frames = spark.createDataFrame(boxes, BOX), spark.createDataFrame([(i, i % 3, H, W) for i in range(40)], FRAME)
+    shape = "cam bigint, img_h int, img_w int"
+    found = raster.occupancy_precise(frames, table, spark.createDataFrame([], f"{shape}, y int, xs int, xe int"), spark.createDataFrame([], shape))
+    covered = dense(boxes, 0)
+    assert rows_of(found.select("frame_id", "occupancy"), "frame_id") == [
+        (i, float((covered[i] > 0).sum()) / float(H * W) * 100 if i in covered else 0.0) for i in range(40)
+    ]
+    assert f", {len(boxes) // 20}), REPARTITION_BY_NUM" in found._jdf.queryExecution().executedPlan().toString()
