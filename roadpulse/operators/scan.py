@@ -5,9 +5,10 @@ would put a hot key into one task. Spark does the partitioning and sorting here;
 sorted Arrow batches and holds one batch and one state at a time.
 
 * Ordinary keys: hash-partitioned by key, sorted within partitions, folded in one pass.
-* Hot keys: range-partitioned by (key, order), so one key spreads over many tasks. Each chunk is first
-  folded from every state it may be entered with (states soon coincide, so this costs little more than
-  one fold), the per-chunk results are chained, and each chunk is folded again from its true entry state.
+* Hot keys: range-partitioned by (key, order), so one key spreads over many tasks. Only the first key of a
+  task's range can go on from the task before. Its chunk is first folded from every state it may be entered
+  with (states soon coincide, so this costs little more than one fold), the other keys' chunks as new; the
+  per-chunk results are chained, and each chunk is folded again from its true entry state.
   A chunk entered with a state that wasn't foreseen is folded from that state before the chain goes on.
 """
 
@@ -84,7 +85,8 @@ def _append_outputs(fold: Fold, key: str, time: str, schema: pa.Schema, entered:
 def _chunk_exits(fold: Fold, key: str, time: str, schema: pa.Schema, entered: bool):
     """Batch function giving, per (key, chunk), the exit state for every foreseen entry state.
 
-    ``entered`` rows carry the entry state of their chunk, and only the exit for that one is found.
+    A chunk is one range of (key, order), so its keys but the first begin in it and are entered with no state. That keeps
+    the many states to as many rows as there are chunks, however many keys they hold. ``entered`` rows carry the entry state of their chunk, and only the exit for that one is found.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,9 +97,11 @@ def _chunk_exits(fold: Fold, key: str, time: str, schema: pa.Schema, entered: bo
             row = [*current, first, pickle.dumps(exits)]
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema)], schema=schema)
 
-        def begin(t, values, bound, entry):
+        def begin(t, values, bound, entry, within):
             if entered:
                 return {None if entry is None else pickle.loads(entry): [ANY]}
+            if within:
+                return {None: [None]}
             foreseen = fold.entry_states(t, *values, *bound)
             found = {None: [ANY if foreseen is None else None]}
             for label, s in (foreseen or {}).items():
@@ -110,10 +114,11 @@ def _chunk_exits(fold: Fold, key: str, time: str, schema: pa.Schema, entered: bo
             entries = batch.column(batch.schema.get_field_index("entry")).to_pylist() if entered else None
             for i, (k, t, n, *v) in enumerate(zip(keys, times, numbers, *values)):
                 if (k, n) != current:
+                    within = current is not None and current[1] == n
                     if current is not None:
                         yield result()
                     current, first = (k, n), t
-                    states = begin(t, v, [b[i] for b in bounds], entries[i] if entered else None)
+                    states = begin(t, v, [b[i] for b in bounds], entries[i] if entered else None, within)
                 merged: dict = {}
                 for s, labels in states.items():
                     merged.setdefault(fold.step(s, t, *v)[0], []).extend(labels)

@@ -1,7 +1,9 @@
 """Ordered folds: status table, brute force, and hot keys split over chunks."""
 
+import pickle
 import random
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -139,3 +141,11 @@ def test_hot_queries_take_the_hot_way(spark, monkeypatch, name):
     monkeypatch.setattr(scan, "split_hot", watched)
     assert QUERIES[name](spark, "/root/testdata/sf0.01").count() > 0
     assert len(shares) == (1 if name == "speed_ema_hot" else 6) and min(shares) > 0.5
+
+
+def test_only_the_first_key_of_a_chunk_is_folded_from_many_states():
+    schema = pa.schema([("edge_id", pa.string()), ("chunk", pa.int32()), ("first", pa.int64()), ("exits", pa.binary())])
+    rows = {"edge_id": ["a", "a", "b", "b"], "t": [0, 20, 0, 20], "chunk": [3] * 4, "raw_speed": [9.0, 8.0, 7.0, 6.0], "free_flow": [50.0] * 4, "key_bound": [9.0, 9.0, 7.0, 7.0]}
+    run = scan._chunk_exits(edge_state.EDGE_FOLD, "edge_id", "t", schema, False)
+    exits = {r["edge_id"]: pickle.loads(r["exits"]) for batch in run(iter([pa.RecordBatch.from_pydict(rows)])) for r in batch.to_pylist()}
+    assert len(exits["a"]) > 100 and exits["b"] == {None: (6.7, "RED", 20)}
