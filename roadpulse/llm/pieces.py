@@ -14,6 +14,7 @@ import re
 from collections.abc import Iterator
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -108,16 +109,16 @@ def encode_pieces(docs: DataFrame, text: str = "text", model_file: str | None =
         gc.disable()  # the many lists of ids hold no cycles, and looking for some takes a fifth of the time
         table = ChunkTable(path)
         for batch in batches:
-            columns: list[list] = [[] for _ in names]
-            for _, part in text_slices(batch.column(batch.schema.get_field_index(text))):
+            # Given out slice by slice: the ids of a whole batch take ten times the memory of its texts.
+            for first, part in text_slices(batch.column(batch.schema.get_field_index(text))):
+                columns: list[list] = [[] for _ in names]
                 for ids, decoded in table.encode(part.to_pylist()):
                     ids = f"{ids} {table.end}" if ids else str(table.end)
                     row = [ids.count(" ") + 1, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()]
-                    for column, v in zip(columns, [*row, [int(i) for i in ids.split()], decoded] if keep_ids else row):
+                    for column, v in zip(columns, [*row, np.fromstring(ids, np.int32, sep=" "), decoded] if keep_ids else row):
                         column.append(v)
-            if batch.num_rows:
                 types = [pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.string()]
                 arrays = [pa.array(c, t) for c, t in zip(columns, types)]
-                yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=[*batch.schema.names, *names])
+                yield pa.RecordBatch.from_arrays([*batch.slice(first, len(part)).columns, *arrays], names=[*batch.schema.names, *names])
 
     return rows.mapInArrow(run, schema)

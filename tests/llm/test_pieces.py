@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import pyarrow as pa
 import sentencepiece
 from pyspark.sql import functions as F
 
@@ -42,3 +43,25 @@ def test_query(spark):
     rows = QUERIES["op5_sentencepiece"](spark, SF).collect()
     assert len(rows) == len(docs)
     assert all(tuple(r)[1:] == digests(model, docs[r["doc_id"]]) for r in rows)
+
+
+def test_rows_are_given_out_slice_by_slice(spark):
+    class Docs:
+        """Stands for a table: holds on to the function that Spark would call for each task."""
+
+        columns = ["doc_id", "text"]
+        schema = None
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            return run
+
+    texts = [f"word{i} " * 50_000 for i in range(12)]
+    model = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path(pieces.MODEL))
+    run = pieces.encode_pieces(Docs())
+    out = list(run(iter([pa.RecordBatch.from_pydict({"doc_id": list(range(12)), "text": texts})])))
+    assert len(out) > 1 and [d for b in out for d in b.column("doc_id").to_pylist()] == list(range(12))
+    for i, ids in zip(range(12), (v for b in out for v in b.column("token_ids").to_pylist())):
+        assert ids == [*model.encode(texts[i]), model.eos_id()]
