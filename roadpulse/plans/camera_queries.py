@@ -252,6 +252,14 @@ def suspect_catalog(spark, sf_dir):
 
 # ---- streams: table rows written as files in time order, then read as a stream ----
 SLICES, FILES_PER_SLICE = 3, 2
+# Rows of a file, which one task writes, and the fewest for each file that a slice is dealt to, so that none stays empty.
+FILE_ROWS, LEAST_FILE_ROWS = 100_000, 1_000
+
+
+def _files_per_slice(slices: DataFrame) -> int:
+    """Files of every slice of time (column ``slice``): as many for each, so that a micro-batch is a slice, and more for more rows."""
+    most, least = slices.groupBy("slice").count().agg(F.max("count"), F.min("count")).first()
+    return max(FILES_PER_SLICE, min(-(-(most or 0) // FILE_ROWS), (least or 0) // LEAST_FILE_ROWS))
 
 
 def _as_stream(spark: SparkSession, rows: DataFrame, schema: str) -> DataFrame:
@@ -260,10 +268,11 @@ def _as_stream(spark: SparkSession, rows: DataFrame, schema: str) -> DataFrame:
     rows = materialize(rows)
     start, end = rows.agg(F.min("t"), F.max("t")).first()
     width = (end - start) // SLICES + 1
+    files = _files_per_slice(rows.select(F.floor((F.col("t") - start) / width).alias("slice")))
     for i in range(SLICES):
         part = rows.filter(F.col("t").between(start + i * width, start + (i + 1) * width - 1))
-        part.repartition(FILES_PER_SLICE).write.mode("append").parquet(path)
-    return jobs.file_stream(spark, path, schema, FILES_PER_SLICE)
+        part.repartition(files).write.mode("append").parquet(path)
+    return jobs.file_stream(spark, path, schema, files)
 
 
 def _outputs(spark: SparkSession) -> tuple[str, str]:
@@ -289,9 +298,10 @@ def stream_edge_speeds_late(spark, sf_dir):
     """Micro-batches some of whose rows are late, but within the watermark: they meet the stored state in order of arrival."""
     path, (out, progress) = scratch_path(spark, "stream"), _outputs(spark)
     series = materialize(arriving(_series(spark, sf_dir)).select("edge_id", "t", "event_id", "raw_speed", "free_flow", "run"))
+    files = _files_per_slice(series.select(F.col("run").alias("slice")))
     for run in range(6):
-        series.filter(F.col("run") == run).drop("run").repartition(FILES_PER_SLICE).write.mode("append").parquet(path)
-    stream = jobs.file_stream(spark, path, schemas.EDGE_SERIES, FILES_PER_SLICE)
+        series.filter(F.col("run") == run).drop("run").repartition(files).write.mode("append").parquet(path)
+    stream = jobs.file_stream(spark, path, schemas.EDGE_SERIES, files)
     jobs.stream_edge_speeds(stream, out, progress).awaitTermination()
     return spark.read.parquet(out).select("edge_id", "event_id", "t", "prev_speed", "ema", "speed", "status")
 

@@ -6,13 +6,14 @@ stream. Results equal those of the batch operators to the last bit: both are cou
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roadpulse.operators.painted import collect_roads
 from roadpulse.operators.raster import CAMERA
 from roadpulse.plans.traffic import RoadMask
 
@@ -36,10 +37,10 @@ def _paint(h: int, w: int, boxes: np.ndarray) -> np.ndarray:
     return image
 
 
-def _road(h: int, w: int, runs: list[dict]) -> np.ndarray:
+def _road(h: int, w: int, runs: Iterable[tuple[int, int, int]]) -> np.ndarray:
     road = np.zeros((h, w), bool)
-    for run in runs:
-        road[run["y"], run["xs"] : run["xe"]] = True
+    for y, xs, xe in runs:
+        road[y, xs:xe] = True
     return road
 
 
@@ -47,11 +48,17 @@ def occupancy(frames: DataFrame, mask: RoadMask) -> DataFrame:
     """``frames`` (schemas.FRAME) with ``occ`` in place of ``boxes``: percent of road pixels covered.
 
     Cameras that the mask doesn't know are measured against the whole image, a frame of another shape than its
-    camera's masks can't be measured and has a null, and a frame without boxes or road gives 0.
+    camera's masks can't be measured and has a null, and a frame without boxes or road gives 0. Masks that are counted
+    small go to every task once; others come with each frame.
     """
-    own = F.filter("masks", lambda m: (m["img_h"] == F.col("img_h")) & (m["img_w"] == F.col("img_w")))
-    rows = frames.join(mask_per_camera(mask), "cam", "left")
-    rows = rows.withColumn("has_mask", F.col("masks").isNotNull()).withColumn("runs", F.get(own, F.lit(0))["runs"]).drop("masks")
+    sent = collect_roads(mask.runs, mask.cameras)
+    if sent is None:
+        own = F.filter("masks", lambda m: (m["img_h"] == F.col("img_h")) & (m["img_w"] == F.col("img_w")))
+        rows = frames.join(mask_per_camera(mask), "cam", "left")
+        rows = rows.withColumn("has_mask", F.col("masks").isNotNull()).withColumn("runs", F.get(own, F.lit(0))["runs"]).drop("masks")
+        rows = rows.select(*frames.columns, "has_mask", "runs")
+    else:
+        rows = frames
     kept = [c for c in frames.columns if c != "boxes"]
     kinds = dict(frames.dtypes)
 
@@ -62,10 +69,14 @@ def occupancy(frames: DataFrame, mask: RoadMask) -> DataFrame:
             sides = np.column_stack([flat.field(c).to_numpy(zero_copy_only=False) for c in ("x1", "y1", "x2", "y2")]).astype(float)
             ends = np.concatenate(([0], np.cumsum(np.nan_to_num(batch.column("boxes").value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64))))
             found = []
-            places = zip(*(batch.column(c).to_pylist() for c in ("cam", "img_h", "img_w", "has_mask")))
-            for i, (cam, h, w, has_mask) in enumerate(places):
-                runs = batch.column("runs")[i]
-                if has_mask and not runs.is_valid:
+            places = zip(*(batch.column(c).to_pylist() for c in CAMERA))
+            masked = batch.column("has_mask").to_pylist() if sent is None else None
+            for i, (cam, h, w) in enumerate(places):
+                if sent is None:
+                    has_mask, fits = masked[i], batch.column("runs")[i].is_valid
+                else:
+                    has_mask, fits = cam in sent.cameras, (cam, h, w) in sent.runs
+                if has_mask and not fits:
                     found.append(None)
                     continue
                 boxes = sides[ends[i] : ends[i + 1]]
@@ -79,14 +90,15 @@ def occupancy(frames: DataFrame, mask: RoadMask) -> DataFrame:
                 if (cam, h, w) not in roads:
                     if len(roads) >= KEPT_MASKS:
                         roads.clear()
-                    road = _road(h, w, runs.as_py())
+                    runs = [(r["y"], r["xs"], r["xe"]) for r in batch.column("runs")[i].as_py()] if sent is None else sent.runs[cam, h, w].tolist()
+                    road = _road(h, w, runs)
                     roads[cam, h, w] = road, int(road.sum())
                 road, area = roads[cam, h, w]
                 found.append(float((image & road).sum()) / float(area) * 100 if area else 0.0)
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(found, pa.float64())], names=[*kept, "occ"])
 
     schema = ", ".join([f"{c} {kinds[c]}" for c in kept] + ["occ double"])
-    return rows.select(*frames.columns, "has_mask", "runs").mapInArrow(measure, schema)
+    return rows.mapInArrow(measure, schema)
 
 
 def load(coefficients: DataFrame) -> Column:

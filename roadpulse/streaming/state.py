@@ -130,11 +130,11 @@ class EdgeProcessor(StatefulProcessor):
         self.state = handle.getValueState("edge", self.state_schema)
 
     def _frame(self, edge: str, rows: list[tuple]) -> pd.DataFrame:
-        out = pd.DataFrame(rows, columns=self.columns[1:])
-        out.insert(0, "edge_id", edge)
+        # Made once per key and micro-batch, so column by column, which takes pandas far less time than rows do.
+        out = dict(zip(self.columns, ([edge] * len(rows), *map(list, zip(*rows)))))
         for name in ("event_id", "prev_t"):
-            out[name] = out[name].astype("Int64")
-        return out
+            out[name] = pd.array(out[name], "Int64")
+        return pd.DataFrame(out, copy=False)
 
     @staticmethod
     def _cleared(speed: float, status: str, t: int) -> tuple:
@@ -180,7 +180,6 @@ class EdgeProcessor(StatefulProcessor):
             yield self._frame(key[0], [self._cleared(speed, status, t)])
         else:
             self.state.clear()
-            yield self._frame(key[0], [])
 
     def close(self) -> None:
         pass

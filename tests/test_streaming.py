@@ -203,3 +203,36 @@ def test_cycle_window_on_a_stream(spark, tmp_path):
     query.awaitTermination()
     batch = cycle_window(rows.withColumn("ts", F.timestamp_seconds("t")))
     assert rows_of(spark.table("cycles"), "window_start") == rows_of(batch, "window_start")
+
+
+def test_files_of_a_slice_follow_its_rows(spark, monkeypatch):
+    from roadpulse.plans import camera_queries
+
+    monkeypatch.setattr(camera_queries, "FILE_ROWS", 100)
+    monkeypatch.setattr(camera_queries, "LEAST_FILE_ROWS", 10)
+    slices = lambda *sizes: spark.createDataFrame([(i,) for i, n in enumerate(sizes) for _ in range(n)], "slice int")
+    files = [camera_queries._files_per_slice(slices(*sizes)) for sizes in ((900, 1000, 700), (1000, 50), (9, 8), (1000, 9), ())]
+    assert files == [10, 5, 2, 2, 2]
+
+
+def test_small_masks_are_sent_once_and_large_ones_joined(spark, monkeypatch):
+    box = [(0, 0.9, 1.0, 1.0, 9.0, 9.0)]
+    rows = [(0, 1, 0, 20, 30, box), (0, 2, 0, 21, 30, box), (1, 3, 0, 20, 30, box), (2, 4, 0, 20, 30, box), (None, 5, 0, 20, 30, box), (0, 6, 0, 20, 30, [])]
+    frames = spark.createDataFrame(rows, schemas.FRAME)
+    shape = "cam long, img_h int, img_w int"
+    mask = traffic.RoadMask(spark.createDataFrame([(0, 20, 30, 2, 0, 20)], f"{shape}, y int, xs int, xe int"), spark.createDataFrame([(0, 20, 30), (1, 20, 30)], shape))
+    want = [(1, 40.0), (2, None), (3, 0.0), (4, 64 / 600 * 100), (5, 64 / 600 * 100), (6, 0.0)]
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    sent = frame_rows.occupancy(frames, mask)
+    assert rows_of(sent.select("frame_id", "occ"), "frame_id") == want and "Join" not in plan(sent)
+    monkeypatch.setattr("roadpulse.operators.painted.MASK_RUNS", 0)
+    joined = frame_rows.occupancy(frames, mask)
+    assert rows_of(joined.select("frame_id", "occ"), "frame_id") == want and "Join" in plan(joined)
+
+
+def test_edge_frames_keep_their_types():
+    from roadpulse.streaming import state
+
+    found = state.EdgeProcessor()._frame("e", [(900, None, 3.0, "RED", 0, None, None, None, 0, True), (901, 7, None, None, None, 5.0, 5.0, "RED", 901, False)])
+    assert list(found.columns) == [c.split()[0] for c in state.EDGE_OUTPUT.split(", ")]
+    assert found["event_id"].dtype == found["prev_t"].dtype == "Int64" and found["event_id"].isna().tolist() == [True, False]
