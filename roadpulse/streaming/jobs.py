@@ -42,9 +42,10 @@ def _speeds_sink(speeds: DataFrame, out: str, published: str | None, cleared: st
 
     State and progress are Spark's; the sink only writes, and a replayed micro-batch writes the same again.
     """
+    several = cleared is not None or published is not None
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        batch = batch.persist() if several else batch
         rows = batch.filter(~F.col("cleared")).drop("cleared")
         rows.drop("clock").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
         if cleared is not None:
@@ -53,7 +54,8 @@ def _speeds_sink(speeds: DataFrame, out: str, published: str | None, cleared: st
         if published is not None:
             newest = F.max_by(F.struct("speed", F.col("clock").alias("t"), "status"), F.struct("clock", "t", "event_id"))
             upsert_latest(rows.groupBy("edge_id").agg(newest.alias("s")).select("edge_id", "s.*"), published, batch_id, "edge_id", "t")
-        batch.unpersist()
+        if several:
+            batch.unpersist()
 
     writer = speeds.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", checkpoint)
     return cycle_trigger(writer, every).start()
@@ -65,7 +67,7 @@ def stream_edge_speeds(
 ) -> StreamingQuery:
     """Smoothed speed and status per edge from a stream of edge observations.
 
-    The state lies in Spark's state store, keyed by edge; rows later than the watermark are dropped.
+    The state lies in Spark's state store, keyed by bucket of edges; rows later than the watermark are dropped.
     """
     return _speeds_sink(state.edge_speeds(series, mode, WATERMARK_SECONDS), out, published, cleared, checkpoint, every)
 

@@ -24,6 +24,10 @@ from roadpulse.operators.edge_state import smooth_step
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 # Rows of one key that are turned into one output batch.
 CHUNK_ROWS = 20_000
+# Keys that the edges of a stream are dealt to; fixed, as the stored state lies by them.
+EDGE_BUCKETS = 1024
+# Before every real time.
+NEVER = -(2**62)
 ALERT_OUTPUT = "cam bigint, t bigint, event_id bigint, class_name string, conf double, hit boolean, streak bigint, fires boolean"
 EDGE_OUTPUT = (
     "edge_id string, t bigint, event_id bigint, prev_speed double, prev_status string, prev_t bigint, ema double,"
@@ -108,30 +112,35 @@ def accident_alerts(series: DataFrame, lateness: int) -> DataFrame:
 
 
 class EdgeProcessor(StatefulProcessor):
-    """Smoothed speed, status and freshness of one edge.
+    """Smoothed speed, status and freshness of the edges of one bucket.
 
-    State: (speed, status, time of the last write, pending timer). Rows of a micro-batch are folded in order of time; one
+    State per edge: (speed, status, time of the last write, pending timer). Each key of a stream costs several calls to
+    Spark's state server and a pandas frame, far more than folding its rows, so a key holds a bucket of edges and
+    their number doesn't tell in calls. Rows of a micro-batch are folded edge by edge in order of time; one
     that is older than the last write still meets the state and leaves its time as it is. Spark can't sort a stream,
-    so an edge's rows of a micro-batch are put in order here: three numbers a row are held, and the source's rate options
-    bound their number. With ``last_only`` all rows of a micro-batch meet the state before it and only the last one counts.
+    so a bucket's rows of a micro-batch are put in order here: a few numbers a row are held, and the source's rate options
+    bound their number. With ``last_only`` all rows of a micro-batch meet the state before it and only an edge's last one counts.
 
-    Each write sets a timer just past the freshness limit and cancels the one before. When it fires, or when the next
+    Each write sets an edge's timer just past the freshness limit in place of the one before. When it is due, or when the next
     write comes later than that, a row with ``cleared`` says that the edge went stale at ``t``. The next timer, at the
-    state's expiry, removes the state.
+    state's expiry, removes the state. Spark holds one timer per bucket, the earliest of its edges'.
     """
 
     def __init__(self, last_only: bool = False):
         self.last_only = last_only
-        self.state_schema = StructType.fromDDL("speed double, status string, t bigint, timer bigint")
+        self.state_schema = StructType.fromDDL(
+            "edge_id array<string>, speed array<double>, status array<string>, t array<bigint>, timer array<bigint>, due bigint"
+        )
         self.columns = StructType.fromDDL(EDGE_OUTPUT).fieldNames()
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("edge", self.state_schema)
+        self.state = handle.getValueState("edges", self.state_schema)
 
-    def _frame(self, edge: str, rows: list[tuple]) -> pd.DataFrame:
+    def _frame(self, edge: str | list, rows: list[tuple]) -> pd.DataFrame:
         # Made once per key and micro-batch, so column by column, which takes pandas far less time than rows do.
-        out = dict(zip(self.columns, ([edge] * len(rows), *map(list, zip(*rows)))))
+        edges = edge if isinstance(edge, list) else [edge] * len(rows)
+        out = dict(zip(self.columns, (edges, *map(list, zip(*rows)))))
         for name in ("event_id", "prev_t"):
             out[name] = pd.array(out[name], "Int64")
         return pd.DataFrame(out, copy=False)
@@ -140,46 +149,79 @@ class EdgeProcessor(StatefulProcessor):
     def _cleared(speed: float, status: str, t: int) -> tuple:
         return (t + K.FRESH_SECONDS, None, speed, status, t, None, None, None, t, True)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        parts = [[b[c].to_numpy() for c in ("t", "event_id", "raw_speed", "free_flow")] for b in rows]
-        time, tie, raw, flow = (np.concatenate(c) for c in zip(*parts))
+    def _read(self) -> tuple[dict[str, tuple], int | None]:
+        """(state of each edge, the bucket's pending timer)."""
         held = self.state.get()
-        clock = time if held is None else np.maximum(time, held[2])
-        order = np.lexsort((tie, time, clock))[-1 if self.last_only else None :]
-        state = None if held is None else (held[0], held[1], int(held[2]))
-        # An edge that its timer has already reported isn't reported again.
-        told = held is not None and held[3] >= _millis(held[2] + K.EDGE_STATE_TTL)
-        out = []
-        for i in order:
-            now = int(clock[i])
-            if state is not None and now - state[2] > K.FRESH_SECONDS and not told:
-                out.append(self._cleared(*state))
-            state, result = smooth_step(state, now, float(raw[i]), float(flow[i]))
-            told = False
-            out.append((int(time[i]), int(tie[i]), *result, now, False))
-            if len(out) >= CHUNK_ROWS:
-                yield self._frame(key[0], out)
-                out = []
-        if held is not None:
-            self.handle.deleteTimer(held[3])
-        timer = _millis(state[2] + K.FRESH_SECONDS) + 1
-        self.handle.registerTimer(timer)
-        self.state.update((*state, timer))
-        if out:
-            yield self._frame(key[0], out)
+        return ({}, None) if held is None else ({edge: own for edge, *own in zip(*held[:5])}, held[5])
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        speed, status, t, timer = self.state.get()
-        last = _millis(t + K.EDGE_STATE_TTL)
-        if timer < last:
-            if timerValues.getCurrentWatermarkInMs() < last:
-                self.handle.registerTimer(last)
-                self.state.update((speed, status, t, last))
-            else:
-                self.state.clear()
-            yield self._frame(key[0], [self._cleared(speed, status, t)])
-        else:
+    def _write(self, states: dict[str, tuple], pending: int | None) -> None:
+        due = min((own[3] for own in states.values()), default=None)
+        if pending is not None and pending != due:
+            self.handle.deleteTimer(pending)
+        if due is None:
             self.state.clear()
+            return
+        if pending != due:
+            self.handle.registerTimer(due)
+        self.state.update((list(states), *map(list, zip(*states.values())), due))
+
+    def _expire(self, states: dict[str, tuple], watermark: int) -> list[tuple[str, tuple]]:
+        """Does what the timers up to ``watermark`` stand for and gives the (edge, cleared row) of those that went stale."""
+        gone = []
+        for edge, (speed, status, t, timer) in [s for s in states.items() if s[1][3] <= watermark]:
+            last = _millis(t + K.EDGE_STATE_TTL)
+            if timer < last:
+                gone.append((edge, self._cleared(speed, status, t)))
+            if watermark < last:
+                states[edge] = (speed, status, t, last)
+            else:
+                del states[edge]
+        return gone
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        parts = [[b[c].to_numpy() for c in ("edge_id", "t", "event_id", "raw_speed", "free_flow")] for b in rows]
+        edge, time, tie, raw, flow = (np.concatenate(c) for c in zip(*parts))
+        code, edges = pd.factorize(edge, use_na_sentinel=False)
+        edges = [None if pd.isna(e) else e for e in edges]
+        states, pending = self._read()
+        known = np.array([states[e][2] if e in states else NEVER for e in edges], np.int64)
+        clock = np.maximum(time, known[code])
+        order = np.lexsort((tie, time, clock, code))
+        if self.last_only:
+            order = order[np.flatnonzero(np.diff(code[order], append=-1))]
+        at, state, told = None, None, False
+        for start in range(0, len(order), CHUNK_ROWS):
+            own = order[start : start + CHUNK_ROWS]
+            names, out = [], []
+            for number, now, t, event, speed, free in zip(*(c[own].tolist() for c in (code, clock, time, tie, raw, flow))):
+                if number != at:
+                    if at is not None:
+                        states[edges[at]] = (*state, _millis(state[2] + K.FRESH_SECONDS) + 1)
+                    at, held = number, states.get(edges[number])
+                    state = None if held is None else tuple(held[:3])
+                    # An edge that its timer has already reported isn't reported again.
+                    told = held is not None and held[3] >= _millis(held[2] + K.EDGE_STATE_TTL)
+                now = int(now)
+                if state is not None and now - state[2] > K.FRESH_SECONDS and not told:
+                    names.append(edges[at])
+                    out.append(self._cleared(*state))
+                state, result = smooth_step(state, now, float(speed), float(free))
+                told = False
+                names.append(edges[at])
+                out.append((int(t), int(event), *result, now, False))
+            yield self._frame(names, out)
+        states[edges[at]] = (*state, _millis(state[2] + K.FRESH_SECONDS) + 1)
+        gone = self._expire(states, timerValues.getCurrentWatermarkInMs())
+        self._write(states, pending)
+        if gone:
+            yield self._frame(*map(list, zip(*gone)))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        states, _ = self._read()
+        gone = self._expire(states, timerValues.getCurrentWatermarkInMs())
+        self._write(states, None)  # Spark removes the timer that fired
+        if gone:
+            yield self._frame(*map(list, zip(*gone)))
 
     def close(self) -> None:
         pass
@@ -188,7 +230,9 @@ class EdgeProcessor(StatefulProcessor):
 def edge_speeds(series: DataFrame, mode: str, lateness: int) -> DataFrame:
     """Speeds and cleared rows of a stream of edge observations; those ``lateness`` seconds behind the newest one are dropped."""
     use_rocksdb(series.sparkSession)
-    rows = _with_watermark(series, lateness).select("ts", "edge_id", "t", "event_id", "raw_speed", "free_flow")
-    return rows.groupBy("edge_id").transformWithStateInPandas(
+    rows = _with_watermark(series, lateness).select(
+        F.pmod(F.hash("edge_id"), F.lit(EDGE_BUCKETS)).alias("bucket"), "ts", "edge_id", "t", "event_id", "raw_speed", "free_flow"
+    )
+    return rows.groupBy("bucket").transformWithStateInPandas(
         EdgeProcessor(mode == "batch"), EDGE_OUTPUT, "Append", "EventTime"
     )

@@ -236,3 +236,27 @@ def test_edge_frames_keep_their_types():
     found = state.EdgeProcessor()._frame("e", [(900, None, 3.0, "RED", 0, None, None, None, 0, True), (901, 7, None, None, None, 5.0, 5.0, "RED", 901, False)])
     assert list(found.columns) == [c.split()[0] for c in state.EDGE_OUTPUT.split(", ")]
     assert found["event_id"].dtype == found["prev_t"].dtype == "Int64" and found["event_id"].isna().tolist() == [True, False]
+
+
+def test_edges_share_the_keys_of_a_stream(spark, tmp_path):
+    from roadpulse.streaming import state
+
+    source, out, progress, cleared = (str(tmp_path / n) for n in ("in", "out", "progress", "cleared"))
+    edges = 3 * state.EDGE_BUCKETS
+    first = spark.range(edges).selectExpr("cast(id as string) edge_id", "100L t", "id event_id", "30d raw_speed", "50d free_flow")
+    write_slice(first.unionAll(spark.sql("select cast(null as string), 100L, -1L, 30d, 50d")), source)
+
+    def run():
+        query = jobs.stream_edge_speeds(jobs.file_stream(spark, source, schemas.EDGE_SERIES, 1), out, progress, cleared=cleared)
+        query.awaitTermination()
+        return max(o["numRowsTotal"] for p in query.recentProgress for o in p["stateOperators"])
+
+    assert run() <= 3 * state.EDGE_BUCKETS  # a state and a timer, by two orders, per bucket, not per edge
+    write_slice(first.filter("event_id % 2 = 0").withColumn("t", F.lit(500)).withColumn("raw_speed", F.lit(20.0)), source)
+    run()
+    write_slice(spark.createDataFrame([("0", 1100, 0, 30.0, 50.0)], schemas.EDGE_SERIES), source)
+    run()
+    want = sorted((str(i) if i >= 0 else "None", 100, 1000) for i in [-1, *range(1, edges, 2)])
+    assert sorted((str(r.edge_id), r.last_t, r.cleared_t) for r in spark.read.parquet(cleared).collect()) == want
+    second = spark.read.parquet(out).filter("t = 500 and prev_speed = 30 and prev_t = 100")
+    assert second.count() == edges // 2 and spark.read.parquet(out).count() == edges + 1 + edges // 2 + 1
