@@ -29,10 +29,15 @@ def mask_per_camera(mask: RoadMask) -> DataFrame:
     return shapes.groupBy("cam").agg(F.collect_list(F.struct("img_h", "img_w", F.coalesce("runs", empty).alias("runs"))).alias("masks"))
 
 
-def _paint(h: int, w: int, boxes: np.ndarray) -> np.ndarray:
+def _pixels(sides: np.ndarray, h: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first and last pixel edges of all boxes of a batch, which of them cover any pixel); ``h`` and ``w`` are their images'."""
+    edges = np.clip(np.rint(sides), 0, np.column_stack((w, h, w, h)) - 1).astype(np.int64)
+    return edges, (edges[:, 2] > edges[:, 0]) & (edges[:, 3] > edges[:, 1])
+
+
+def _paint(h: int, w: int, edges: list[list[int]]) -> np.ndarray:
     image = np.zeros((h, w), bool)
-    edges = np.clip(np.rint(boxes), 0, np.array([w, h, w, h]) - 1).astype(np.int64)
-    for x1, y1, x2, y2 in edges[(edges[:, 2] > edges[:, 0]) & (edges[:, 3] > edges[:, 1])].tolist():
+    for x1, y1, x2, y2 in edges:
         image[y1:y2, x1:x2] = True
     return image
 
@@ -68,6 +73,8 @@ def occupancy(frames: DataFrame, mask: RoadMask) -> DataFrame:
             flat = batch.column("boxes").flatten()
             sides = np.column_stack([flat.field(c).to_numpy(zero_copy_only=False) for c in ("x1", "y1", "x2", "y2")]).astype(float)
             ends = np.concatenate(([0], np.cumsum(np.nan_to_num(batch.column("boxes").value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64))))
+            tall, wide = (np.repeat(np.nan_to_num(batch.column(c).to_numpy(zero_copy_only=False)).astype(np.int64), np.diff(ends)) for c in ("img_h", "img_w"))
+            edges, covers = _pixels(sides[: ends[-1]], tall, wide)
             found = []
             places = zip(*(batch.column(c).to_pylist() for c in CAMERA))
             masked = batch.column("has_mask").to_pylist() if sent is None else None
@@ -79,13 +86,13 @@ def occupancy(frames: DataFrame, mask: RoadMask) -> DataFrame:
                 if has_mask and not fits:
                     found.append(None)
                     continue
-                boxes = sides[ends[i] : ends[i + 1]]
-                if not len(boxes) or h <= 0 or w <= 0:
+                own = slice(ends[i], ends[i + 1])
+                if own.start == own.stop or h <= 0 or w <= 0:
                     found.append(0.0)
                     continue
-                image = _paint(h, w, boxes)
+                image = _paint(h, w, edges[own][covers[own]].tolist())
                 if not has_mask:
-                    found.append(float(image.sum()) / float(h * w) * 100)
+                    found.append(float(np.count_nonzero(image)) / float(h * w) * 100)
                     continue
                 if (cam, h, w) not in roads:
                     if len(roads) >= KEPT_MASKS:
@@ -94,7 +101,7 @@ def occupancy(frames: DataFrame, mask: RoadMask) -> DataFrame:
                     road = _road(h, w, runs)
                     roads[cam, h, w] = road, int(road.sum())
                 road, area = roads[cam, h, w]
-                found.append(float((image & road).sum()) / float(area) * 100 if area else 0.0)
+                found.append(float(np.count_nonzero(image & road)) / float(area) * 100 if area else 0.0)
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(found, pa.float64())], names=[*kept, "occ"])
 
     schema = ", ".join([f"{c} {kinds[c]}" for c in kept] + ["occ double"])
