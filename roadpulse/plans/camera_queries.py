@@ -13,7 +13,7 @@ from roadpulse.plans import jobs as batch
 from roadpulse.plans import traffic
 from roadpulse.plans.registry import alerts_sql, query, speeds_sql, sql
 from roadpulse.plans.source_queries import _processed, _series, arriving
-from roadpulse.session import materialize, scratch_path
+from roadpulse.session import materialize, scratch_path, tasks_for
 from roadpulse.sources import dimensions as dim
 from roadpulse.sources import sinks
 from roadpulse.streaming import jobs
@@ -254,6 +254,8 @@ def suspect_catalog(spark, sf_dir):
 SLICES, FILES_PER_SLICE = 3, 2
 # Rows of a file, which one task writes, and the fewest for each file that a slice is dealt to, so that none stays empty.
 FILE_ROWS, LEAST_FILE_ROWS = 100_000, 1_000
+# Boxes, or frames, that one task puts together to whole frames.
+TASK_BOXES = 500_000
 
 
 def _files_per_slice(slices: DataFrame) -> int:
@@ -310,8 +312,9 @@ def _whole_frames(spark, sf_dir) -> DataFrame:
     """Frames with their boxes in one row."""
     frames, boxes = _frames_boxes(spark, sf_dir)
     entry = F.struct("cls", "conf", "x1", "y1", "x2", "y2")
-    held = boxes.groupBy("frame_id").agg(F.collect_list(entry).alias("boxes"))
-    rows = frames.join(held, "frame_id", "left").withColumn("t", F.col("frame_id") * 7)
+    tasks = max(tasks_for(boxes, TASK_BOXES), tasks_for(frames, TASK_BOXES))  # also those that read the whole frames again
+    held = boxes.repartition(tasks, "frame_id").groupBy("frame_id").agg(F.collect_list(entry).alias("boxes"))
+    rows = frames.repartition(tasks, "frame_id").join(held, "frame_id", "left").withColumn("t", F.col("frame_id") * 7)
     rows = rows.withColumn("boxes", F.coalesce("boxes", F.array().cast(held.schema["boxes"].dataType)))
     return rows.select("cam", "frame_id", "t", "img_h", "img_w", "boxes")
 

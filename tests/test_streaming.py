@@ -260,3 +260,15 @@ def test_edges_share_the_keys_of_a_stream(spark, tmp_path):
     assert sorted((str(r.edge_id), r.last_t, r.cleared_t) for r in spark.read.parquet(cleared).collect()) == want
     second = spark.read.parquet(out).filter("t = 500 and prev_speed = 30 and prev_t = 100")
     assert second.count() == edges // 2 and spark.read.parquet(out).count() == edges + 1 + edges // 2 + 1
+
+
+def test_whole_frames_are_made_by_as_many_tasks_as_boxes_need(spark, sf_dir, monkeypatch):
+    from roadpulse.plans import camera_queries
+
+    names = ["frame_id", "cam", "t"]
+    want = as_set(camera_queries._whole_frames(spark, sf_dir).select(*names, F.size("boxes").alias("n")), [*names, "n"])
+    boxes = camera_queries._frames_boxes(spark, sf_dir)[1].count()
+    monkeypatch.setattr(camera_queries, "TASK_BOXES", boxes // 30)
+    many = camera_queries._whole_frames(spark, sf_dir)
+    assert many.rdd.getNumPartitions() >= 30
+    assert as_set(many.select(*names, F.size("boxes").alias("n")), [*names, "n"]) == want
